@@ -64,33 +64,50 @@ def tidy(value: Column, digits: int = 6) -> Column:
     return F.round(value, digits) + F.lit(0.0)
 
 
-def edges_below(value: Column, edges: Sequence[float], inclusive: bool) -> Column:
+def double(x: float) -> str:
+    """SQL text of a double literal."""
+    return f"({float(x)!r}D)"
+
+
+def edges_below_sql(value: str, edges: Sequence[float], inclusive: bool) -> str:
     """How many of the sorted `edges` are < value (or <= value if inclusive).
 
-    The edges are few literals, so the comparison is a balanced tree of `when`
-    that code generation turns into nested ifs: log2(len(edges)) tests per row.
+    The edges are few literals, so the comparison is a balanced tree of CASE that
+    code generation turns into nested ifs: log2(len(edges)) tests per row. SQL
+    text parses in one call, where a Column tree costs a round trip per node.
     """
+    operator = ">=" if inclusive else ">"
 
-    def tree(low: int, high: int) -> Column:
+    def tree(low: int, high: int) -> str:
         if low == high:
-            return F.lit(low)
+            return str(low)
         mid = (low + high) // 2
-        passed = value >= edges[mid] if inclusive else value > edges[mid]
-        return F.when(passed, tree(mid + 1, high)).otherwise(tree(low, mid))
+        return (
+            f"CASE WHEN {value} {operator} {double(edges[mid])} "
+            f"THEN {tree(mid + 1, high)} ELSE {tree(low, mid)} END"
+        )
+
+    return f"CASE WHEN {value} IS NOT NULL THEN {tree(0, len(edges))} END"
 
-    return F.when(value.isNotNull(), tree(0, len(edges)))
 
+def edges_below(value: str, edges: Sequence[float], inclusive: bool) -> Column:
+    return F.expr(edges_below_sql(value, edges, inclusive))
 
-def bin_right_closed(value: Column, edges: Sequence[float]) -> Column:
+
+def bin_right_closed(value: str, edges: Sequence[float]) -> Column:
     """Bins (e0, e1], (e1, e2], ... numbered from 1; 0 = at or below e0."""
     return edges_below(value, edges, inclusive=False)
 
 
-def bin_left_closed(value: Column, edges: Sequence[float]) -> Column:
+def bin_left_closed_sql(value: str, edges: Sequence[float]) -> str:
+    inside = f"{value} BETWEEN {double(edges[0])} AND {double(edges[-1])}"
+    below = edges_below_sql(value, edges, inclusive=True)
+    return f"CASE WHEN {inside} THEN least(({below}) - 1, {len(edges) - 2}) END"
+
+
+def bin_left_closed(value: str, edges: Sequence[float]) -> Column:
     """Bins [e0, e1), ..., [e_last-1, e_last] numbered from 0; null outside."""
-    last = len(edges) - 2
-    inside = (value >= edges[0]) & (value <= edges[-1])
-    return F.when(inside, F.least(edges_below(value, edges, inclusive=True) - 1, F.lit(last)))
+    return F.expr(bin_left_closed_sql(value, edges))
 
 
 def equal_edges(bins: int, low: float = 0.0, high: float = 1.0) -> list[float]:

@@ -1,7 +1,7 @@
 """Upper-tail probabilities of two test statistics, written as series.
 
 They are evaluated once per (window, feature) row, so a few thousand terms of a
-higher-order `aggregate` cost nothing beside the scan.
+higher-order `aggregate` cost nothing beside the scan. Arguments are SQL text.
 """
 
 from __future__ import annotations
@@ -13,56 +13,44 @@ CHI2_TERMS = 4000
 KS_TERMS = 100
 
 
-def kolmogorov_upper_tail(distance: Column, n: Column, m: Column, terms: int = KS_TERMS) -> Column:
+def kolmogorov_upper_tail(distance: str, n: str, m: str, terms: int = KS_TERMS) -> Column:
     """Asymptotic p-value of a two-sample distance.
 
     2 * sum_k (-1)^(k-1) * exp(-2 k^2 x^2) with x^2 = D^2 nm/(n+m). Below
     x = 0.2 the tail is 1 to twelve digits while the series needs ever more
     terms, so 1 is returned there.
     """
-    n, m = n.cast("double"), m.cast("double")
-    x2 = distance * distance * (n * m / (n + m))
-    total = F.aggregate(
-        F.sequence(F.lit(1), F.lit(terms)),
-        F.lit(0.0),
-        lambda acc, k: acc
-        + F.when(k % 2 == 1, F.lit(1.0)).otherwise(F.lit(-1.0)) * F.exp(F.lit(-2.0) * k * k * x2),
+    x2 = f"({distance} * {distance} * (double({n}) * double({m}) / (double({n}) + double({m}))))"
+    series = (
+        f"2D * aggregate(sequence(1, {terms}), 0D, "
+        f"(acc, k) -> acc + CASE WHEN k % 2 = 1 THEN 1D ELSE -1D END * exp(-2D * k * k * {x2}))"
     )
-    p = F.least(F.greatest(F.lit(2.0) * total, F.lit(0.0)), F.lit(1.0))
-    return F.when(x2 < 0.04, F.lit(1.0)).otherwise(p)
+    return F.expr(f"CASE WHEN {x2} < 0.04D THEN 1D ELSE least(greatest({series}, 0D), 1D) END")
 
 
-def chi2_upper_tail(statistic: Column, df: Column, terms: int = CHI2_TERMS) -> Column:
+def chi2_upper_tail(statistic: str, df: str, terms: int = CHI2_TERMS) -> Column:
     """1 - P(df/2, statistic/2) by the power series of the lower gamma integral.
 
     P(a, h) = exp(a ln h - h - lnGamma(a+1)) * (1 + h/(a+1) + h^2/((a+1)(a+2)) + ...).
-    lnGamma of a (half-)integer is a finite sum of logs. Statistics so far in the
-    tail that the series would need more than `terms` terms return 0.
+    lnGamma of an integer a is a sum of logs 1..a; of a half-integer, the logs of
+    1.5, 2.5, ..., a on top of lnGamma(1.5). Statistics so far in the tail that
+    the series would need more than `terms` terms return 0.
     """
-    a = df.cast("double") / F.lit(2.0)
-    h = statistic / F.lit(2.0)
-    steps = F.floor(a).cast("int")
-    half = a - F.floor(a) > 0.25
-    log_gamma = F.when(half, F.lit(LOG_GAMMA_1_5)).otherwise(F.lit(0.0)) + F.when(
-        steps > 0,
-        F.aggregate(
-            F.sequence(F.lit(1), F.greatest(steps, F.lit(1))),
-            F.lit(0.0),
-            lambda acc, j: acc + F.log(j + F.when(half, F.lit(0.5)).otherwise(F.lit(0.0))),
-        ),
-    ).otherwise(F.lit(0.0))
-    # For half-integers the product runs over 1.5, 2.5, ..., a; Gamma(1.5) is the base.
-    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
-    series = F.aggregate(
-        F.sequence(F.lit(1), F.lit(terms)),
-        start,
-        lambda acc, k: F.struct(
-            (acc["term"] * h / (a + k)).alias("term"),
-            (acc["total"] + acc["term"] * h / (a + k)).alias("total"),
-        ),
-        lambda acc: acc["total"],
+    a, h = f"(double({df}) / 2D)", f"({statistic} / 2D)"
+    half = f"CASE WHEN {df} % 2 = 1 THEN 0.5D ELSE 0D END"
+    base = f"CASE WHEN {df} % 2 = 1 THEN {LOG_GAMMA_1_5}D ELSE 0D END"
+    logs = (
+        f"CASE WHEN {df} >= 2 THEN aggregate(sequence(1, greatest(1, int(floor({a})))), 0D, "
+        f"(acc, j) -> acc + ln(j + {half})) ELSE 0D END"
+    )
+    series = (
+        f"aggregate(sequence(1, {terms}), named_struct('term', 1D, 'total', 1D), "
+        f"(acc, k) -> named_struct('term', acc.term * {h} / ({a} + k), "
+        f"'total', acc.total + acc.term * {h} / ({a} + k)), acc -> acc.total)"
+    )
+    lower = f"exp({a} * ln({h}) - {h} - ({base}) - ({logs})) * {series}"
+    far = f"{h} - {a} > 700D AND {h} > 2D * {a}"
+    return F.expr(
+        f"CASE WHEN {df} <= 0 OR {statistic} <= 0 THEN 1D WHEN {far} THEN 0D "
+        f"ELSE least(greatest(1D - {lower}, 0D), 1D) END"
     )
-    lower = F.exp(a * F.log(h) - h - log_gamma) * series
-    p = F.least(F.greatest(F.lit(1.0) - lower, F.lit(0.0)), F.lit(1.0))
-    far = (h - a > F.lit(700.0)) & (h > F.lit(2.0) * a)
-    return F.when((df <= 0) | (statistic <= 0), F.lit(1.0)).when(far, F.lit(0.0)).otherwise(p)

@@ -15,15 +15,15 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from plumbline import constants as C
 from plumbline.functions import (
-    bin_left_closed,
-    category,
+    MISSING,
+    bin_left_closed_sql,
     chi2_upper_tail,
-    floor_at,
+    double,
     is_close,
     kolmogorov_upper_tail,
     number,
 )
-from plumbline.operators.ordered import BUCKET, collect_quantiles, range_cuts, with_buckets
+from plumbline.operators.ordered import BUCKET, bucket_sql, collect_quantiles, range_cuts, with_buckets
 
 WINDOW = ("window_id", "scenario")
 REFERENCE_ID = -1
@@ -51,8 +51,13 @@ def fit_reference(
     windows: DataFrame | None = None,
     bins: int = C.PSI_BINS,
     buckets: int | None = None,
+    digits: int | None = None,
 ) -> ReferenceProfile:
-    """Quantile edges of the reference; cuts balanced over reference and windows."""
+    """Quantile edges of the reference; cuts balanced over reference and windows.
+
+    `digits` rounds the inner edges, so that profiles fitted by engines that
+    interpolate differently in the last bit agree. The outer edges stay exact.
+    """
     if not numeric:
         return ReferenceProfile({}, {})
     sample = reference.select(*numeric)
@@ -61,8 +66,12 @@ def fit_reference(
     cuts = range_cuts(sample, numeric, buckets)
     probs = [k / bins for k in range(bins + 1)]
     found = collect_quantiles(reference, numeric, probs, cuts)
-    edges = {f: sorted(set(found.get(f, []))) for f in numeric}
-    return ReferenceProfile(cuts, edges)
+
+    def edges(q: Sequence[float]) -> list[float]:
+        inner = q[1:-1] if digits is None else [round(x, digits) for x in q[1:-1]]
+        return sorted({q[0], *inner, q[-1]}) if q else []
+
+    return ReferenceProfile(cuts, {f: edges(found.get(f, [])) for f in numeric})
 
 
 def _stack(reference: DataFrame, windows: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -79,33 +88,17 @@ def _numeric_counts(stacked: DataFrame, profile: ReferenceProfile) -> DataFrame:
     cells = []
     for f in features:
         edges = profile.edges[f]
-        # Edges are rounded, so the extremes of the reference may stick out by
-        # less than the rounding; round the value the same way to place it.
-        bin_id = bin_left_closed(F.round(F.col(f), 9), edges) if len(edges) >= 3 else F.lit(None).cast("int")
-        cells.append(
-            F.struct(
-                F.lit(f).alias("feature"),
-                F.col(f).alias("value"),
-                F.coalesce(F.col(f + "__bucket").cast("int"), F.lit(0)).alias(BUCKET),
-                bin_id.alias("bin"),
-            )
-        )
-    long = placed.select(*WINDOW, F.inline(F.array(*cells)))
+        bin_id = bin_left_closed_sql(f"`{f}`", edges) if len(edges) >= 3 else "int(NULL)"
+        cells.append(f"named_struct('feature', '{f}', 'value', `{f}`, {bucket_sql(f)}, 'bin', {bin_id})")
+    long = placed.select(*WINDOW, F.expr(f"inline(array({', '.join(cells)}))"))
     # Null cells stay as one row with n = 0, so every (window, feature) survives.
     return long.groupBy(*WINDOW, "feature", BUCKET, "bin", "value").agg(F.count("value").alias("n"))
 
 
-def _psi_term(ref: Column, cur: Column, ref_total: Column, cur_total: Column) -> Column:
-    r = floor_at(ref.cast("double") / ref_total.cast("double"), C.PSI_FLOOR)
-    c = floor_at(cur.cast("double") / cur_total.cast("double"), C.PSI_FLOOR)
-    return (c - r) * F.log(c / r)
-
-
-def _sum(cells: Sequence[Column]) -> Column:
-    total = cells[0]
-    for cell in cells[1:]:
-        total = total + cell
-    return total
+def _psi_sql(ref: str, cur: str, ref_total: str, cur_total: str) -> str:
+    r = f"greatest(double({ref}) / {ref_total}, {double(C.PSI_FLOOR)})"
+    c = f"greatest(double({cur}) / {cur_total}, {double(C.PSI_FLOOR)})"
+    return f"({c} - {r}) * ln({c} / {r})"
 
 
 def numeric_drift(
@@ -150,42 +143,36 @@ def numeric_drift(
         F.sum("n").over(mine.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("cur_upto"),
     )
     placed = ranked.join(offsets, [*WINDOW, "feature", BUCKET])
-    n_ref, n_cur = F.col("n_ref").cast("double"), F.col("n_cur").cast("double")
-    ref_upto, cur_upto = F.col("ref_upto") + F.col("ref_off"), F.col("cur_upto") + F.col("cur_off")
-    at_value = F.abs(ref_upto / n_ref - cur_upto / n_cur)
-    before = F.abs((ref_upto - F.col("ref_at")) / n_ref - (cur_upto - F.col("n")) / n_cur)
-    gap = F.when(F.col("n") > 0, F.greatest(at_value, before))
+    at_value = "abs((ref_upto + ref_off) / double(n_ref) - (cur_upto + cur_off) / double(n_cur))"
+    before = "abs((ref_upto + ref_off - ref_at) / double(n_ref) - (cur_upto + cur_off - n) / double(n_cur))"
+    bin_sums = [F.expr(f"sum(CASE WHEN bin = {k} THEN n ELSE 0 END)").alias(f"b{k}") for k in range(bins)]
     per_feature = placed.groupBy(*WINDOW, "feature").agg(
         F.max("n_ref").alias("n_ref"),
         F.max("n_cur").alias("n_cur"),
-        F.max(gap).alias("ks"),
+        F.expr(f"max(CASE WHEN n > 0 THEN greatest({at_value}, {before}) END)").alias("ks"),
         F.min("value").alias("low"),
         F.max("value").alias("high"),
-        *[
-            F.sum(F.when(F.col("bin") == k, F.col("n")).otherwise(F.lit(0))).alias(f"b{k}")
-            for k in range(bins)
-        ],
+        *bin_sums,
     )
     # One row per feature column of the table: a bound known before the job runs.
-    ref_bins = per_feature.where(is_ref).select(
-        "feature",
-        F.col("low").alias("ref_low"),
-        F.col("high").alias("ref_high"),
-        *[F.col(f"b{k}").alias(f"r{k}") for k in range(bins)],
+    ref_bins = per_feature.where(is_ref).selectExpr(
+        "feature", "low AS ref_low", "high AS ref_high", *[f"b{k} AS r{k}" for k in range(bins)]
     )
-    paired = per_feature.where(~is_ref).join(F.broadcast(ref_bins), "feature")
-    ref_total = _sum([F.col(f"r{k}") for k in range(bins)])
-    cur_total = _sum([F.col(f"b{k}") for k in range(bins)])
-    psi = _sum([_psi_term(F.col(f"r{k}"), F.col(f"b{k}"), ref_total, cur_total) for k in range(bins)])
-    result = paired.select(
+    paired = per_feature.where(~is_ref).join(F.broadcast(ref_bins), "feature").selectExpr(
+        "*",
+        " + ".join(f"r{k}" for k in range(bins)) + " AS ref_binned",
+        " + ".join(f"b{k}" for k in range(bins)) + " AS cur_binned",
+    )
+    psi = " + ".join(_psi_sql(f"r{k}", f"b{k}", "ref_binned", "cur_binned") for k in range(bins))
+    result = paired.selectExpr(
         *WINDOW,
         "feature",
         "n_ref",
         "n_cur",
-        F.coalesce("ks", F.lit(0.0)).alias("ks"),
-        F.when((ref_total > 0) & (cur_total > 0), psi).otherwise(F.lit(0.0)).alias("psi"),
-        F.least("low", "ref_low").alias("low"),
-        F.greatest("high", "ref_high").alias("high"),
+        "coalesce(ks, 0D) AS ks",
+        f"CASE WHEN ref_binned > 0 AND cur_binned > 0 THEN {psi} ELSE 0D END AS psi",
+        "least(low, ref_low) AS low",
+        "greatest(high, ref_high) AS high",
     )
     if profile.flat:
         result = _with_flat_psi(result, counts, profile.flat, bins)
@@ -206,17 +193,14 @@ def _with_flat_psi(result: DataFrame, counts: DataFrame, flat: Sequence[str], bi
         *WINDOW, "feature", "value", F.lit(0).alias("r"), F.col("n").alias("c")
     )
     both = ref_cells.join(ranges, "feature").unionByName(cur_cells.join(ranges, [*WINDOW, "feature"]))
-    step = (F.col("high") - F.col("low")) / F.lit(float(bins))
-    at = _sum([(F.col("value") >= F.col("low") + F.lit(float(k)) * step).cast("int") for k in range(1, bins)])
-    binned = both.groupBy(*WINDOW, "feature", at.alias("bin")).agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
+    at = " + ".join(f"int(value >= low + {double(k)} * ((high - low) / {double(bins)}))" for k in range(1, bins))
+    binned = both.groupBy(*WINDOW, "feature", F.expr(at).alias("bin")).agg(
+        F.sum("r").alias("r"), F.sum("c").alias("c")
+    )
     sums = binned.groupBy(*WINDOW, "feature").agg(F.sum("r").alias("ref_all"), F.sum("c").alias("cur_all"))
+    term = _psi_sql("r", "c", "ref_all", "cur_all")
     terms = binned.join(sums, [*WINDOW, "feature"]).groupBy(*WINDOW, "feature").agg(
-        F.sum(
-            F.when(
-                (F.col("ref_all") > 0) & (F.col("cur_all") > 0),
-                _psi_term(F.col("r"), F.col("c"), F.col("ref_all"), F.col("cur_all")),
-            )
-        ).alias("flat_psi")
+        F.expr(f"sum(CASE WHEN ref_all > 0 AND cur_all > 0 THEN {term} END)").alias("flat_psi")
     )
     merged = result.join(terms, [*WINDOW, "feature"], "left")
     spread = ~is_close(F.col("low"), F.col("high"))
@@ -232,11 +216,11 @@ def categorical_drift(reference: DataFrame, windows: DataFrame, features: Sequen
     Null is the level 'missing'. Two levels get the continuity correction.
     """
     stacked = _stack(reference, windows, list(features))
-    cells = F.array(
-        *[F.struct(F.lit(f).alias("feature"), category(F.col(f)).alias("level")) for f in features]
+    cells = ", ".join(
+        f"named_struct('feature', '{f}', 'level', coalesce(string(`{f}`), '{MISSING}'))" for f in features
     )
     counts = (
-        stacked.select(*WINDOW, F.inline(cells))
+        stacked.select(*WINDOW, F.expr(f"inline(array({cells}))"))
         .groupBy(*WINDOW, "feature", "level")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -260,28 +244,32 @@ def categorical_drift(reference: DataFrame, windows: DataFrame, features: Sequen
         .agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
         .join(pairs, [*WINDOW, "feature"])
     )
-    r, c = F.col("r").cast("double"), F.col("c").cast("double")
-    ref_size, cur_size = F.col("ref_size").cast("double"), F.col("cur_size").cast("double")
-    expect_r = (r + c) * ref_size / (ref_size + cur_size)
-    expect_c = (r + c) * cur_size / (ref_size + cur_size)
-
-    def part(seen: Column, expected: Column, corrected: bool) -> Column:
-        off = F.abs(seen - expected)
-        if corrected:
-            off = off - F.least(F.lit(0.5), off)
-        return off * off / expected
-
-    plain = part(r, expect_r, False) + part(c, expect_c, False)
-    yates = part(r, expect_r, True) + part(c, expect_c, True)
+    table = table.selectExpr(
+        "*",
+        "double(r + c) * ref_size / (ref_size + cur_size) AS expect_r",
+        "double(r + c) * cur_size / (ref_size + cur_size) AS expect_c",
+    )
+
+    def part(seen: str, expected: str, correction: str) -> str:
+        off = f"abs({seen} - {expected})"
+        return f"pow({off} - least({correction}, {off}), 2D) / {expected}"
+
+    def statistic(correction: str):
+        return F.expr(f"sum({part('r', 'expect_r', correction)} + {part('c', 'expect_c', correction)})")
+
     found = table.groupBy(*WINDOW, "feature").agg(
         F.count(F.lit(1)).alias("levels"),
-        F.sum(plain).alias("plain"),
-        F.sum(yates).alias("yates"),
-        F.sum(_psi_term(r, c, ref_size, cur_size)).alias("psi"),
+        statistic("0D").alias("plain"),
+        statistic("0.5D").alias("yates"),
+        F.expr(f"sum({_psi_sql('r', 'c', 'ref_size', 'cur_size')})").alias("psi"),
     )
-    statistic = F.when(F.col("levels") == 2, F.col("yates")).otherwise(F.col("plain"))
-    return found.select(
-        *WINDOW, "feature", "levels", statistic.alias("chi2"), (F.col("levels") - 1).alias("df"), "psi"
+    return found.selectExpr(
+        *WINDOW,
+        "feature",
+        "levels",
+        "CASE WHEN levels = 2 THEN yates ELSE plain END AS chi2",
+        "levels - 1 AS df",
+        "psi",
     )
 
 
@@ -312,7 +300,7 @@ def drift_audit(
         profile = profile or fit_reference(reference, numeric, windows)
         table = numeric_drift(reference, windows, profile)
         known = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
-        p = F.when(known, kolmogorov_upper_tail(F.col("ks"), F.col("n_ref"), F.col("n_cur"))).otherwise(F.lit(1.0))
+        p = F.when(known, kolmogorov_upper_tail("ks", "n_ref", "n_cur")).otherwise(F.lit(1.0))
         parts.append(
             table.select(
                 *WINDOW,
@@ -333,7 +321,7 @@ def drift_audit(
                 F.lit("categorical").alias("feature_type"),
                 F.lit("chi2").alias("detector"),
                 F.col("chi2").alias("statistic"),
-                chi2_upper_tail(F.col("chi2"), F.col("df")).alias("p_value"),
+                chi2_upper_tail("chi2", "df").alias("p_value"),
                 F.col("psi").alias("effect_size"),
             )
         )

@@ -16,9 +16,9 @@ from plumbline.functions import (
     at_least,
     bin_right_closed,
     clip,
+    double,
     edges_below,
     equal_edges,
-    ratio,
 )
 from plumbline.operators.ordered import BUCKET, range_cuts, running_totals, with_buckets
 
@@ -38,20 +38,23 @@ def confusion(y: Column, predicted: Column) -> dict[str, Column]:
 
 
 def from_confusion(fp_cost: float = C.FP_COST, fn_cost: float = C.FN_COST) -> dict[str, Column]:
-    """Rates and costs as expressions over columns tp, fp, fn, tn, n."""
-    tp, fp, fn, tn, n = (F.col(c) for c in ("tp", "fp", "fn", "tn", "n"))
-    total = F.lit(float(fp_cost)) * fp + F.lit(float(fn_cost)) * fn
+    """Rates and costs as expressions over columns tp, fp, fn, tn, n; 0 for 0/0."""
+    total = f"({double(fp_cost)} * fp + {double(fn_cost)} * fn)"
+
+    def share(a: str, b: str) -> Column:
+        return F.expr(f"coalesce(try_divide(double({a}), double({b})), 0D)")
+
     return {
-        "accuracy": ratio(tp + tn, n),
-        "precision": ratio(tp, tp + fp),
-        "recall": ratio(tp, tp + fn),
-        "f1": ratio(2 * tp, 2 * tp + fp + fn),
-        "fp_rate": ratio(fp, n),
-        "fn_rate": ratio(fn, n),
-        "error_rate": ratio(fp + fn, n),
-        "total_cost": total,
-        "expected_cost": ratio(total, n),
-        "cost_per_100": F.lit(100.0) * ratio(total, n),
+        "accuracy": share("tp + tn", "n"),
+        "precision": share("tp", "tp + fp"),
+        "recall": share("tp", "tp + fn"),
+        "f1": share("2 * tp", "2 * tp + fp + fn"),
+        "fp_rate": share("fp", "n"),
+        "fn_rate": share("fn", "n"),
+        "error_rate": share("fp + fn", "n"),
+        "total_cost": F.expr(total),
+        "expected_cost": share(total, "n"),
+        "cost_per_100": share(f"100D * {total}", "n"),
     }
 
 
@@ -103,22 +106,19 @@ def sweep_thresholds(
     (thresholds + 1) rows per key, so nothing is repeated per threshold.
     """
     steps = sorted(set(float(t) for t in thresholds))
-    levels = edges_below(F.col("score"), steps, inclusive=True)
+    levels = edges_below("score", steps, inclusive=True)
     histogram = (
         df.groupBy(*keys, levels.alias("passed"))
         .agg(F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg"))
     )
     # One row per key: tp and fp of every threshold as conditional sums.
-    reached = [
-        F.struct(
-            F.lit(t).alias("threshold"),
-            F.sum(F.when(F.col("passed") > k, F.col("pos")).otherwise(0)).alias("tp"),
-            F.sum(F.when(F.col("passed") > k, F.col("neg")).otherwise(0)).alias("fp"),
-        )
+    reached = ", ".join(
+        f"named_struct('threshold', {double(t)}, 'tp', sum(CASE WHEN passed > {k} THEN pos ELSE 0 END), "
+        f"'fp', sum(CASE WHEN passed > {k} THEN neg ELSE 0 END))"
         for k, t in enumerate(steps)
-    ]
+    )
     per_key = histogram.groupBy(*keys).agg(
-        F.sum("pos").alias("p"), F.sum("neg").alias("q"), F.array(*reached).alias("grid")
+        F.sum("pos").alias("p"), F.sum("neg").alias("q"), F.expr(f"array({reached})").alias("grid")
     )
     cells = per_key.select(*keys, "p", "q", F.inline("grid"))
     counts = cells.withColumns(
@@ -152,26 +152,24 @@ def score_counts(df: DataFrame, keys: Sequence[str], buckets: int | None = None)
     )
 
 
+# Over rows of `running_totals`: negatives below a score win for its positives
+# (ties count half); precision at each score, weighted by its positives.
+_NEG_BELOW = "(cum_n_neg - n_neg)"
+_TP = "(tot_n_pos - (cum_n_pos - n_pos))"
+_BOTH = "max(tot_n_pos) > 0 AND max(tot_n_neg) > 0"
+ORDERED = {
+    "roc_auc": f"CASE WHEN {_BOTH} THEN sum(double(n_pos) * ({_NEG_BELOW} + n_neg / 2D))"
+    " / (max(double(tot_n_pos)) * max(double(tot_n_neg))) END",
+    "pr_auc": f"CASE WHEN {_BOTH} THEN sum(double(n_pos) * double({_TP}) / double({_TP} + tot_n_neg - {_NEG_BELOW}))"
+    " / max(double(tot_n_pos)) END",
+}
+
+
 def ranking_metrics(df: DataFrame, keys: Sequence[str], buckets: int | None = None) -> DataFrame:
     """Exact ROC-AUC (mid-ranks) and average precision; null with one class only."""
     counts = score_counts(df, keys, buckets)
     ranked = running_totals(counts, keys, "score", ["n_pos", "n_neg"])
-    return ranked.groupBy(*keys).agg(*[v.alias(k) for k, v in _ordered_aggregates().items()])
-
-
-def _ordered_aggregates() -> dict[str, Column]:
-    pos, neg = F.col("n_pos").cast("double"), F.col("n_neg").cast("double")
-    all_pos, all_neg = F.col("tot_n_pos").cast("double"), F.col("tot_n_neg").cast("double")
-    neg_below = F.col("cum_n_neg") - F.col("n_neg")
-    tp = F.col("tot_n_pos") - (F.col("cum_n_pos") - F.col("n_pos"))
-    kept = tp + F.col("tot_n_neg") - neg_below
-    both = (F.max("tot_n_pos") > 0) & (F.max("tot_n_neg") > 0)
-    wins = F.sum(pos * (neg_below + neg / F.lit(2.0)))
-    steps = F.sum(pos * tp.cast("double") / kept.cast("double"))
-    return {
-        "roc_auc": F.when(both, wins / (F.max(all_pos) * F.max(all_neg))),
-        "pr_auc": F.when(both, steps / F.max(all_pos)),
-    }
+    return ranked.groupBy(*keys).agg(*[F.expr(v).alias(k) for k, v in ORDERED.items()])
 
 
 def reliability_table(
@@ -184,10 +182,10 @@ def reliability_table(
     if n_bins <= 1:
         raise ValueError("n_bins must be greater than 1")
     p = clip(F.col("score").cast("double"), 0.0, 1.0)
-    bin_id = bin_right_closed(p, equal_edges(n_bins))
+    bin_id = bin_right_closed("p", equal_edges(n_bins))
     if include_zero:
-        bin_id = F.greatest(bin_id, F.lit(1))
-    binned = df.select(*keys, "y", p.alias("p"), bin_id.alias("bin")).where(F.col("bin") >= 1)
+        bin_id = F.when(bin_id.isNotNull(), F.greatest(bin_id, F.lit(1)))
+    binned = df.select(*keys, "y", p.alias("p")).withColumn("bin", bin_id).where(F.col("bin") >= 1)
     return (
         binned.groupBy(*keys, "bin")
         .agg(
@@ -204,23 +202,17 @@ def calibration_gap(reliability: DataFrame, keys: Sequence[str]) -> DataFrame:
     return reliability.groupBy(*keys).agg(F.avg("abs_gap").alias("mean_abs_gap"))
 
 
-def _ece_aggregate(weight: Column, y_weight: Column, p: Column, n_bins: int, include_zero: bool) -> Column:
-    """Expected calibration error inside one grouped aggregate."""
-    bin_id = bin_right_closed(p, equal_edges(n_bins))
-    if include_zero:
-        bin_id = F.greatest(bin_id, F.lit(1))
-    gaps = [
-        F.abs(
-            F.sum(F.when(bin_id == b, weight * p).otherwise(F.lit(0.0)))
-            - F.sum(F.when(bin_id == b, y_weight).otherwise(F.lit(0.0)))
-        )
+def _ece_sql(weight: str, y_weight: str, p: str, bin_id: str, n_bins: int) -> str:
+    """Expected calibration error inside one grouped aggregate.
+
+    n_b/N * |p_b/n_b - y_b/n_b| = |p_b - y_b| / N with the sums p_b, y_b of a bin.
+    """
+    gaps = " + ".join(
+        f"abs(sum(CASE WHEN {bin_id} = {b} THEN {weight} * {p} ELSE 0D END)"
+        f" - sum(CASE WHEN {bin_id} = {b} THEN {y_weight} ELSE 0D END))"
         for b in range(1, n_bins + 1)
-    ]
-    total = gaps[0]
-    for gap in gaps[1:]:
-        total = total + gap
-    # n_b/N * |p_b/n_b - y_b/n_b| = |p_b - y_b| / N with sums p_b, y_b
-    return F.coalesce(F.try_divide(total, F.sum(weight)), F.lit(0.0))
+    )
+    return f"coalesce(try_divide({gaps}, sum({weight})), 0D)"
 
 
 def calibration_error(
@@ -230,8 +222,11 @@ def calibration_error(
     if n_bins <= 1:
         raise ValueError("n_bins must be greater than 1")
     p = clip(F.col("score").cast("double"), 0.0, 1.0)
-    y = F.col("y").cast("double")
-    return df.groupBy(*keys).agg(_ece_aggregate(F.lit(1.0), y, p, n_bins, include_zero).alias("ece"))
+    bin_id = bin_right_closed("p", equal_edges(n_bins))
+    if include_zero:
+        bin_id = F.when(bin_id.isNotNull(), F.greatest(bin_id, F.lit(1)))
+    rows = df.select(*keys, F.col("y").cast("double").alias("y"), p.alias("p")).withColumn("bin", bin_id)
+    return rows.groupBy(*keys).agg(F.expr(_ece_sql("1D", "y", "p", "bin", n_bins)).alias("ece"))
 
 
 def metric_record(
@@ -252,23 +247,21 @@ def metric_record(
     clipped = df.withColumn("score", clip(F.col("score").cast("double"), 0.0, 1.0))
     counts = score_counts(clipped, keys, buckets)
     ranked = running_totals(counts, keys, "score", ["n_pos", "n_neg"])
-    pos, neg, p = F.col("n_pos").cast("double"), F.col("n_neg").cast("double"), F.col("score")
-    n = F.sum(F.col("n_pos") + F.col("n_neg"))
-    safe = clip(p, eps, 1.0 - eps)
-    hit = p >= threshold
-    one = F.lit(1.0)
+    ranked = ranked.withColumn("bin", bin_right_closed("score", equal_edges(n_bins)))
+    hit = f"score >= {double(threshold)}"
+    safe = f"least(greatest(score, {double(eps)}), {double(1.0 - eps)})"
     aggregates = {
-        "tp": F.sum(F.when(hit, F.col("n_pos")).otherwise(0)),
-        "fp": F.sum(F.when(hit, F.col("n_neg")).otherwise(0)),
-        "fn": F.sum(F.when(hit, 0).otherwise(F.col("n_pos"))),
-        "tn": F.sum(F.when(hit, 0).otherwise(F.col("n_neg"))),
-        "n": n,
-        "brier": F.sum(pos * (one - p) * (one - p) + neg * p * p) / n,
-        "log_loss": -F.sum(pos * F.log(safe) + neg * F.log(one - safe)) / n,
-        "ece": _ece_aggregate(pos + neg, pos, p, n_bins, False),
-        **_ordered_aggregates(),
+        "tp": f"sum(CASE WHEN {hit} THEN n_pos ELSE 0 END)",
+        "fp": f"sum(CASE WHEN {hit} THEN n_neg ELSE 0 END)",
+        "fn": f"sum(CASE WHEN {hit} THEN 0 ELSE n_pos END)",
+        "tn": f"sum(CASE WHEN {hit} THEN 0 ELSE n_neg END)",
+        "n": "sum(n_pos + n_neg)",
+        "brier": "sum(n_pos * (1D - score) * (1D - score) + n_neg * score * score) / sum(n_pos + n_neg)",
+        "log_loss": f"-sum(n_pos * ln({safe}) + n_neg * ln(1D - {safe})) / sum(n_pos + n_neg)",
+        "ece": _ece_sql("double(n_pos + n_neg)", "double(n_pos)", "score", "bin", n_bins),
+        **ORDERED,
     }
-    grouped = ranked.groupBy(*keys).agg(*[v.alias(k) for k, v in aggregates.items()])
+    grouped = ranked.groupBy(*keys).agg(*[F.expr(v).alias(k) for k, v in aggregates.items()])
     return grouped.withColumns(from_confusion(fp_cost, fn_cost))
 
 

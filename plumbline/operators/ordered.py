@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from plumbline.functions import number
+from plumbline.functions import double, number
 from plumbline.session import default_buckets
 
 BUCKET = "bucket"
@@ -63,19 +63,18 @@ def long_values(
     cuts = cuts if cuts is not None else range_cuts(df, features)
     typed = df.select(*keys, *extra, *[number(F.col(c)).alias(c) for c in features])
     bucketed = with_buckets(typed, {c: cuts[c] for c in features})
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("feature"),
-                F.col(c).alias("value"),
-                # Never null, so the join on it adds no filter and the two
-                # branches of running_totals can share one exchange.
-                F.coalesce(F.col(c + "__bucket").cast("int"), F.lit(0)).alias(BUCKET),
-            )
-            for c in features
-        ]
-    )
-    return bucketed.select(*keys, *extra, F.inline(cells)).where(F.col("value").isNotNull())
+    cells = ", ".join(f"named_struct('feature', '{c}', 'value', `{c}`, {bucket_sql(c)})" for c in features)
+    long = bucketed.select(*keys, *extra, F.expr(f"inline(array({cells}))"))
+    return long.where(F.col("value").isNotNull())
+
+
+def bucket_sql(column: str) -> str:
+    """Struct field with the bucket of a column.
+
+    Never null, so a join on it adds no filter and the branches of
+    `running_totals` can share one exchange.
+    """
+    return f"'{BUCKET}', coalesce(int(`{column}__bucket`), 0)"
 
 
 def running_totals(
@@ -110,26 +109,23 @@ def running_totals(
 
 
 def quantiles_from_totals(
-    ranked: DataFrame, keys: Sequence[str], probs: Sequence[float], digits: int | None = 9
+    ranked: DataFrame, keys: Sequence[str], probs: Sequence[float], digits: int | None = None
 ) -> DataFrame:
     """Exact linear-interpolated quantiles as an array column `quantiles`.
 
     `ranked` comes from `running_totals` over a count column named n.
     """
-    position = [F.lit(float(p)) * (F.col("tot_n") - 1) for p in probs]
-    aggregates: list[Column] = []
-    for k, pos in enumerate(position):
-        aggregates += [
-            F.min(F.when(F.col("cum_n") > F.floor(pos), F.col("value"))).alias(f"lo{k}"),
-            F.min(F.when(F.col("cum_n") > F.ceil(pos), F.col("value"))).alias(f"hi{k}"),
-        ]
+    aggregates, cells = [], []
+    for k, p in enumerate(probs):
+        position = f"({double(p)} * (tot_n - 1))"
+        for side, bound in (("lo", "floor"), ("hi", "ceil")):
+            aggregates.append(
+                F.expr(f"min(CASE WHEN cum_n > {bound}({position}) THEN value END)").alias(f"{side}{k}")
+            )
+        cell = f"lo{k} + (hi{k} - lo{k}) * ({position} - floor({position}))"
+        cells.append(cell if digits is None else f"round({cell}, {digits})")
     found = ranked.groupBy(*keys).agg(F.first("tot_n").alias("tot_n"), *aggregates)
-    cells = []
-    for k, pos in enumerate(position):
-        lo, hi = F.col(f"lo{k}"), F.col(f"hi{k}")
-        cell = lo + (hi - lo) * (pos - F.floor(pos))
-        cells.append(F.round(cell, digits) if digits is not None else cell)
-    return found.select(*keys, F.array(*cells).alias("quantiles"))
+    return found.select(*keys, F.expr(f"array({', '.join(cells)})").alias("quantiles"))
 
 
 def value_counts(long: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -142,7 +138,7 @@ def feature_quantiles(
     probs: Sequence[float],
     keys: Sequence[str] = (),
     cuts: Mapping[str, Sequence[float]] | None = None,
-    digits: int | None = 9,
+    digits: int | None = None,
 ) -> DataFrame:
     """(keys, feature, quantiles[]) of the numeric features of a wide table."""
     long = long_values(df, keys, features, cuts)
@@ -156,7 +152,7 @@ def collect_quantiles(
     features: Sequence[str],
     probs: Sequence[float],
     cuts: Mapping[str, Sequence[float]] | None = None,
-    digits: int | None = 9,
+    digits: int | None = None,
 ) -> dict[str, list[float]]:
     """Fitted quantiles on the driver: len(features) x len(probs) numbers."""
     rows = feature_quantiles(df, features, probs, cuts=cuts, digits=digits).collect()

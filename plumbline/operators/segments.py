@@ -13,7 +13,9 @@ from plumbline.operators.metrics import confusion_counts, from_confusion
 from plumbline.operators.ordered import collect_quantiles
 
 
-def quantile_edges(df: DataFrame, feature: str, n_bins: int = 4) -> list[float]:
+def quantile_edges(
+    df: DataFrame, feature: str, n_bins: int = 4, digits: int | None = None
+) -> list[float]:
     """De-duplicated quantile edges; fewer bins when there are few distinct values.
 
     Whether a column has fewer than `n_bins` distinct values shows in a handful of
@@ -25,7 +27,7 @@ def quantile_edges(df: DataFrame, feature: str, n_bins: int = 4) -> list[float]:
         return []
     bins = min(wanted, seen)
     probs = [k / bins for k in range(bins + 1)]
-    return sorted(set(collect_quantiles(df, [feature], probs)[feature]))
+    return sorted(set(collect_quantiles(df, [feature], probs, digits=digits)[feature]))
 
 
 def segment_columns(df: DataFrame, feature: str, n_bins: int = 4) -> DataFrame:
@@ -40,9 +42,9 @@ def segment_columns(df: DataFrame, feature: str, n_bins: int = 4) -> DataFrame:
     edges = quantile_edges(df, feature, n_bins)
     if len(edges) < 2:
         return df.withColumns({"segment": F.lit("all"), "segment_lo": none, "segment_hi": none})
-    # Edges are rounded to nine digits, so the extremes may sit just outside them.
-    inner = bin_right_closed(F.col(feature).cast("double"), edges)
-    bin_id = F.least(F.greatest(inner, F.lit(1)), F.lit(len(edges) - 1))
+    # The lowest value belongs to the first bin (and rounded edges may miss the extremes).
+    inner = bin_right_closed(f"double(`{feature}`)", edges)
+    bin_id = F.when(inner.isNotNull(), F.least(F.greatest(inner, F.lit(1)), F.lit(len(edges) - 1)))
     lows = F.array(*[F.lit(e) for e in edges[:-1]])
     highs = F.array(*[F.lit(e) for e in edges[1:]])
     lo, hi = F.try_element_at(lows, bin_id), F.try_element_at(highs, bin_id)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ("measured",)
+MODULES = ("measured", "monitored")
 
 
 class Tables:
