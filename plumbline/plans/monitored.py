@@ -43,11 +43,11 @@ def numeric_sql(source: str, features, key: str = "window_id", ref: str = str(RE
 cells AS ({cells}),
 edge_list AS (SELECT feature, list_sort(list_distinct([{quantiles}])) AS e FROM cells WHERE window_id = {ref} GROUP BY feature),
 counts AS (SELECT window_id, feature, value, count(*) AS n FROM cells GROUP BY ALL),
-binned AS (
+psi_binned AS (
   SELECT window_id, feature, least((SELECT count(*) FROM (SELECT unnest(e) AS edge) WHERE edge <= value) - 1, len(e) - 2) AS bin,
          sum(n) AS n
   FROM counts JOIN edge_list USING (feature) WHERE value BETWEEN e[1] AND e[len(e)] GROUP BY ALL),
-shares AS (SELECT window_id, feature, bin, n / sum(n) OVER (PARTITION BY window_id, feature) AS share FROM binned),
+shares AS (SELECT window_id, feature, bin, n / sum(n) OVER (PARTITION BY window_id, feature) AS share FROM psi_binned),
 windows AS (SELECT DISTINCT window_id, feature FROM cells WHERE window_id <> {ref}),
 grid AS (SELECT windows.window_id, feature, bin FROM windows JOIN edge_list USING (feature), range(0, 10) g(bin) WHERE bin < len(e) - 1),
 psi AS (
