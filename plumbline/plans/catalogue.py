@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ("measured", "monitored", "sampled", "prepared", "ranked", "explained")
+MODULES = ("scans", "scalars", "prepared", "sampled", "ranked", "measured", "decided", "explained", "monitored", "fitted")
 
 
 class Tables:

@@ -39,7 +39,9 @@ SCORED = """scored AS (
          CAST((l_partkey * 31 + l_suppkey * 17 + l_linenumber * 7) % 1001 AS DOUBLE) / CAST(1000 AS DOUBLE) AS score,
          'v' || CAST(l_linenumber % 3 AS VARCHAR) AS variant,
          l_linestatus AS dataset, l_quantity AS quantity, l_discount AS discount, l_tax AS tax,
-         CAST(year(l_shipdate) AS INT) AS window_id
+         CAST(year(l_shipdate) AS INT) AS window_id, CAST(month(l_shipdate) % 3 AS INT) AS fold,
+         'm' || CAST(l_linenumber % 2 AS VARCHAR) AS model,
+         CASE WHEN year(l_shipdate) <= 1997 THEN 'train' ELSE 'validation' END AS split
   FROM lineitem)"""
 
 
@@ -54,6 +56,9 @@ def scored(t: Tables) -> DataFrame:
         F.col("l_discount").alias("discount"),
         F.col("l_tax").alias("tax"),
         F.year("l_shipdate").alias("window_id"),
+        (F.month("l_shipdate") % 3).alias("fold"),
+        F.concat(F.lit("m"), (F.col("l_linenumber") % 2).cast("string")).alias("model"),
+        F.when(F.year("l_shipdate") <= 1997, F.lit("train")).otherwise(F.lit("validation")).alias("split"),
     )
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -37,3 +39,15 @@ def default_buckets(spark: SparkSession) -> int:
     """Range buckets per ordered column: follow the shuffle width of the cluster."""
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return max(8, min(width, 4096))
+
+
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A new folder for a written table that several steps or executors read.
+
+    Clusters name a shared folder in spark.checkpoint.dir; only where it is unset,
+    as in tests, does a local temporary folder serve.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return f"{shared.rstrip('/')}/plumbline-{uuid.uuid4().hex}/{label}"
+    return f"{tempfile.mkdtemp(prefix='plumbline-')}/{label}"
