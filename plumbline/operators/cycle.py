@@ -14,6 +14,7 @@ from plumbline.operators.metrics import metric_record
 from plumbline.operators.models import FittedClassifier, in_parallel, monitoring_classifier
 from plumbline.operators.retrain import quality_audit, reference_metrics, retraining_decisions
 from plumbline.operators.sampling import monitoring_windows, split_two
+from plumbline.session import stage
 
 DEFAULT_MODELS: Mapping[str, Mapping[str, Any]] = {
     "LogisticRegression": {},
@@ -48,6 +49,7 @@ def reference_models(
 ) -> tuple[DataFrame, dict[str, FittedClassifier]]:
     """Reference rows (0.35 of the table) and models trained on the rest."""
     parts = split_two(df, key, test_share=C.REFERENCE_SHARE, seed=seed, names=("train", "reference"))
+    parts = stage(parts.withColumns({c: F.col(c).cast("double") for c in numeric}), "monitored")
     train = parts.where(F.col("split") == "train").drop("split")
     reference = parts.where(F.col("split") == "reference").drop("split")
     names = list(models)
@@ -58,7 +60,10 @@ def reference_models(
 
 
 def score_with_all(df: DataFrame, models: Mapping[str, FittedClassifier]) -> DataFrame:
-    return _union([m(df).withColumn("model_variant", F.lit(n)) for n, m in models.items()])
+    """Every row scored by every model; narrow and cached, as metrics read it twice."""
+    keep = [c for c in ("window_id", "scenario", "y") if c in df.columns]
+    parts = [m(df).select(*keep, "score").withColumn("model_variant", F.lit(n)) for n, m in models.items()]
+    return _union(parts).persist()
 
 
 def post_retrain_comparison(
@@ -80,6 +85,7 @@ def post_retrain_comparison(
     if model_variant not in models:
         raise ValueError(f"unknown model {model_variant!r}; known: {sorted(models)}")
     parts = split_two(windows, key, strata=("window_id", "y"), test_share=C.RETRAIN_TEST_SHARE, seed=seed)
+    parts = stage(parts, "window_split")
     test, train = parts.where(F.col("split") == "test"), parts.where(F.col("split") == "train")
     ids = [r[0] for r in windows.select("window_id").distinct().orderBy("window_id").collect()]
 
@@ -93,7 +99,8 @@ def post_retrain_comparison(
     both = before.withColumn("phase", F.lit("before_retrain")).unionByName(
         after.withColumn("phase", F.lit("after_retrain"))
     )
-    record = metric_record(both.withColumn("dataset", F.lit(dataset)), ["dataset", "scenario", "phase"])
+    both = both.withColumn("dataset", F.lit(dataset)).persist()
+    record = metric_record(both, ["dataset", "scenario", "phase"])
     return record.select(*C.RETRAIN_COLUMNS)
 
 
@@ -110,13 +117,11 @@ def monitoring_cycle(
 ) -> MonitoringCycle:
     """From a labelled feature table (column y) to the four audit tables."""
     reference, fitted = reference_models(df, key, numeric, categorical, models, seed)
-    reference = reference.withColumns({c: F.col(c).cast("double") for c in numeric}).persist()
-    # The windows feed every table; their draws are hashes, so a lost cached
-    # block is rebuilt to the same rows.
-    windows = monitoring_windows(reference, key, numeric, categorical, size, seed).persist()
-    tag = F.lit(dataset)
-    baseline = reference_metrics(score_with_all(reference, fitted).withColumn("dataset", tag))
-    quality = quality_audit(score_with_all(windows, fitted).withColumn("dataset", tag), baseline)
+    # The windows feed every table, so they are drawn once and written.
+    windows = stage(monitoring_windows(reference, key, numeric, categorical, size, seed), "windows")
+    tag = {"dataset": F.lit(dataset)}
+    baseline = reference_metrics(score_with_all(reference, fitted).withColumns(tag))
+    quality = quality_audit(score_with_all(windows, fitted).withColumns(tag), baseline)
     drift = drift_audit(reference, windows, numeric, categorical, dataset)
     return MonitoringCycle(
         drift,

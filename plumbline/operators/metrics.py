@@ -140,16 +140,42 @@ def probability_metrics(df: DataFrame, keys: Sequence[str], eps: float = 1e-6) -
     )
 
 
-def score_counts(df: DataFrame, keys: Sequence[str], buckets: int | None = None) -> DataFrame:
-    """(keys, bucket, score) -> n_pos, n_neg; the input of all ordered metrics."""
+def score_counts(
+    df: DataFrame, keys: Sequence[str], buckets: int | None = None, predicted: str | None = None
+) -> DataFrame:
+    """(keys, bucket, score) -> n_pos, n_neg; the input of all ordered metrics.
+
+    With a `predicted` column also hit_pos and hit_neg, the rows decided as 1.
+    """
     cuts = range_cuts(df, ["score"], buckets)
-    rows = df.select(*keys, "y", F.col("score").cast("double").alias("score"))
+    extra = [predicted] if predicted else []
+    rows = df.select(*keys, "y", *extra, F.col("score").cast("double").alias("score"))
     placed = with_buckets(rows, cuts).withColumn(
         BUCKET, F.coalesce(F.col("score__bucket").cast("int"), F.lit(0))
     )
-    return placed.groupBy(*keys, BUCKET, "score").agg(
-        F.count_if(F.col("y") == 1).alias("n_pos"), F.count_if(F.col("y") == 0).alias("n_neg")
-    )
+    aggregates = {"n_pos": "count_if(y = 1)", "n_neg": "count_if(y = 0)"}
+    if predicted:
+        aggregates["hit_pos"] = f"count_if(y = 1 AND `{predicted}` = 1)"
+        aggregates["hit_neg"] = f"count_if(y = 0 AND `{predicted}` = 1)"
+    return placed.groupBy(*keys, BUCKET, "score").agg(*[F.expr(v).alias(k) for k, v in aggregates.items()])
+
+
+def decision_metrics(
+    scored: DataFrame, keys: Sequence[str], predicted: str = "predicted", buckets: int | None = None
+) -> DataFrame:
+    """accuracy and F1 of a given 0/1 decision, ROC-AUC of the score, in one pass."""
+    counts = score_counts(scored, keys, buckets, predicted)
+    ranked = running_totals(counts, keys, "score", ["n_pos", "n_neg"])
+    aggregates = {
+        "tp": "sum(hit_pos)",
+        "fp": "sum(hit_neg)",
+        "fn": "sum(n_pos - hit_pos)",
+        "tn": "sum(n_neg - hit_neg)",
+        "n": "sum(n_pos + n_neg)",
+        "roc_auc": ORDERED["roc_auc"],
+    }
+    grouped = ranked.groupBy(*keys).agg(*[F.expr(v).alias(k) for k, v in aggregates.items()])
+    return grouped.withColumns(from_confusion()).select(*keys, "accuracy", "f1", "roc_auc")
 
 
 # Over rows of `running_totals`: negatives below a score win for its positives

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from plumbline import constants as C
 from plumbline.functions import at_least, clip, sigmoid, sorted_json
-from plumbline.operators.metrics import metric_record
+from plumbline.operators.metrics import decision_metrics, metric_record, to_long
 from plumbline.operators.preprocess import Preprocessor, fit_preprocessor
 
 MAX_DEPTH = 30  # deepest tree Spark grows
@@ -53,15 +53,15 @@ def make_estimator(name: str, rows: int, seed: int = C.SEED, **params: Any):
             regParam=1.0 / (params.get("C", 1.0) * rows),
             elasticNetParam=1.0 if params.get("l1") else 0.0,
             standardization=False,
-            maxIter=params.get("max_iter", 200),
-            tol=1e-8,
+            maxIter=params.get("max_iter", 100),
+            tol=1e-6,
             **common,
         )
     if name == "LinearSVC":
         return LinearSVC(
             regParam=1.0 / (params.get("C", 1.0) * rows),
             standardization=False,
-            maxIter=params.get("max_iter", 100),
+            maxIter=params.get("max_iter", 50),
             **common,
         )
     if name == "RandomForest":
@@ -77,9 +77,11 @@ def make_estimator(name: str, rows: int, seed: int = C.SEED, **params: Any):
     raise ValueError(f"unknown model {name!r}")
 
 
-def fit_model(df: DataFrame, name: str, seed: int = C.SEED, **params: Any):
-    """Fit on a frame with `features` and `y`."""
-    counts = class_counts(df)
+def fit_model(
+    df: DataFrame, name: str, seed: int = C.SEED, counts: Mapping[int, int] | None = None, **params: Any
+):
+    """Fit on a frame with `features` and `y`; class counts are found if not given."""
+    counts = counts or class_counts(df)
     rows = sum(counts.values())
     if params.get("class_weight"):
         df = df.withColumn(WEIGHT, balanced_weight(counts))
@@ -154,6 +156,18 @@ def in_parallel(jobs: Sequence[Callable[[], Any]], width: int = 4) -> list[Any]:
         return list(pool.map(lambda job: job(), jobs))
 
 
+def _united(parts: Sequence[DataFrame]) -> DataFrame:
+    united = parts[0]
+    for more in parts[1:]:
+        united = united.unionByName(more)
+    return united
+
+
+def _scored_once(parts: Sequence[DataFrame]) -> DataFrame:
+    """Union of scored rows, cached: metrics read them twice, models score once."""
+    return _united(parts).persist()
+
+
 def compare_models(
     df: DataFrame,
     preprocessor: Preprocessor,
@@ -169,6 +183,7 @@ def compare_models(
     with the model name under "model" unless the label is the name.
     """
     cells = []
+    counts = class_counts(df.where(F.col("split") == splits[0]))
     for set_name, features in feature_sets.items():
         vectors = preprocessor.vectors(df.where(F.col("split").isin(list(splits))), features)
         # Fits of one feature set share the vectors; the cache spills to disk and
@@ -180,26 +195,13 @@ def compare_models(
     def job(cell):
         set_name, label, params, vectors = cell
         name = params.pop("model", label)
-        model = fit_model(vectors.where(F.col("split") == splits[0]), name, **params)
+        model = fit_model(vectors.where(F.col("split") == splits[0]), name, counts=counts, **params)
         tags = {"dataset": F.lit(dataset), "feature_set": F.lit(set_name), "model": F.lit(label)}
         return apply_model(model, vectors).select("split", "y", "score", "predicted").withColumns(tags)
 
     parts = in_parallel([lambda c=c: job(c) for c in cells], width)
-    united = parts[0]
-    for more in parts[1:]:
-        united = united.unionByName(more)
     keys = ["dataset", "feature_set", "model", "split"]
-    return decision_metrics(united, keys)
-
-
-def decision_metrics(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """accuracy and F1 of the model's own decision, ROC-AUC of its score."""
-    from plumbline.operators.metrics import confusion_counts, from_confusion, ranking_metrics
-
-    counts = confusion_counts(scored, keys).withColumns(from_confusion())
-    return counts.select(*keys, "accuracy", "f1").join(ranking_metrics(scored, keys), list(keys)).select(
-        *keys, "accuracy", "f1", "roc_auc"
-    )
+    return decision_metrics(_scored_once(parts), keys)
 
 
 def cross_validate(
@@ -210,17 +212,31 @@ def cross_validate(
     `df` has features, y and a fold column. Each fold is scored by a model that
     never saw it, which is also what calibration needs.
     """
-    numbers = [r[0] for r in df.select(fold).distinct().orderBy(fold).collect()]
+    sizes = fold_counts(df, fold)
 
     def job(k):
-        model = fit_model(df.where(F.col(fold) != k), name, **params)
+        model = fit_model(df.where(F.col(fold) != k), name, counts=counts_without(sizes, k), **params)
         return apply_model(model, df.where(F.col(fold) == k))
 
-    parts = in_parallel([lambda k=k: job(k) for k in numbers], width)
-    united = parts[0]
-    for more in parts[1:]:
-        united = united.unionByName(more)
-    return united.withColumn(label, F.lit(name))
+    parts = in_parallel([lambda k=k: job(k) for k in sorted(sizes)], width)
+    return _united(parts).withColumn(label, F.lit(name))
+
+
+def fold_counts(df: DataFrame, fold: str = "fold") -> dict[int, dict[int, int]]:
+    """Rows per fold and class."""
+    sizes: dict[int, dict[int, int]] = {}
+    for r in df.groupBy(fold, "y").count().collect():
+        sizes.setdefault(r[fold], {})[r["y"]] = r["count"]
+    return sizes
+
+
+def counts_without(sizes: Mapping[int, Mapping[int, int]], held: int) -> dict[int, int]:
+    total: dict[int, int] = {}
+    for k, classes in sizes.items():
+        if k != held:
+            for label, n in classes.items():
+                total[label] = total.get(label, 0) + n
+    return total
 
 
 def cv_stability(scored: DataFrame, keys: Sequence[str], fold: str = "fold") -> DataFrame:
@@ -263,18 +279,18 @@ def grid_search(
     list of parameter sets that param_id points to.
     """
     choices = param_sets(grid)
-    parts = []
-    for i, params in enumerate(choices):
-        scored = cross_validate(df, name, fold, width, **{**(fixed or {}), **params})
-        parts.append(
-            scored.select("y", "score", "predicted", fold).withColumns(
-                {"param_id": F.lit(i), "params_json": params_column(params)}
-            )
-        )
-    united = parts[0]
-    for more in parts[1:]:
-        united = united.unionByName(more)
-    tagged = united.withColumns(
+    sizes = fold_counts(df, fold)
+
+    def job(cell):
+        (i, params), k = cell
+        chosen = {**(fixed or {}), **params}
+        model = fit_model(df.where(F.col(fold) != k), name, counts=counts_without(sizes, k), **chosen)
+        held = apply_model(model, df.where(F.col(fold) == k))
+        tags = {"param_id": F.lit(i), "params_json": params_column(params)}
+        return held.select("y", "score", "predicted", fold).withColumns(tags)
+
+    cells = list(itertools.product(enumerate(choices), sorted(sizes)))
+    tagged = _scored_once(in_parallel([lambda c=c: job(c) for c in cells], width)).withColumns(
         {"dataset": F.lit(dataset), "feature_set": F.lit(feature_set), "model": F.lit(name)}
     )
     keys = ["dataset", "feature_set", "model", "param_id", "params_json"]
@@ -296,17 +312,13 @@ def validation_curve(
 ) -> DataFrame:
     """Train and validation metrics along one parameter, as long rows."""
     parts = []
+    counts = class_counts(train)
     for value in values:
-        model = fit_model(train, name, **{**fixed, param: value})
+        model = fit_model(train, name, counts=counts, **{**fixed, param: value})
         for split, rows in (("train", train), ("validation", valid)):
             tags = {"param": F.lit(param), "value": F.lit(str(value)), "split": F.lit(split)}
             parts.append(apply_model(model, rows).select("y", "score", "predicted").withColumns(tags))
-    united = parts[0]
-    for more in parts[1:]:
-        united = united.unionByName(more)
-    from plumbline.operators.metrics import to_long
-
-    wide = decision_metrics(united, ["param", "value", "split"])
+    wide = decision_metrics(_scored_once(parts), ["param", "value", "split"])
     renamed = wide.withColumnRenamed("value", "param_value")
     return to_long(renamed, ["param", "param_value", "split"], ["accuracy", "f1", "roc_auc"])
 
@@ -383,9 +395,10 @@ def recursive_elimination(
     """
     alive = list(range(len(names)))
     gone: list[int] = []
+    counts = class_counts(df)
     while len(alive) > keep:
         part = _sliced(df, alive)
-        sizes = [abs(v) for v in fit_model(part, "LogisticRegression", **params).coefficients.toArray()]
+        sizes = [abs(v) for v in fit_model(part, "LogisticRegression", counts=counts, **params).coefficients.toArray()]
         weakest = min(range(len(alive)), key=lambda i: (sizes[i], -alive[i]))
         gone.append(alive.pop(weakest))
     rank = {i: 1 for i in alive}
@@ -401,7 +414,8 @@ def forward_selection(
 
     All candidates of a round are scored and compared in one job.
     """
-    folds = [r[0] for r in df.select(fold).distinct().orderBy(fold).collect()]
+    sizes = fold_counts(df, fold)
+    folds = sorted(sizes)
     chosen: list[int] = []
     while len(chosen) < min(keep, len(names)):
         candidates = [i for i in range(len(names)) if i not in chosen]
@@ -409,16 +423,14 @@ def forward_selection(
         def job(cell):
             i, k = cell
             part = _sliced(df, [*chosen, i])
-            model = fit_model(part.where(F.col(fold) != k), "LogisticRegression", **params)
+            rest = counts_without(sizes, k)
+            model = fit_model(part.where(F.col(fold) != k), "LogisticRegression", counts=rest, **params)
             held = apply_model(model, part.where(F.col(fold) == k))
             right = (F.col("predicted") == F.col("y")).cast("double")
             return held.select(F.lit(i).alias("candidate"), F.lit(k).alias("fold_no"), right.alias("right"))
 
         parts = in_parallel([lambda c=c: job(c) for c in itertools.product(candidates, folds)], width)
-        united = parts[0]
-        for more in parts[1:]:
-            united = united.unionByName(more)
-        per_fold = united.groupBy("candidate", "fold_no").agg(F.avg("right").alias("accuracy"))
+        per_fold = _united(parts).groupBy("candidate", "fold_no").agg(F.avg("right").alias("accuracy"))
         best = (
             per_fold.groupBy("candidate")
             .agg(F.round(F.avg("accuracy"), 12).alias("accuracy"))
@@ -463,10 +475,7 @@ def selection_runs(
                 rows = once
             tags = {"dataset": F.lit(dataset), "method": F.lit(method), "seed": F.lit(seed)}
             parts.append(rows.select("feature", "selected").withColumns(tags))
-    united = parts[0]
-    for more in parts[1:]:
-        united = united.unionByName(more)
-    return united.select("dataset", "method", "feature", "seed", "selected")
+    return _united(parts).select("dataset", "method", "feature", "seed", "selected")
 
 
 def evaluate(classifier, df: DataFrame, keys: Sequence[str], threshold: float = 0.5) -> DataFrame:

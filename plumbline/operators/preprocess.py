@@ -11,6 +11,7 @@ from pyspark.sql.types import BooleanType, NumericType
 
 from plumbline.functions import number
 from plumbline.operators.ordered import collect_quantiles
+from plumbline.session import default_buckets
 
 
 def feature_types(df: DataFrame, exclude: Sequence[str] = ()) -> tuple[list[str], list[str]]:
@@ -135,12 +136,21 @@ def fit_preprocessor(
     means: dict[str, float] = {}
     scales: dict[str, float] = {}
     if numeric:
-        found = collect_quantiles(df, numeric, [0.5], digits=digits)
+        # One pass for the moments and the cut points, one for the exact medians.
+        buckets = default_buckets(df.sparkSession)
+        shares = [k / buckets for k in range(1, buckets)]
         aggregates = [F.count(F.lit(1)).alias("n")]
         for c in numeric:
             v = number(F.col(c))
-            aggregates += [F.count(v).alias(f"n_{c}"), F.avg(v).alias(f"m_{c}"), F.var_pop(v).alias(f"v_{c}")]
+            aggregates += [
+                F.count(v).alias(f"n_{c}"),
+                F.avg(v).alias(f"m_{c}"),
+                F.var_pop(v).alias(f"v_{c}"),
+                F.percentile_approx(v, shares, 10 * buckets).alias(f"q_{c}"),
+            ]
         row = df.agg(*aggregates).first()
+        cuts = {c: sorted(set(row[f"q_{c}"] or [])) for c in numeric}
+        found = collect_quantiles(df, numeric, [0.5], cuts, digits)
         for c in numeric:
             seen, empty = row[f"n_{c}"], row["n"] - row[f"n_{c}"]
             if not seen:

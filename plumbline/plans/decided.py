@@ -139,7 +139,7 @@ def split_scores(t):
 
 
 def summary(t):
-    per_split = H.decision_metrics(split_scores(t), ["dataset", "feature_set", "model", "split"])
+    per_split = M.decision_metrics(split_scores(t), ["dataset", "feature_set", "model", "split"])
     return P.generalization_summary(per_split)
 
 
@@ -208,7 +208,7 @@ SPLIT = ("accuracy", "f1", "roc_auc")
     f"WITH {record_sql('dataset, split', 'dataset, split')} SELECT dataset, split, {tidy_sql(SPLIT)} FROM record",
 )
 def _(t):
-    table = H.decision_metrics(split_scores(t), ["dataset", "split"])
+    table = M.decision_metrics(split_scores(t), ["dataset", "split"])
     return table.select("dataset", "split", *[tidy(F.col(c)).alias(c) for c in SPLIT])
 
 
@@ -220,7 +220,7 @@ def _(t):
 )
 def _(t):
     keys = ["dataset", "feature_set", "model"]
-    table = M.to_long(H.decision_metrics(split_scores(t), keys), keys, SPLIT)
+    table = M.to_long(M.decision_metrics(split_scores(t), keys), keys, SPLIT)
     return table.withColumn("value", tidy(F.col("value")))
 
 
@@ -276,7 +276,7 @@ def compared(t):
             "feature_set": F.lit("full"),
         }
     )
-    return H.decision_metrics(rows, ["dataset", "model", "feature_set", "variant"])
+    return M.decision_metrics(rows, ["dataset", "model", "feature_set", "variant"])
 
 
 @query("h10_baseline_vs_tuned", f"WITH {COMPARED} SELECT dataset, model, feature_set, variant, {tidy_sql(SPLIT)} FROM compared")

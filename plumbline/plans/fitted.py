@@ -18,6 +18,7 @@ from plumbline.operators import sampling as S
 from plumbline.operators import selection as G
 from plumbline.plans.catalogue import query
 from plumbline.plans.views import CATEGORICAL, NUMERIC, orders_wide
+from plumbline.session import stage
 
 FOREST = {"n_trees": 10, "max_depth": 5}
 SPLIT = ("accuracy", "f1", "roc_auc")
@@ -25,7 +26,7 @@ SPLIT = ("accuracy", "f1", "roc_auc")
 
 def prepared(t, **split):
     """Orders split in three, with a preprocessor fitted on the training part."""
-    rows = S.split_three(orders_wide(t), "row_id", **split)
+    rows = stage(S.split_three(orders_wide(t), "row_id", **split), "orders_split")
     return rows, P.fit_preprocessor(rows.where(F.col("split") == "train"), NUMERIC, CATEGORICAL)
 
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Static and dynamic settings that matter for correctness (time zone) or for
 # plans that adapt to the data (adaptive execution, skew handling).
@@ -51,3 +51,14 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     if shared:
         return f"{shared.rstrip('/')}/plumbline-{uuid.uuid4().hex}/{label}"
     return f"{tempfile.mkdtemp(prefix='plumbline-')}/{label}"
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate table once and read it back.
+
+    Later passes start from columnar files instead of repeating joins and shuffles,
+    read only the columns they need, and survive lost executors.
+    """
+    path = scratch_folder(df.sparkSession, f"{label}.parquet")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
