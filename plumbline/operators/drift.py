@@ -74,14 +74,20 @@ def fit_reference(
     return ReferenceProfile(cuts, {f: edges(found.get(f, [])) for f in numeric})
 
 
-def _stack(reference: DataFrame, windows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    ref = reference.select(
+def _reference_only(reference: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return reference.select(
         F.lit(REFERENCE_ID).cast("int").alias("window_id"), F.lit("reference").alias("scenario"), *columns
     )
-    return ref.unionByName(windows.select(F.col("window_id").cast("int"), "scenario", *columns))
 
 
-def _numeric_counts(stacked: DataFrame, profile: ReferenceProfile) -> DataFrame:
+def _stack(reference: DataFrame, windows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return _reference_only(reference, columns).unionByName(
+        windows.select(F.col("window_id").cast("int"), "scenario", *columns)
+    )
+
+
+def _numeric_cells(stacked: DataFrame, profile: ReferenceProfile) -> DataFrame:
+    """Long rows (window, feature, value, bucket, bin); null values are kept."""
     features = list(profile.edges)
     typed = stacked.select(*WINDOW, *[number(F.col(f)).alias(f) for f in features])
     placed = with_buckets(typed, {f: profile.cuts[f] for f in features})
@@ -90,9 +96,16 @@ def _numeric_counts(stacked: DataFrame, profile: ReferenceProfile) -> DataFrame:
         edges = profile.edges[f]
         bin_id = bin_left_closed_sql(f"`{f}`", edges) if len(edges) >= 3 else "int(NULL)"
         cells.append(f"named_struct('feature', '{f}', 'value', `{f}`, {bucket_sql(f)}, 'bin', {bin_id})")
-    long = placed.select(*WINDOW, F.expr(f"inline(array({', '.join(cells)}))"))
-    # Null cells stay as one row with n = 0, so every (window, feature) survives.
-    return long.groupBy(*WINDOW, "feature", BUCKET, "bin", "value").agg(F.count("value").alias("n"))
+    return placed.select(*WINDOW, F.expr(f"inline(array({', '.join(cells)}))"))
+
+
+def _numeric_counts(cells: DataFrame) -> DataFrame:
+    """Null cells stay as one row with n = 0, so every (window, feature) survives."""
+    return cells.groupBy(*WINDOW, "feature", BUCKET, "bin", "value").agg(F.count("value").alias("n"))
+
+
+def _bin_columns(prefix: str, bins: int) -> list[Column]:
+    return [F.expr(f"sum(CASE WHEN bin = {k} THEN n ELSE 0 END)").alias(f"{prefix}{k}") for k in range(bins)]
 
 
 def _psi_sql(ref: str, cur: str, ref_total: str, cur_total: str) -> str:
@@ -105,7 +118,8 @@ def numeric_drift(
     reference: DataFrame, windows: DataFrame, profile: ReferenceProfile, bins: int = C.PSI_BINS
 ) -> DataFrame:
     """(window_id, scenario, feature, n_ref, n_cur, ks, psi) of the profiled features."""
-    counts = _numeric_counts(_stack(reference, windows, list(profile.edges)), profile)
+    features = list(profile.edges)
+    counts = _numeric_counts(_numeric_cells(_stack(reference, windows, features), profile))
     is_ref = F.col("window_id") == REFERENCE_ID
     ref_n = F.when(is_ref, F.col("n")).otherwise(F.lit(0))
 
@@ -145,20 +159,33 @@ def numeric_drift(
     placed = ranked.join(offsets, [*WINDOW, "feature", BUCKET])
     at_value = "abs((ref_upto + ref_off) / double(n_ref) - (cur_upto + cur_off) / double(n_cur))"
     before = "abs((ref_upto + ref_off - ref_at) / double(n_ref) - (cur_upto + cur_off - n) / double(n_cur))"
-    bin_sums = [F.expr(f"sum(CASE WHEN bin = {k} THEN n ELSE 0 END)").alias(f"b{k}") for k in range(bins)]
-    per_feature = placed.groupBy(*WINDOW, "feature").agg(
+    # First per bin, then per feature: few aggregates touch the many rows.
+    per_bin = placed.where(~is_ref).groupBy(*WINDOW, "feature", "bin").agg(
         F.max("n_ref").alias("n_ref"),
         F.max("n_cur").alias("n_cur"),
         F.expr(f"max(CASE WHEN n > 0 THEN greatest({at_value}, {before}) END)").alias("ks"),
         F.min("value").alias("low"),
         F.max("value").alias("high"),
-        *bin_sums,
+        F.sum("n").alias("n"),
+    )
+    per_feature = per_bin.groupBy(*WINDOW, "feature").agg(
+        F.max("n_ref").alias("n_ref"),
+        F.max("n_cur").alias("n_cur"),
+        F.max("ks").alias("ks"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+        *_bin_columns("b", bins),
     )
-    # One row per feature column of the table: a bound known before the job runs.
-    ref_bins = per_feature.where(is_ref).selectExpr(
-        "feature", "low AS ref_low", "high AS ref_high", *[f"b{k} AS r{k}" for k in range(bins)]
+    # The reference needs no order, only its bins: one light pass, one row per
+    # feature column of the table, a bound known before the job runs.
+    ref_cells = _numeric_cells(_reference_only(reference, features), profile)
+    ref_bins = (
+        ref_cells.groupBy("feature", "bin")
+        .agg(F.min("value").alias("low"), F.max("value").alias("high"), F.count("value").alias("n"))
+        .groupBy("feature")
+        .agg(F.min("low").alias("ref_low"), F.max("high").alias("ref_high"), *_bin_columns("r", bins))
     )
-    paired = per_feature.where(~is_ref).join(F.broadcast(ref_bins), "feature").selectExpr(
+    paired = per_feature.join(F.broadcast(ref_bins), "feature").selectExpr(
         "*",
         " + ".join(f"r{k}" for k in range(bins)) + " AS ref_binned",
         " + ".join(f"b{k}" for k in range(bins)) + " AS cur_binned",

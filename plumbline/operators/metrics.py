@@ -183,11 +183,11 @@ def decision_metrics(
 _NEG_BELOW = "(cum_n_neg - n_neg)"
 _TP = "(tot_n_pos - (cum_n_pos - n_pos))"
 _BOTH = "max(tot_n_pos) > 0 AND max(tot_n_neg) > 0"
+WINS = f"double(n_pos) * ({_NEG_BELOW} + n_neg / 2D)"
+STEPS = f"double(n_pos) * double({_TP}) / double({_TP} + tot_n_neg - {_NEG_BELOW})"
 ORDERED = {
-    "roc_auc": f"CASE WHEN {_BOTH} THEN sum(double(n_pos) * ({_NEG_BELOW} + n_neg / 2D))"
-    " / (max(double(tot_n_pos)) * max(double(tot_n_neg))) END",
-    "pr_auc": f"CASE WHEN {_BOTH} THEN sum(double(n_pos) * double({_TP}) / double({_TP} + tot_n_neg - {_NEG_BELOW}))"
-    " / max(double(tot_n_pos)) END",
+    "roc_auc": f"CASE WHEN {_BOTH} THEN sum({WINS}) / (max(double(tot_n_pos)) * max(double(tot_n_neg))) END",
+    "pr_auc": f"CASE WHEN {_BOTH} THEN sum({STEPS}) / max(double(tot_n_pos)) END",
 }
 
 
@@ -228,23 +228,13 @@ def calibration_gap(reliability: DataFrame, keys: Sequence[str]) -> DataFrame:
     return reliability.groupBy(*keys).agg(F.avg("abs_gap").alias("mean_abs_gap"))
 
 
-def _ece_sql(weight: str, y_weight: str, p: str, bin_id: str, n_bins: int) -> str:
-    """Expected calibration error inside one grouped aggregate.
-
-    n_b/N * |p_b/n_b - y_b/n_b| = |p_b - y_b| / N with the sums p_b, y_b of a bin.
-    """
-    gaps = " + ".join(
-        f"abs(sum(CASE WHEN {bin_id} = {b} THEN {weight} * {p} ELSE 0D END)"
-        f" - sum(CASE WHEN {bin_id} = {b} THEN {y_weight} ELSE 0D END))"
-        for b in range(1, n_bins + 1)
-    )
-    return f"coalesce(try_divide({gaps}, sum({weight})), 0D)"
-
-
 def calibration_error(
     df: DataFrame, keys: Sequence[str], n_bins: int = C.ECE_BINS, include_zero: bool = False
 ) -> DataFrame:
-    """Expected calibration error per key; rows outside the bins stay in the total."""
+    """Expected calibration error per key; rows outside the bins stay in the total.
+
+    n_b/N * |p_b/n_b - y_b/n_b| = |p_b - y_b| / N with the sums p_b, y_b of a bin.
+    """
     if n_bins <= 1:
         raise ValueError("n_bins must be greater than 1")
     p = clip(F.col("score").cast("double"), 0.0, 1.0)
@@ -252,7 +242,12 @@ def calibration_error(
     if include_zero:
         bin_id = F.when(bin_id.isNotNull(), F.greatest(bin_id, F.lit(1)))
     rows = df.select(*keys, F.col("y").cast("double").alias("y"), p.alias("p")).withColumn("bin", bin_id)
-    return rows.groupBy(*keys).agg(F.expr(_ece_sql("1D", "y", "p", "bin", n_bins)).alias("ece"))
+    per_bin = rows.groupBy(*keys, "bin").agg(
+        F.count(F.lit(1)).alias("n"), F.abs(F.sum("p") - F.sum("y")).alias("gap")
+    )
+    return per_bin.groupBy(*keys).agg(
+        F.expr("coalesce(try_divide(sum(CASE WHEN bin >= 1 THEN gap ELSE 0D END), sum(n)), 0D)").alias("ece")
+    )
 
 
 def metric_record(
@@ -268,7 +263,8 @@ def metric_record(
     """Every metric of scored rows per key, from one set of per-score counts.
 
     Scores are clipped to [0, 1]. All metrics are functions of
-    (score, positives, negatives), so the rows are shuffled once, already counted.
+    (score, positives, negatives), so the rows are shuffled once, already counted;
+    sums per probability bin are then folded into one row per key.
     """
     clipped = df.withColumn("score", clip(F.col("score").cast("double"), 0.0, 1.0))
     counts = score_counts(clipped, keys, buckets)
@@ -276,19 +272,36 @@ def metric_record(
     ranked = ranked.withColumn("bin", bin_right_closed("score", equal_edges(n_bins)))
     hit = f"score >= {double(threshold)}"
     safe = f"least(greatest(score, {double(eps)}), {double(1.0 - eps)})"
-    aggregates = {
+    per_bin = {
         "tp": f"sum(CASE WHEN {hit} THEN n_pos ELSE 0 END)",
         "fp": f"sum(CASE WHEN {hit} THEN n_neg ELSE 0 END)",
-        "fn": f"sum(CASE WHEN {hit} THEN 0 ELSE n_pos END)",
-        "tn": f"sum(CASE WHEN {hit} THEN 0 ELSE n_neg END)",
-        "n": "sum(n_pos + n_neg)",
-        "brier": "sum(n_pos * (1D - score) * (1D - score) + n_neg * score * score) / sum(n_pos + n_neg)",
-        "log_loss": f"-sum(n_pos * ln({safe}) + n_neg * ln(1D - {safe})) / sum(n_pos + n_neg)",
-        "ece": _ece_sql("double(n_pos + n_neg)", "double(n_pos)", "score", "bin", n_bins),
-        **ORDERED,
+        "pos": "sum(n_pos)",
+        "neg": "sum(n_neg)",
+        "square": "sum(n_pos * (1D - score) * (1D - score) + n_neg * score * score)",
+        "loss": f"sum(n_pos * ln({safe}) + n_neg * ln(1D - {safe}))",
+        "gap": "abs(sum((n_pos + n_neg) * score) - sum(n_pos))",
+        "wins": f"sum({WINS})",
+        "steps": f"sum({STEPS})",
     }
-    grouped = ranked.groupBy(*keys).agg(*[F.expr(v).alias(k) for k, v in aggregates.items()])
-    return grouped.withColumns(from_confusion(fp_cost, fn_cost))
+    binned = ranked.groupBy(*keys, "bin").agg(*[F.expr(v).alias(k) for k, v in per_bin.items()])
+    folded = binned.groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in ("tp", "fp", "pos", "neg", "square", "loss", "wins", "steps")],
+        F.expr("sum(CASE WHEN bin >= 1 THEN gap ELSE 0D END)").alias("gap"),
+    )
+    record = folded.selectExpr(
+        *keys,
+        "tp",
+        "fp",
+        "pos - tp AS fn",
+        "neg - fp AS tn",
+        "pos + neg AS n",
+        "square / (pos + neg) AS brier",
+        "-loss / (pos + neg) AS log_loss",
+        "coalesce(try_divide(gap, pos + neg), 0D) AS ece",
+        "CASE WHEN pos > 0 AND neg > 0 THEN wins / (double(pos) * double(neg)) END AS roc_auc",
+        "CASE WHEN pos > 0 AND neg > 0 THEN steps / double(pos) END AS pr_auc",
+    )
+    return record.withColumns(from_confusion(fp_cost, fn_cost))
 
 
 def to_long(df: DataFrame, ids: Sequence[str], metrics: Sequence[str]) -> DataFrame:

@@ -13,7 +13,8 @@ from pyspark.sql.types import StringType
 
 from plumbline import constants as C
 from plumbline.functions import hash_bits, hash_text, hash_uniform, number
-from plumbline.operators.ordered import collect_quantiles, feature_quantiles, hashed_rank
+from plumbline.operators.ordered import collect_quantiles, hashed_rank
+from plumbline.session import stage
 
 
 def quota(n: Column, share: Column | float) -> Column:
@@ -172,8 +173,14 @@ def monitoring_windows(
     if not counts.get(0) or not counts.get(1):
         raise ValueError("the reference needs rows of both classes")
     size = min(size, sum(counts.values()))
-    stable = draw(reference, key, size, seed=seed)
-    prior = prior_shift(reference, key, size, seed=seed)
+    # Both draws are of fixed size and feed two windows each: written once.
+    drawn = stage(
+        draw(reference, key, size, seed=seed)
+        .withColumn("__base", F.lit("stable"))
+        .unionByName(prior_shift(reference, key, size, seed=seed).withColumn("__base", F.lit("prior"))),
+        "drawn",
+    )
+    stable, prior = (drawn.where(F.col("__base") == b).drop("__base") for b in ("stable", "prior"))
     parts = []
     for number_, name, base, shifted in (
         (1, "stable", stable, False),
@@ -210,7 +217,6 @@ def time_windows(df: DataFrame, time: str, width: str = "1 day", prefix: str = "
 __all__ = [
     "covariate_shift",
     "draw",
-    "feature_quantiles",
     "folds",
     "monitoring_windows",
     "prior_shift",

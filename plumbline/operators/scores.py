@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline.functions import bin_right_closed, category
 from plumbline.operators.ordered import collect_quantiles
@@ -79,25 +79,38 @@ def mutual_information_scores(
     """Plug-in mutual information (nats) between each feature and the label.
 
     Numeric features are cut at their quantiles over all rows; nulls form a level.
+    With counts n over (level, class), N * MI = sum n ln n - sum over levels
+    - sum over classes + N ln N (each x ln x), so one shuffle of counts is enough.
     """
     if edges is None and numeric:
         probs = [k / bins for k in range(bins + 1)]
         edges = {f: sorted(set(q)) for f, q in collect_quantiles(df, numeric, probs, digits=digits).items()}
-    levels = {f: bin_right_closed(f"double(`{f}`)", (edges or {}).get(f, [])[1:-1]) for f in numeric}
-    levels.update({f: F.col(f) for f in categorical})
-    features = [*numeric, *categorical]
-    coded = df.select(*keys, F.col(y).alias("y"), *[category(levels[f]).alias(f) for f in features])
-    cells = ", ".join(f"named_struct('feature', '{f}', 'level', `{f}`)" for f in features)
-    joint = (
-        coded.select(*keys, "y", F.expr(f"inline(array({cells}))"))
-        .groupBy(*keys, "feature", "level", "y")
-        .agg(F.count(F.lit(1)).cast("double").alias("n"))
-    )
-    group = [*keys, "feature"]
-    by_level = joint.groupBy(*group, "level").agg(F.sum("n").alias("n_level"))
-    by_class = joint.groupBy(*group, "y").agg(F.sum("n").alias("n_class"))
-    total = joint.groupBy(*group).agg(F.sum("n").alias("n_all"))
-    merged = joint.join(by_level, [*group, "level"]).join(by_class, [*group, "y"]).join(total, group)
-    return merged.groupBy(*group).agg(
-        F.expr("sum(n / n_all * ln(n * n_all / (n_level * n_class)))").alias("score")
+    def counted(columns: Mapping[str, Column]) -> DataFrame:
+        cells = ", ".join(f"named_struct('feature', '{f}', 'level', `{f}`)" for f in columns)
+        coded = df.select(*keys, F.col(y).alias("y"), *[c.alias(f) for f, c in columns.items()])
+        return (
+            coded.select(*keys, "y", F.expr(f"inline(array({cells}))"))
+            .groupBy(*keys, "feature", "level")
+            .agg(F.count_if(F.col("y") == 1).alias("p"), F.count_if(F.col("y") == 0).alias("q"))
+        )
+
+    parts = []
+    if numeric:
+        # Bin numbers stay integers until they are counted.
+        inner = {f: (edges or {}).get(f, [])[1:-1] for f in numeric}
+        parts.append(counted({f: bin_right_closed(f"double(`{f}`)", inner[f]) for f in numeric}))
+    if categorical:
+        parts.append(counted({f: category(F.col(f)) for f in categorical}))
+    tables = [p.withColumn("level", F.col("level").cast("string")) for p in parts]
+    joint = tables[0] if len(tables) == 1 else tables[0].unionByName(tables[1])
+
+    def xlogx(x: str) -> str:
+        return f"(CASE WHEN {x} > 0 THEN {x} * ln(double({x})) ELSE 0D END)"
+
+    sums = joint.groupBy(*keys, "feature").agg(
+        F.expr(f"sum({xlogx('p')} + {xlogx('q')} - {xlogx('(p + q)')})").alias("inner_sum"),
+        F.sum("p").alias("p"),
+        F.sum("q").alias("q"),
     )
+    score = F.expr(f"(inner_sum - {xlogx('p')} - {xlogx('q')} + {xlogx('(p + q)')}) / (p + q)")
+    return sums.select(*keys, "feature", F.greatest(score, F.lit(0.0)).alias("score"))
