@@ -133,34 +133,58 @@ def numeric_drift(
         BUCKET,
         F.coalesce(
             F.sum("n").over(own.orderBy(BUCKET).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
-        ).alias("cur_off"),
+        ).alias("n"),
         F.sum("n").over(own).alias("n_cur"),
         F.coalesce(
             F.sum(ref_n).over(across.orderBy(BUCKET).rangeBetween(W.unboundedPreceding, -1)), F.lit(0)
-        ).alias("ref_off"),
+        ).alias("rn"),
         F.sum(ref_n).over(across).alias("n_ref"),
     )
-
-    inside = W.partitionBy("feature", BUCKET).orderBy("value")
-    peers = inside.rangeBetween(W.currentRow, W.currentRow)
-    upto = inside.rangeBetween(W.unboundedPreceding, W.currentRow)
-    mine = W.partitionBy("feature", BUCKET, *WINDOW).orderBy("value")
-    ranked = counts.select(
+    # Head rows sort first in their bucket and carry the sums of earlier buckets:
+    # one per (window, feature, bucket), and one per (feature, bucket) for the
+    # reference, which may have no value of its own there.
+    window_heads = offsets.select(
+        *WINDOW, "feature", BUCKET, "n", F.lit(0).cast("bigint").alias("rn"), "n_cur"
+    )
+    ref_heads = offsets.groupBy("feature", BUCKET).agg(F.max("rn").alias("rn"), F.max("n_ref").alias("n_ref"))
+    ref_heads = ref_heads.withColumns(
+        {
+            "window_id": F.lit(REFERENCE_ID).cast("int"),
+            "scenario": F.lit("reference"),
+            "n": F.lit(0).cast("bigint"),
+        }
+    )
+    heads = window_heads.unionByName(ref_heads, allowMissingColumns=True).withColumn("head", F.lit(1))
+    rows = counts.withColumns({"rn": ref_n, "head": F.lit(0)}).unionByName(heads, allowMissingColumns=True)
+
+    # Among equal values the reference row comes first, so its sum is complete
+    # there, and the last reference row seen tells its count at this value.
+    order = [F.col("head").desc(), F.col("value")]
+    upto = (
+        W.partitionBy("feature", BUCKET)
+        .orderBy(*order, is_ref.desc())
+        .rowsBetween(W.unboundedPreceding, W.currentRow)
+    )
+    ref_row = F.when(is_ref & (F.col("head") == 0), F.struct(F.col("value").alias("v"), F.col("n").alias("n")))
+    mine = W.partitionBy("feature", BUCKET, *WINDOW).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    placed = rows.select(
         *WINDOW,
         "feature",
-        BUCKET,
+        "head",
         "bin",
         "value",
         "n",
-        F.sum(ref_n).over(upto).alias("ref_upto"),
-        F.sum(ref_n).over(peers).alias("ref_at"),
-        F.sum("n").over(mine.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("cur_upto"),
-    )
-    placed = ranked.join(offsets, [*WINDOW, "feature", BUCKET])
-    at_value = "abs((ref_upto + ref_off) / double(n_ref) - (cur_upto + cur_off) / double(n_cur))"
-    before = "abs((ref_upto + ref_off - ref_at) / double(n_ref) - (cur_upto + cur_off - n) / double(n_cur))"
+        F.sum("rn").over(upto).alias("ref_upto"),
+        F.sum("n_ref").over(upto).alias("n_ref"),
+        F.last(ref_row, ignorenulls=True).over(upto).alias("ref_last"),
+        F.sum("n").over(mine).alias("cur_upto"),
+        F.sum("n_cur").over(mine).alias("n_cur"),
+    ).where((F.col("head") == 0) & ~is_ref)
+    ref_at = "CASE WHEN ref_last.v = value THEN ref_last.n ELSE 0 END"
+    at_value = "abs(ref_upto / double(n_ref) - cur_upto / double(n_cur))"
+    before = f"abs((ref_upto - {ref_at}) / double(n_ref) - (cur_upto - n) / double(n_cur))"
     # First per bin, then per feature: few aggregates touch the many rows.
-    per_bin = placed.where(~is_ref).groupBy(*WINDOW, "feature", "bin").agg(
+    per_bin = placed.groupBy(*WINDOW, "feature", "bin").agg(
         F.max("n_ref").alias("n_ref"),
         F.max("n_cur").alias("n_cur"),
         F.expr(f"max(CASE WHEN n > 0 THEN greatest({at_value}, {before}) END)").alias("ks"),

@@ -82,30 +82,41 @@ def running_totals(
     keys: Sequence[str],
     order: str,
     sums: Sequence[str],
-    inner_keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Add cum_<s> (running sum by `order`) and tot_<s> per keys + inner_keys.
+    """Add cum_<s> (running sum by `order`) and tot_<s> per keys.
 
-    `counts` holds one row per (keys, inner_keys, bucket, order) and buckets are
-    ranges of `order`. Rows are placed by (keys, bucket) so a hot key is spread
-    over its buckets; `inner_keys` split the sums further without another shuffle.
+    `counts` holds one row per (keys, bucket, order) and buckets are ranges of
+    `order`. The sums of earlier buckets enter as one head row per bucket that
+    sorts first, so the running sum starts from them: no join, and a hot key is
+    spread over its buckets.
     """
-    group = [*keys, *inner_keys]
-    inside = W.partitionBy(*group, BUCKET).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    before = W.partitionBy(*group, F.lit(0)).orderBy(BUCKET).rowsBetween(W.unboundedPreceding, -1)
-    whole = W.partitionBy(*group, F.lit(0))
-    totals = counts.groupBy(*group, BUCKET).agg(*[F.sum(s).alias(s) for s in sums])
-    offsets = totals.select(
-        *group,
+    before = W.partitionBy(*keys, F.lit(0)).orderBy(BUCKET).rowsBetween(W.unboundedPreceding, -1)
+    whole = W.partitionBy(*keys, F.lit(0))
+    totals = counts.groupBy(*keys, BUCKET).agg(*[F.sum(s).alias(s) for s in sums])
+    heads = totals.select(
+        *keys,
         BUCKET,
-        *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias("off_" + s) for s in sums],
+        F.lit(1).alias("head"),
+        F.lit(None).cast(counts.schema[order].dataType).alias(order),
+        *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(s) for s in sums],
         *[F.sum(s).over(whole).alias("tot_" + s) for s in sums],
     )
-    inner = counts.withColumns({"cum_" + s: F.sum(s).over(inside) for s in sums})
-    joined = inner.join(offsets, [*group, BUCKET])
-    return joined.withColumns({"cum_" + s: F.col("cum_" + s) + F.col("off_" + s) for s in sums}).drop(
-        *["off_" + s for s in sums]
+    rows = counts.withColumns(
+        {"head": F.lit(0), **{"tot_" + s: F.lit(None).cast("bigint") for s in sums}}
+    ).unionByName(heads, allowMissingColumns=True)
+    inside = (
+        W.partitionBy(*keys, BUCKET)
+        .orderBy(F.col("head").desc(), order)
+        .rowsBetween(W.unboundedPreceding, W.currentRow)
+    )
+    ranked = rows.withColumns(
+        {
+            **{"cum_" + s: F.sum(s).over(inside) for s in sums},
+            # Only the head carries totals, and it comes first.
+            **{"tot_" + s: F.sum("tot_" + s).over(inside) for s in sums},
+        }
     )
+    return ranked.where(F.col("head") == 0).drop("head")
 
 
 def quantiles_from_totals(

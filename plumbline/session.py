@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Call-site capture makes every Column call several times slower.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
