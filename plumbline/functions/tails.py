@@ -1,7 +1,8 @@
 """Upper-tail probabilities of two test statistics, written as series.
 
 They are evaluated once per (window, feature) row, so a few thousand terms of a
-higher-order `aggregate` cost nothing beside the scan. Arguments are SQL text.
+higher-order `aggregate` cost nothing beside the scan. Arguments are SQL text; the variables of the lambdas
+have names no column will have, as they would hide it.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ def kolmogorov_upper_tail(distance: str, n: str, m: str, terms: int = KS_TERMS)
     x2 = f"({distance} * {distance} * (double({n}) * double({m}) / (double({n}) + double({m}))))"
     series = (
         f"2D * aggregate(sequence(1, {terms}), 0D, "
-        f"(acc, k) -> acc + CASE WHEN k % 2 = 1 THEN 1D ELSE -1D END * exp(-2D * k * k * {x2}))"
+        f"(__acc, __i) -> __acc + CASE WHEN __i % 2 = 1 THEN 1D ELSE -1D END * exp(-2D * __i * __i * {x2}))"
     )
     return F.expr(f"CASE WHEN {x2} < 0.04D THEN 1D ELSE least(greatest({series}, 0D), 1D) END")
 
@@ -41,12 +42,12 @@ def chi2_upper_tail(statistic: str, df: str, terms: int = CHI2_TERMS) -> Column:
     base = f"CASE WHEN {df} % 2 = 1 THEN {LOG_GAMMA_1_5}D ELSE 0D END"
     logs = (
         f"CASE WHEN {df} >= 2 THEN aggregate(sequence(1, greatest(1, int(floor({a})))), 0D, "
-        f"(acc, j) -> acc + ln(j + {half})) ELSE 0D END"
+        f"(__acc, __i) -> __acc + ln(__i + {half})) ELSE 0D END"
     )
     series = (
         f"aggregate(sequence(1, {terms}), named_struct('term', 1D, 'total', 1D), "
-        f"(acc, k) -> named_struct('term', acc.term * {h} / ({a} + k), "
-        f"'total', acc.total + acc.term * {h} / ({a} + k)), acc -> acc.total)"
+        f"(__acc, __i) -> named_struct('term', __acc.term * {h} / ({a} + __i), "
+        f"'total', __acc.total + __acc.term * {h} / ({a} + __i)), __acc -> __acc.total)"
     )
     lower = f"exp({a} * ln({h}) - {h} - ({base}) - ({logs})) * {series}"
     far = f"{h} - {a} > 700D AND {h} > 2D * {a}"
