@@ -378,7 +378,7 @@ def forest_scores(df: DataFrame, names: Sequence[str], **params: Any) -> DataFra
     return _vector_rows(df, names, model.featureImportances.toArray())
 
 
-def _sliced(df: DataFrame, kept: Sequence[int]) -> DataFrame:
+def sliced(df: DataFrame, kept: Sequence[int]) -> DataFrame:
     from pyspark.ml.feature import VectorSlicer
 
     slicer = VectorSlicer(inputCol="features", outputCol="__kept", indices=list(kept))
@@ -397,7 +397,7 @@ def recursive_elimination(
     gone: list[int] = []
     counts = class_counts(df)
     while len(alive) > keep:
-        part = _sliced(df, alive)
+        part = sliced(df, alive)
         sizes = [abs(v) for v in fit_model(part, "LogisticRegression", counts=counts, **params).coefficients.toArray()]
         weakest = min(range(len(alive)), key=lambda i: (sizes[i], -alive[i]))
         gone.append(alive.pop(weakest))
@@ -422,7 +422,7 @@ def forward_selection(
 
         def job(cell):
             i, k = cell
-            part = _sliced(df, [*chosen, i])
+            part = sliced(df, [*chosen, i])
             rest = counts_without(sizes, k)
             model = fit_model(part.where(F.col(fold) != k), "LogisticRegression", counts=rest, **params)
             held = apply_model(model, part.where(F.col(fold) == k))

@@ -14,7 +14,7 @@ from plumbline.operators import policy as P
 from plumbline.operators import retrain as R
 from plumbline.operators import selection as G
 from plumbline.plans.catalogue import query
-from plumbline.plans.measured import CALIBRATION, GRID, record_sql, sweep_sql, tidy_sql
+from plumbline.plans.measured import CALIBRATION, record_sql, sweep_sql, tidy_sql
 from plumbline.plans.views import SCORED, num, rnd, scored
 
 VARIANTS = {"v0": "uncalibrated", "v1": "calibrated_sigmoid", "v2": "calibrated_isotonic"}

@@ -113,7 +113,7 @@ def _(t):
 def _(t):
     vectors, names = train_vectors(t, folds=3)
     kept = [i for i, n in enumerate(names) if n.startswith("num__")]
-    narrow = H._sliced(vectors, kept)
+    narrow = H.sliced(vectors, kept)
     return ranked("SFS_forward", H.forward_selection(narrow, [names[i] for i in kept], keep=2))
 
 
