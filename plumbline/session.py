@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -46,12 +47,15 @@ def default_buckets(spark: SparkSession) -> int:
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new folder for a written table that several steps or executors read.
 
-    Clusters name a shared folder in spark.checkpoint.dir; only where it is unset,
-    as in tests, does a local temporary folder serve.
+    Clusters name a shared folder in spark.checkpoint.dir. Only a session that runs in
+    one process may leave it unset, as in tests; a local temporary folder serves there.
+    Files stay until that folder is cleaned.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/plumbline-{uuid.uuid4().hex}/{label}"
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{tempfile.mkdtemp(prefix='plumbline-')}/{label}"
 
 
