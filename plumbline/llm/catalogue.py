@@ -11,7 +11,7 @@ from plumbline.plans.catalogue import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-MODULES: tuple[str, ...] = ("decontaminate", "secrets", "packing", "quality")
+MODULES: tuple[str, ...] = ("decontaminate", "neardup", "secrets", "packing", "quality")
 
 
 def query(name: str, sql: str | None = None):
