@@ -11,7 +11,7 @@ from plumbline.plans.catalogue import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-MODULES: tuple[str, ...] = ("decontaminate", "neardup", "quality", "rules", "secrets", "packing")
+MODULES: tuple[str, ...] = ("decontaminate", "neardup", "warc", "quality", "rules", "secrets", "packing")
 
 
 def query(name: str, sql: str | None = None):
