@@ -11,7 +11,17 @@ from plumbline.plans.catalogue import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-MODULES: tuple[str, ...] = ("decontaminate", "neardup", "warc", "quality", "rules", "secrets", "tokencount", "packing")
+MODULES: tuple[str, ...] = (
+    "decontaminate",
+    "neardup",
+    "warc",
+    "quality",
+    "rules",
+    "secrets",
+    "tokencount",
+    "langid",
+    "packing",
+)
 
 
 def query(name: str, sql: str | None = None):
