@@ -16,6 +16,7 @@ MODULES: tuple[str, ...] = (
     "neardup",
     "warc",
     "quality",
+    "substrings",
     "rules",
     "secrets",
     "tokencount",
