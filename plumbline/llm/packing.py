@@ -18,6 +18,7 @@ packed once each; an empty table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from functools import lru_cache
 
@@ -36,8 +37,7 @@ END = 1
 # words of Latin-1 letters, ASCII digits and ASCII marks without the apostrophe: their
 # pre-tokens are the letter runs, the single digits and the runs of marks
 SIMPLE = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
-SPLITS = str.maketrans("\n\t\r", "   ")
-CACHE_WORDS = 400_000
+CACHE_WORDS = 700_000
 
 
 def _byte_letters() -> list[str]:
@@ -60,14 +60,16 @@ class WordIds(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.parts = self.tokenizer.model, {}
-        self.special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special_in = re.compile("|".join(added) or r"(?!)").search
         self.letters = _byte_letters()
 
     def part(self, text: str) -> bytes:
         found = self.parts.get(text)
         if found is None:
             shown = text if text.isascii() else "".join(self.letters[b] for b in text.encode())
-            found = self.parts[text] = np.array([t.id for t in self.model.tokenize(shown)], dtype="<u4").tobytes()
+            ids = [t.id for t in self.model.tokenize(shown)]
+            found = self.parts[text] = struct.pack(f"<{len(ids)}I", *ids)
         return found
 
     def __missing__(self, word: str) -> bytes:
@@ -75,18 +77,20 @@ class WordIds(dict):
             self.clear()
         if len(self.parts) > CACHE_WORDS:
             self.parts.clear()
-        pieces = SIMPLE.findall(word)
-        simple = sum(map(len, pieces)) == len(word) and not any(s in word for s in self.special)
-        if simple:
-            found = b"".join(map(self.part, SIMPLE.findall(word.lower())))
+        low = word.lower()
+        pieces = SIMPLE.findall(low)
+        if len("".join(pieces)) == len(low) and not self.special_in(word):
+            found = b"".join(map(self.part, pieces))
         else:
-            found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+            found = struct.pack(f"<{len(ids)}I", *ids)
         if len(word) <= 64:
             self[word] = found
         return found
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.translate(SPLITS).split(" ")))
+        spaced = text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
+        return b"".join(map(self.__getitem__, spaced.split(" ")))
 
 
 @lru_cache(maxsize=2)
