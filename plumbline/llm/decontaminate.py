@@ -138,7 +138,8 @@ def _attach(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame:
     """Join on the document key; null ids are equal to each other."""
     right = right.withColumnsRenamed({k: f"r{k}" for k in KEY})
     on = F.col("_id").eqNullSafe(F.col("r_id")) & (F.col("_text_hash") == F.col("r_text_hash"))
-    return left.join(right, on, how).drop("r_id", "r_text_hash")
+    joined = left.join(right, on, how)
+    return joined if how == "left_anti" else joined.drop("r_id", "r_text_hash")
 
 
 def covered(spans: DataFrame) -> DataFrame:
@@ -153,9 +154,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, max_hit: int = 0, **options
     _, spans, _ = contamination(docs, items, **options)
     bad = covered(spans).where(F.col("n_hit") > max_hit)
     ident, text = options.get("doc_id", "doc_id"), options.get("text", "text")
-    bad = bad.select(F.struct(*KEY).alias("_bad_key"))
-    key = F.struct(F.col(ident).alias("_id"), F.xxhash64(text).alias("_text_hash"))
-    return docs.join(bad, key.eqNullSafe(F.col("_bad_key")), "left_anti")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(ident).alias("_id"), F.xxhash64(text).alias("_text_hash"))
+    return _attach(rows, bad.select(*KEY), "left_anti").select("row.*")
 
 
 SQL = f"""

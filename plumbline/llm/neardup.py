@@ -217,7 +217,7 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, doc_id: st
     roots = components(links)
     rooted = lambda df, key, name: df.join(roots.select(F.col("node").alias(key), F.col("root").alias("_r")), key, "left").withColumn(name, F.coalesce("_r", key)).drop("_r")
     rest = rooted(rooted(stars, "k", "root"), "a", "a_root").where(F.col("root") != F.col("a_root")).select("band", "bucket", "k", "id", "root")
-    # three deviations below the threshold: no pair that reaches it is left out by its samples
+    # four deviations below the threshold: a pair that reaches it is not left out by its samples
     least = threshold - 4 * float(np.sqrt(threshold * (1 - threshold) / (BANDS * ROWS)))
     second = stage(_block_pairs(stage(rest, "rest"), sketches, block, least), "second")
     if not second.isEmpty():
@@ -231,13 +231,13 @@ def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str =
     """One document of each class: the one with the least doc_id; columns unchanged."""
     classes = near_duplicates(docs, doc_id=doc_id, text=text, **options)
     keep = classes.where(F.col("k") == F.col("keeper")).select(F.col("k").alias("_k"), F.col("class_id").alias("_keep"))
-    keyed = docs.withColumn("_key", text_key(F.col(text)))
-    kept = keyed.join(keep, (F.col("_key") == F.col("_k")) & F.col(doc_id).eqNullSafe(F.col("_keep")))
-    return kept.dropDuplicates(["_k", "_keep"]).select(*docs.columns)
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), text_key(F.col(text)).alias("_key"), F.col(doc_id).alias("_id"))
+    kept = keyed.join(keep, (F.col("_key") == F.col("_k")) & F.col("_id").eqNullSafe(F.col("_keep")))
+    return kept.dropDuplicates(["_k", "_keep"]).select("row.*")
 
 
 @query("op2_near_duplicates")
 def op2_near_duplicates(t) -> DataFrame:
     docs = t("documents")
     keyed = docs.select("doc_id", text_key(F.col("text")).alias("k"))
-    return keyed.join(near_duplicates(docs), "k").select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+    return keyed.join(near_duplicates(docs), "k").select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))

@@ -41,9 +41,10 @@ RATIOS = {
 
 
 def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds the counts in COUNTS (long); helper columns are dropped, others pass through."""
+    """Adds the counts in COUNTS (long), in place of columns of those names; others pass through."""
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.withColumns({"_body": body, "_words": F.regexp_extract_all(body, F.lit(WORD), F.lit(0))})
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), body.alias("_body"))
+    rows = rows.withColumns({"_words": F.regexp_extract_all("_body", F.lit(WORD), F.lit(0))})
     lines = F.filter(F.split("_body", "\n", -1), lambda x: x.rlike(WORD))
     rows = rows.withColumns({"_lines": lines, "_codes": F.transform("_words", lambda w: F.xxhash64(w)), "_n": F.size("_words")})
     rows = rows.withColumn("_bits", F.ceil(F.log2(F.col("_n") + 2)).cast("int"))
@@ -69,7 +70,7 @@ def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
             "n_distinct": F.size(F.array_distinct("_codes")).cast("long"),
         }
     )
-    return counted.drop("_body", "_words", "_lines", "_codes", "_n", "_bits", "_sorted", "_places")
+    return counted.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns if c not in COUNTS], *COUNTS)
 
 
 def ratio(name: str) -> Column:
@@ -213,7 +214,7 @@ def base_failed() -> Column:
 def judge(stats: DataFrame, labels: DataFrame, **options) -> tuple[DataFrame, list[Rule]]:
     """`stats` (staged rows with COUNTS and doc_id) with base_failed, rule (number or null) and kept."""
     known = labels.where(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.max("quality").alias("label"))
-    rules = learn_rules(stats.where(~base_failed()).join(known, "doc_id"), **options)
+    rules = learn_rules(stats.where(~base_failed()).select("doc_id", *COUNTS).join(known, "doc_id"), **options)
     judged = stats.withColumns({"base_failed": base_failed(), "rule": decision(rules)})
     return judged.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull()), rules
 

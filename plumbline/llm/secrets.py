@@ -109,13 +109,14 @@ def redact_secrets(docs: DataFrame, *, mark: str = "[secret]", scope: int = 200,
     merged = heads.withColumn("run", F.sum((F.col("lo") >= F.col("reach")).cast("int")).over(W.partitionBy(*KEY).orderBy("lo", "hi")))
     merged = merged.groupBy(*KEY, "run").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     cuts = merged.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("_cuts")).withColumnsRenamed({"_id": "c_id", "_text_hash": "c_text_hash"})
-    on = F.col(doc_id).eqNullSafe(F.col("c_id")) & (F.xxhash64(text) == F.col("c_text_hash"))
-    joined = docs.join(cuts, on, "left")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_text_hash"))
+    joined = rows.join(cuts, F.col("_id").eqNullSafe(F.col("c_id")) & (F.col("_text_hash") == F.col("c_text_hash")), "left")
+    body = F.col("row").getField(text)
     starts = F.concat(F.array(F.lit(0)).cast("array<bigint>"), F.col("_cuts.hi"))
-    ends = F.concat(F.col("_cuts.lo"), F.array(F.length(text).cast("bigint")))
-    piece = lambda a, b: F.substring(F.col(text), (a + 1).cast("int"), (b - a).cast("int"))
-    clean = F.array_join(F.zip_with(starts, ends, piece), mark)
-    return joined.withColumn(text, F.when(F.col("_cuts").isNull(), F.col(text)).otherwise(clean)).select(*docs.columns)
+    ends = F.concat(F.col("_cuts.lo"), F.array(F.length(body).cast("bigint")))
+    piece = lambda a, b: F.substring(body, (a + 1).cast("int"), (b - a).cast("int"))
+    clean = F.when(F.col("_cuts").isNull(), body).otherwise(F.array_join(F.zip_with(starts, ends, piece), mark))
+    return joined.select(*[clean.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def _sql() -> str:
