@@ -23,10 +23,18 @@ from plumbline.functions import (
     kolmogorov_upper_tail,
     number,
 )
-from plumbline.operators.ordered import BUCKET, bucket_sql, collect_quantiles, range_cuts, with_buckets
+from plumbline.operators.ordered import (
+    BUCKET,
+    bucket_sql,
+    collect_quantiles,
+    range_cuts,
+    running_totals,
+    with_buckets,
+)
 
 WINDOW = ("window_id", "scenario")
-REFERENCE_ID = -1
+# Reference and windows travel in one table; `is_ref` tells them apart, whatever the ids are.
+SIDE = ("is_ref", *WINDOW)
 
 
 @dataclass(frozen=True)
@@ -74,34 +82,38 @@ def fit_reference(
     return ReferenceProfile(cuts, {f: edges(found.get(f, [])) for f in numeric})
 
 
-def _reference_only(reference: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _reference_only(reference: DataFrame, columns: Sequence[str], id_type: str = "bigint") -> DataFrame:
     return reference.select(
-        F.lit(REFERENCE_ID).cast("int").alias("window_id"), F.lit("reference").alias("scenario"), *columns
+        F.lit(True).alias("is_ref"),
+        F.lit(None).cast(id_type).alias("window_id"),
+        F.lit("reference").alias("scenario"),
+        *columns,
     )
 
 
 def _stack(reference: DataFrame, windows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return _reference_only(reference, columns).unionByName(
-        windows.select(F.col("window_id").cast("int"), "scenario", *columns)
+    id_type = dict(windows.dtypes)["window_id"]
+    return _reference_only(reference, columns, id_type).unionByName(
+        windows.select(F.lit(False).alias("is_ref"), *WINDOW, *columns)
     )
 
 
 def _numeric_cells(stacked: DataFrame, profile: ReferenceProfile) -> DataFrame:
     """Long rows (window, feature, value, bucket, bin); null values are kept."""
     features = list(profile.edges)
-    typed = stacked.select(*WINDOW, *[number(F.col(f)).alias(f) for f in features])
+    typed = stacked.select(*SIDE, *[number(F.col(f)).alias(f) for f in features])
     placed = with_buckets(typed, {f: profile.cuts[f] for f in features})
     cells = []
     for f in features:
         edges = profile.edges[f]
         bin_id = bin_left_closed_sql(f"`{f}`", edges) if len(edges) >= 3 else "int(NULL)"
         cells.append(f"named_struct('feature', '{f}', 'value', `{f}`, {bucket_sql(f)}, 'bin', {bin_id})")
-    return placed.select(*WINDOW, F.expr(f"inline(array({', '.join(cells)}))"))
+    return placed.select(*SIDE, F.expr(f"inline(array({', '.join(cells)}))"))
 
 
 def _numeric_counts(cells: DataFrame) -> DataFrame:
     """Null cells stay as one row with n = 0, so every (window, feature) survives."""
-    return cells.groupBy(*WINDOW, "feature", BUCKET, "bin", "value").agg(F.count("value").alias("n"))
+    return cells.groupBy(*SIDE, "feature", BUCKET, "bin", "value").agg(F.count("value").alias("n"))
 
 
 def _bin_columns(prefix: str, bins: int) -> list[Column]:
@@ -120,39 +132,40 @@ def numeric_drift(
     """(window_id, scenario, feature, n_ref, n_cur, ks, psi) of the profiled features."""
     features = list(profile.edges)
     counts = _numeric_counts(_numeric_cells(_stack(reference, windows, features), profile))
-    is_ref = F.col("window_id") == REFERENCE_ID
+    is_ref = F.col("is_ref")
     ref_n = F.when(is_ref, F.col("n")).otherwise(F.lit(0))
 
     # Totals per bucket: at most windows x features x buckets rows.
-    totals = counts.groupBy(*WINDOW, "feature", BUCKET).agg(F.sum("n").alias("n"))
-    own = W.partitionBy(*WINDOW, "feature")
-    across = W.partitionBy("feature")
+    totals = counts.groupBy(*SIDE, "feature", BUCKET).agg(F.sum("n").alias("n"))
+    own = W.partitionBy(*SIDE, "feature")
     offsets = totals.select(
-        *WINDOW,
+        *SIDE,
         "feature",
         BUCKET,
         F.coalesce(
             F.sum("n").over(own.orderBy(BUCKET).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
         ).alias("n"),
         F.sum("n").over(own).alias("n_cur"),
-        F.coalesce(
-            F.sum(ref_n).over(across.orderBy(BUCKET).rangeBetween(W.unboundedPreceding, -1)), F.lit(0)
-        ).alias("rn"),
-        F.sum(ref_n).over(across).alias("n_ref"),
     )
+    # The reference's own sums per (feature, bucket), over its buckets only.
+    ref_totals = totals.groupBy("feature", BUCKET).agg(F.sum(ref_n).alias("n"))
+    across = W.partitionBy("feature")
+    upto_bucket = across.orderBy(BUCKET).rowsBetween(W.unboundedPreceding, -1)
     # Head rows sort first in their bucket and carry the sums of earlier buckets:
     # one per (window, feature, bucket), and one per (feature, bucket) for the
     # reference, which may have no value of its own there.
     window_heads = offsets.select(
-        *WINDOW, "feature", BUCKET, "n", F.lit(0).cast("bigint").alias("rn"), "n_cur"
+        *SIDE, "feature", BUCKET, "n", F.lit(0).cast("bigint").alias("rn"), "n_cur"
     )
-    ref_heads = offsets.groupBy("feature", BUCKET).agg(F.max("rn").alias("rn"), F.max("n_ref").alias("n_ref"))
-    ref_heads = ref_heads.withColumns(
-        {
-            "window_id": F.lit(REFERENCE_ID).cast("int"),
-            "scenario": F.lit("reference"),
-            "n": F.lit(0).cast("bigint"),
-        }
+    ref_heads = ref_totals.select(
+        "feature",
+        BUCKET,
+        F.coalesce(F.sum("n").over(upto_bucket), F.lit(0)).alias("rn"),
+        F.sum("n").over(across).alias("n_ref"),
+        F.lit(True).alias("is_ref"),
+        F.lit(None).cast(dict(counts.dtypes)["window_id"]).alias("window_id"),
+        F.lit("reference").alias("scenario"),
+        F.lit(0).cast("bigint").alias("n"),
     )
     heads = window_heads.unionByName(ref_heads, allowMissingColumns=True).withColumn("head", F.lit(1))
     rows = counts.withColumns({"rn": ref_n, "head": F.lit(0)}).unionByName(heads, allowMissingColumns=True)
@@ -166,9 +179,9 @@ def numeric_drift(
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     ref_row = F.when(is_ref & (F.col("head") == 0), F.struct(F.col("value").alias("v"), F.col("n").alias("n")))
-    mine = W.partitionBy("feature", BUCKET, *WINDOW).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    mine = W.partitionBy("feature", BUCKET, *SIDE).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     placed = rows.select(
-        *WINDOW,
+        *SIDE,
         "feature",
         "head",
         "bin",
@@ -200,14 +213,12 @@ def numeric_drift(
         F.max("high").alias("high"),
         *_bin_columns("b", bins),
     )
-    # The reference needs no order, only its bins: one light pass, one row per
-    # feature column of the table, a bound known before the job runs.
-    ref_cells = _numeric_cells(_reference_only(reference, features), profile)
+    # The reference needs no order, only its bins: they are in the counts already, and
+    # come to one row per feature column of the table, a bound known before the job runs.
     ref_bins = (
-        ref_cells.groupBy("feature", "bin")
-        .agg(F.min("value").alias("low"), F.max("value").alias("high"), F.count("value").alias("n"))
+        counts.where(is_ref)
         .groupBy("feature")
-        .agg(F.min("low").alias("ref_low"), F.max("high").alias("ref_high"), *_bin_columns("r", bins))
+        .agg(F.min("value").alias("ref_low"), F.max("value").alias("ref_high"), *_bin_columns("r", bins))
     )
     paired = per_feature.join(F.broadcast(ref_bins), "feature").selectExpr(
         "*",
@@ -226,101 +237,97 @@ def numeric_drift(
         "greatest(high, ref_high) AS high",
     )
     if profile.flat:
-        result = _with_flat_psi(result, counts, profile.flat, bins)
+        result = _with_flat_psi(result, counts, profile, bins)
     return result.drop("low", "high")
 
 
-def _with_flat_psi(result: DataFrame, counts: DataFrame, flat: Sequence[str], bins: int) -> DataFrame:
+def _with_flat_psi(
+    result: DataFrame, counts: DataFrame, profile: ReferenceProfile, bins: int
+) -> DataFrame:
     """PSI of features with collapsed edges: equal bins over the joint range.
 
-    The range differs per window, so reference counts are binned once per window;
-    such features have few frequent values.
+    The range differs per window. Its inner edges enter the reference's ordered counts
+    as probe rows that sort before equal values; the running sum there is the number of
+    reference values below the edge, so no reference value is repeated per window.
     """
-    cells = counts.where(F.col("feature").isin(list(flat)) & F.col("value").isNotNull())
-    ranges = result.where(F.col("feature").isin(list(flat))).select(*WINDOW, "feature", "low", "high")
-    is_ref = F.col("window_id") == REFERENCE_ID
-    ref_cells = cells.where(is_ref).select("feature", "value", F.col("n").alias("r"), F.lit(0).alias("c"))
-    cur_cells = cells.where(~is_ref).select(
-        *WINDOW, "feature", "value", F.lit(0).alias("r"), F.col("n").alias("c")
-    )
-    both = ref_cells.join(ranges, "feature").unionByName(cur_cells.join(ranges, [*WINDOW, "feature"]))
-    at = " + ".join(f"int(value >= low + {double(k)} * ((high - low) / {double(bins)}))" for k in range(1, bins))
-    binned = both.groupBy(*WINDOW, "feature", F.expr(at).alias("bin")).agg(
-        F.sum("r").alias("r"), F.sum("c").alias("c")
-    )
-    sums = binned.groupBy(*WINDOW, "feature").agg(F.sum("r").alias("ref_all"), F.sum("c").alias("cur_all"))
-    term = _psi_sql("r", "c", "ref_all", "cur_all")
-    terms = binned.join(sums, [*WINDOW, "feature"]).groupBy(*WINDOW, "feature").agg(
-        F.expr(f"sum(CASE WHEN ref_all > 0 AND cur_all > 0 THEN {term} END)").alias("flat_psi")
-    )
+    flat = profile.flat
+    cells = counts.where(F.col("feature").isin(flat) & F.col("value").isNotNull())
+    ranges = result.where(F.col("feature").isin(flat)).select(*WINDOW, "feature", "low", "high", "n_ref")
+    width = f"((high - low) / {double(bins)})"
+    edge = [f"named_struct('k', {k}, 'edge', low + {double(k)} * {width})" for k in range(1, bins)]
+    probes = ranges.select(*WINDOW, "feature", F.expr(f"inline(array({', '.join(edge)}))"))
+    cuts = F.create_map(*[F.lit(x) if i % 2 == 0 else F.array(*map(F.lit, x)).cast("array<double>") for f in flat for i, x in enumerate((f, list(profile.cuts[f])))])
+    bucket = F.size(F.filter(cuts[F.col("feature")], lambda c: c <= F.col("edge")))
+    kind = lambda value, order: F.struct(value.alias("value"), F.lit(order).alias("kind")).alias("place")
+    asked = probes.select(*WINDOW, "feature", "k", bucket.alias(BUCKET), kind(F.col("edge"), 0), F.lit(0).cast("bigint").alias("n"))
+    known = cells.where(F.col("is_ref")).select("feature", BUCKET, kind(F.col("value"), 1), "n")
+    below = running_totals(asked.unionByName(known, allowMissingColumns=True), ["feature"], "place", ["n"]).where(F.col("k").isNotNull())
+    names = [f"e{k}" for k in range(1, bins)]
+    ref = below.groupBy(*WINDOW, "feature").agg(*[F.max(F.when(F.col("k") == k, F.col("cum_n"))).alias(f"e{k}") for k in range(1, bins)])
+    at = " + ".join(f"int(value >= low + {double(k)} * {width})" for k in range(1, bins))
+    own = cells.where(~F.col("is_ref")).drop("bin").join(ranges.drop("n_ref"), [*WINDOW, "feature"]).withColumn("bin", F.expr(at))
+    cur = own.groupBy(*WINDOW, "feature").agg(*_bin_columns("b", bins), F.sum("n").alias("cur_all"))
+    upto = ["0", *names, "n_ref"]
+    term = " + ".join(_psi_sql(f"({upto[k + 1]} - {upto[k]})", f"b{k}", "n_ref", "cur_all") for k in range(bins))
+    terms = ref.join(cur, [*WINDOW, "feature"]).join(ranges, [*WINDOW, "feature"])
+    terms = terms.select(*WINDOW, "feature", F.expr(f"CASE WHEN n_ref > 0 AND cur_all > 0 THEN {term} END").alias("flat_psi"))
     merged = result.join(terms, [*WINDOW, "feature"], "left")
     spread = ~is_close(F.col("low"), F.col("high"))
-    psi = F.when(
-        F.col("feature").isin(list(flat)), F.coalesce(F.when(spread, F.col("flat_psi")), F.lit(0.0))
-    ).otherwise(F.col("psi"))
+    psi = F.when(F.col("feature").isin(flat), F.coalesce(F.when(spread, F.col("flat_psi")), F.lit(0.0))).otherwise(
+        F.col("psi")
+    )
     return merged.withColumn("psi", psi).drop("flat_psi")
 
 
-def categorical_drift(reference: DataFrame, windows: DataFrame, features: Sequence[str]) -> DataFrame:
-    """(window_id, scenario, feature, levels, chi2, df, psi) over the union of levels.
-
-    Null is the level 'missing'. Two levels get the continuity correction.
-    """
-    stacked = _stack(reference, windows, list(features))
+def _levels(df: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
     cells = ", ".join(
         f"named_struct('feature', '{f}', 'level', coalesce(string(`{f}`), '{MISSING}'))" for f in features
     )
-    counts = (
-        stacked.select(*WINDOW, F.expr(f"inline(array({cells}))"))
-        .groupBy(*WINDOW, "feature", "level")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    is_ref = F.col("window_id") == REFERENCE_ID
-    sizes = counts.groupBy(*WINDOW, "feature").agg(F.sum("n").alias("size"))
-    ref_sizes = sizes.where(is_ref).select("feature", F.col("size").alias("ref_size"))
-    pairs = sizes.where(~is_ref).withColumnRenamed("size", "cur_size").join(ref_sizes, "feature")
-    # Every window meets every reference level; summing replaces an outer join.
-    ref_side = (
-        counts.where(is_ref)
-        .select("feature", "level", F.col("n").alias("r"))
-        .join(pairs.select(*WINDOW, "feature"), "feature")
-        .select(*WINDOW, "feature", "level", "r", F.lit(0).cast("bigint").alias("c"))
-    )
-    cur_side = counts.where(~is_ref).select(
-        *WINDOW, "feature", "level", F.lit(0).cast("bigint").alias("r"), F.col("n").alias("c")
-    )
-    table = (
-        ref_side.unionByName(cur_side)
-        .groupBy(*WINDOW, "feature", "level")
-        .agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
-        .join(pairs, [*WINDOW, "feature"])
-    )
-    table = table.selectExpr(
-        "*",
-        "double(r + c) * ref_size / (ref_size + cur_size) AS expect_r",
-        "double(r + c) * cur_size / (ref_size + cur_size) AS expect_c",
-    )
+    long = df.select(*keys, F.expr(f"inline(array({cells}))"))
+    return long.groupBy(*keys, "feature", "level").agg(F.count(F.lit(1)).alias("n"))
 
-    def part(seen: str, expected: str, correction: str) -> str:
-        off = f"abs({seen} - {expected})"
-        return f"pow({off} - least({correction}, {off}), 2D) / {expected}"
 
-    def statistic(correction: str):
-        return F.expr(f"sum({part('r', 'expect_r', correction)} + {part('c', 'expect_c', correction)})")
+def categorical_drift(reference: DataFrame, windows: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(window_id, scenario, feature, levels, chi2, df, psi) over the union of levels.
 
+    Null is the level 'missing'. Two levels get the continuity correction. A window is
+    joined to the reference only on the levels that it has: what a level missing from it
+    adds to each sum depends on the reference count alone, so those parts are the sums
+    over all reference levels less the sums over the shared ones.
+    """
+    floor = double(C.PSI_FLOOR)
+    alone = f"({floor} - greatest(r / nr, {floor})) * ln({floor} / greatest(r / nr, {floor}))"
+    ref = _levels(reference, [], features).selectExpr("feature", "level", "double(n) AS r")
+    sizes = ref.groupBy("feature").agg(F.sum("r").alias("nr"), F.count(F.lit(1)).alias("ref_levels"), F.expr("sum(1D / r)").alias("ref_inverse"))
+    alone_sums = ref.join(sizes, "feature").groupBy("feature").agg(F.expr(f"sum({alone})").alias("ref_alone"))
+    ref_sums = sizes.join(alone_sums, "feature")
+    cur = _levels(windows, WINDOW, features).selectExpr(*WINDOW, "feature", "level", "double(n) AS c")
+    cur_sizes = cur.groupBy(*WINDOW, "feature").agg(F.sum("c").alias("nc"))
+    pairs = cur_sizes.join(ref_sums, "feature")
+    table = cur.join(ref, ["feature", "level"], "left").join(pairs, [*WINDOW, "feature"]).withColumn("shared", F.col("r").isNotNull())
+    table = table.withColumn("r", F.coalesce("r", F.lit(0.0)))
     found = table.groupBy(*WINDOW, "feature").agg(
-        F.count(F.lit(1)).alias("levels"),
-        statistic("0D").alias("plain"),
-        statistic("0.5D").alias("yates"),
-        F.expr(f"sum({_psi_sql('r', 'c', 'ref_size', 'cur_size')})").alias("psi"),
+        *[F.max(c).alias(c) for c in ("nr", "nc", "ref_levels", "ref_inverse", "ref_alone")],
+        F.count_if(~F.col("shared")).alias("new_levels"),
+        F.sum("r").alias("shared_r"),
+        F.expr("sum(CASE WHEN shared THEN 1D / r ELSE 0D END)").alias("shared_inverse"),
+        F.expr(f"sum(CASE WHEN shared THEN {alone} ELSE 0D END)").alias("shared_alone"),
+        F.expr("sum(pow(r * nc - c * nr, 2D) / (nr * nc * (r + c)))").alias("own_chi2"),
+        F.expr("sum(1D / (r + c))").alias("own_inverse"),
+        F.expr("max(abs(r * nc - c * nr) / (nr + nc))").alias("off"),
+        F.expr(f"sum({_psi_sql('r', 'c', 'nr', 'nc')})").alias("own_psi"),
+    )
+    # With two levels the distance from the expected count is the same in all four cells.
+    yates = (
+        "pow(off - least(0.5D, off), 2D) * (own_inverse + ref_inverse - shared_inverse) * ((nr + nc) / nr + (nr + nc) / nc)"
     )
     return found.selectExpr(
         *WINDOW,
         "feature",
-        "levels",
-        "CASE WHEN levels = 2 THEN yates ELSE plain END AS chi2",
-        "levels - 1 AS df",
-        "psi",
+        "ref_levels + new_levels AS levels",
+        f"CASE WHEN ref_levels + new_levels = 2 THEN {yates} ELSE own_chi2 + nc / nr * (nr - shared_r) END AS chi2",
+        "ref_levels + new_levels - 1 AS df",
+        "own_psi + ref_alone - shared_alone AS psi",
     )
 
 

@@ -99,8 +99,11 @@ chi_stat AS (
     sum({psi_term('r / nr', 'c / nc')}) AS psi
   FROM parts GROUP BY ALL),
 chi AS (
-  SELECT *, CASE WHEN df <= 0 OR statistic <= 0 THEN 1 ELSE greatest(1 - (
-    SELECT sum(exp((df / 2 + n) * ln(statistic / 2) - statistic / 2 - lgamma(df / 2 + n + 1))) FROM range(0, 4000) g(n)), 0) END AS p_value
+  SELECT *, CASE WHEN df <= 0 OR statistic <= 0 THEN 1 WHEN df % 2 = 0 THEN least(1, (
+    SELECT sum(exp(n * ln(statistic / 2) - statistic / 2 - lgamma(n + 1))) FROM range(0, CAST(df / 2 AS BIGINT)) g(n)))
+    ELSE greatest(1 - (
+    SELECT sum(exp((df / 2 + n) * ln(statistic / 2) - statistic / 2 - lgamma(df / 2 + n + 1)))
+    FROM range(0, CAST(200 + statistic + 20 * sqrt(statistic) AS BIGINT)) g(n)), 0) END AS p_value
   FROM chi_stat)"""
 
 
@@ -196,6 +199,23 @@ def _(t):
     return table.select("window_id", "feature", tidy(F.col("p_value")).alias("p_value"))
 
 
+USERS = """SELECT CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS INT) % 4 AS window_id, user_id FROM events"""
+
+
+@query(
+    "k05_high_cardinality",
+    f"""WITH {chi2_sql(USERS, ['user_id'], '0')}
+    SELECT window_id, feature, df, {rnd('statistic', 4)} AS statistic, {rnd('p_value')} AS p_value, {rnd('psi')} AS psi FROM chi""",
+)
+def _(t):
+    """Every user is a level: every fourth day against the first of the four."""
+    day = F.date_diff(F.to_date("ts"), F.lit("2024-01-01").cast("date")) % 4
+    rows = t("events").select(day.alias("window_id"), F.lit("day").alias("scenario"), "user_id")
+    table = D.categorical_drift(rows.where(F.col("window_id") == 0), rows.where(F.col("window_id") > 0), ["user_id"])
+    table = table.withColumn("p_value", D.chi2_upper_tail("chi2", "df"))
+    return table.select("window_id", "feature", "df", tidy(F.col("chi2"), 4).alias("statistic"), tidy(F.col("p_value")).alias("p_value"), tidy(F.col("psi")).alias("psi"))
+
+
 AUDIT_SQL = f"""{numeric_sql(LINES, LINE_NUMERIC)}, {chi2_sql(LINES, LINE_CATEGORICAL)},
 audit AS (
   SELECT 'lines' AS dataset, window_id, 'y' || CAST(window_id AS VARCHAR) AS scenario, feature, 'numeric' AS feature_type,

@@ -115,14 +115,20 @@ LINE_CATEGORICAL = ["l_returnflag", "l_linestatus"]
 REFERENCE_YEAR = 1995
 
 
+def _after(year: int):
+    """First day after a year: a bound that reaches the scan."""
+    return F.lit(f"{year + 1}-01-01").cast("date")
+
+
 def line_reference(t: Tables) -> DataFrame:
-    return t("lineitem").where(F.year("l_shipdate") == REFERENCE_YEAR)
+    day = F.col("l_shipdate")
+    return t("lineitem").where((day >= F.lit(f"{REFERENCE_YEAR}-01-01").cast("date")) & (day < _after(REFERENCE_YEAR)))
 
 
 def line_windows(t: Tables) -> DataFrame:
     year = F.year("l_shipdate")
     return (
         t("lineitem")
-        .where(year > REFERENCE_YEAR)
+        .where(F.col("l_shipdate") >= _after(REFERENCE_YEAR))
         .withColumns({"window_id": year, "scenario": F.concat(F.lit("y"), year.cast("string"))})
     )
