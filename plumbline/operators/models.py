@@ -53,7 +53,7 @@ def make_estimator(name: str, rows: int, seed: int = C.SEED, **params: Any):
             regParam=1.0 / (params.get("C", 1.0) * rows),
             elasticNetParam=1.0 if params.get("l1") else 0.0,
             standardization=False,
-            maxIter=params.get("max_iter", 100),
+            maxIter=params.get("max_iter", 1000),
             tol=1e-6,
             **common,
         )
@@ -61,7 +61,7 @@ def make_estimator(name: str, rows: int, seed: int = C.SEED, **params: Any):
         return LinearSVC(
             regParam=1.0 / (params.get("C", 1.0) * rows),
             standardization=False,
-            maxIter=params.get("max_iter", 50),
+            maxIter=params.get("max_iter", 2500),
             **common,
         )
     if name == "RandomForest":
@@ -340,7 +340,7 @@ def calibrated_variants(
     inner = cross_validate(train, name, "fold", width, **params).select("y", "score").persist()
     try:
         pack = VectorAssembler(inputCols=["score"], outputCol="features")
-        platt = LogisticRegression(featuresCol="features", labelCol="y", regParam=0.0, maxIter=200)
+        platt = LogisticRegression(featuresCol="features", labelCol="y", regParam=0.0, maxIter=1000)
         sigmoid_map = platt.fit(pack.transform(inner))
         isotonic = IsotonicRegression(featuresCol="score", labelCol="y", isotonic=True).fit(
             inner.withColumn("y", F.col("y").cast("double"))

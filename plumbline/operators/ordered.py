@@ -170,29 +170,58 @@ def collect_quantiles(
     return {r["feature"]: list(r["quantiles"]) for r in rows}
 
 
+def _slot_offsets(marked: DataFrame, strata: Sequence[str]) -> DataFrame:
+    """(strata, __slot, __n, __off, stratum_n): rows per slot and in the slots before it."""
+    totals = marked.groupBy(*strata, "__slot").agg(F.count(F.lit(1)).alias("__n"))
+    by_slot = W.partitionBy(*strata, F.lit(0)).orderBy("__slot").rowsBetween(W.unboundedPreceding, -1)
+    whole = W.partitionBy(*strata, F.lit(0))
+    return totals.select(
+        *strata,
+        "__slot",
+        "__n",
+        F.coalesce(F.sum("__n").over(by_slot), F.lit(0)).alias("__off"),
+        F.sum("__n").over(whole).alias("stratum_n"),
+    )
+
+
 def hashed_rank(
-    df: DataFrame, digest: Column, strata: Sequence[str], digits: int = 3
+    df: DataFrame, digest: Column, strata: Sequence[str], digits: int = 3, limit: int | None = None
 ) -> DataFrame:
     """Add rank_no (1..n) and stratum_n: the order of `digest` inside each stratum.
 
     Leading hex digits of a hash are uniform, so they are the buckets: 16**digits
     windows per stratum, whatever the size of the stratum. Use 4 or 5 digits
-    beyond about 10**10 rows. Row keys must be unique.
+    beyond about 10**10 rows. Row keys must be unique. With a `limit`, slots that begin
+    beyond that rank are dropped before anything is sorted.
     """
     marked = df.withColumn("__digest", digest)
     marked = marked.withColumn("__slot", F.substring("__digest", 1, digits))
-    totals = marked.groupBy(*strata, "__slot").agg(F.count(F.lit(1)).alias("__n"))
-    by_slot = W.partitionBy(*strata, F.lit(0)).orderBy("__slot").rowsBetween(W.unboundedPreceding, -1)
-    whole = W.partitionBy(*strata, F.lit(0))
-    offsets = totals.select(
-        *strata,
-        "__slot",
-        F.coalesce(F.sum("__n").over(by_slot), F.lit(0)).alias("__off"),
-        F.sum("__n").over(whole).alias("stratum_n"),
-    )
+    offsets = _slot_offsets(marked, strata).drop("__n")
+    if limit is not None:
+        offsets = offsets.where(F.col("__off") < limit)
     inside = W.partitionBy(*strata, "__slot").orderBy("__digest")
-    ranked = marked.withColumn("__inner", F.row_number().over(inside))
-    joined = ranked.join(offsets, [*strata, "__slot"])
+    joined = marked.join(offsets, [*strata, "__slot"]).withColumn("__inner", F.row_number().over(inside))
     return joined.withColumn("rank_no", F.col("__inner") + F.col("__off")).drop(
         "__digest", "__slot", "__inner", "__off"
     )
+
+
+def cut_digests(
+    df: DataFrame, digest: Column, strata: Sequence[str], quotas: Mapping[str, Column], digits: int = 3
+) -> DataFrame:
+    """(strata, one column per quota): the digest of the row whose rank is the quota, null for a quota of 0.
+
+    Quotas are expressions of stratum_n. Rows are counted per slot; only the slots in
+    which a quota falls are sorted, and only their digests. A row is among the first
+    `quota` ones if its digest is not above the cut, so nothing else is ranked.
+    """
+    marked = df.select(*strata, digest.alias("__digest")).withColumn("__slot", F.substring("__digest", 1, digits))
+    offsets = _slot_offsets(marked, strata)
+    names = list(quotas)
+    asked = F.array(*[F.struct(F.lit(n).alias("name"), (quotas[n] - F.col("__off")).alias("need")) for n in names])
+    hits = offsets.select(*strata, "__slot", "__n", F.inline(asked)).where("need between 1 and __n").drop("__n")
+    inside = W.partitionBy(*strata, "__slot", "name").orderBy("__digest")
+    found = marked.join(hits, [*strata, "__slot"]).withColumn("__place", F.row_number().over(inside))
+    cuts = found.where(F.col("__place") == F.col("need")).select(*strata, "name", F.col("__digest").alias("cut"))
+    every = offsets.groupBy(*strata).agg(F.max("stratum_n").alias("stratum_n")).select(*strata, F.lit("").alias("name"), F.lit(None).cast("string").alias("cut"))
+    return every.unionByName(cuts).groupBy(*strata).agg(*[F.max(F.when(F.col("name") == n, F.col("cut"))).alias(n) for n in names])

@@ -22,11 +22,26 @@ def feature_types(df: DataFrame, exclude: Sequence[str] = ()) -> tuple[list[str]
 
 
 def feature_type_table(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
-    """The same as rows (position, feature, feature_type), read off the schema."""
+    """The same as rows, with what the columns hold: non-null values and distinct ones.
+
+    Values are counted per (column, value) map-side first, so no column is gathered.
+    """
     numeric, _ = feature_types(df, exclude)
     names = [f.name for f in df.schema.fields if f.name not in exclude]
-    rows = [(i, n, "numeric" if n in numeric else "categorical") for i, n in enumerate(names)]
-    return df.sparkSession.createDataFrame(rows, "position int, feature string, feature_type string")
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("position"),
+                F.lit(n).alias("feature"),
+                F.lit("numeric" if n in numeric else "categorical").alias("feature_type"),
+                F.col(n).cast("string").alias("level"),
+            )
+            for i, n in enumerate(names)
+        ]
+    )
+    keys = ["position", "feature", "feature_type"]
+    counts = df.select(F.inline(cells)).groupBy(*keys, "level").agg(F.count("level").alias("n"))
+    return counts.groupBy(*keys).agg(F.sum("n").alias("n_values"), F.count("level").alias("n_levels"))
 
 
 def split_features_label(df: DataFrame, target: str = "target") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql.types import StringType
 
 from plumbline import constants as C
 from plumbline.functions import hash_bits, hash_text, hash_uniform, number
-from plumbline.operators.ordered import collect_quantiles, hashed_rank
+from plumbline.operators.ordered import collect_quantiles, cut_digests, hashed_rank
 from plumbline.session import stage
 
 
@@ -27,6 +27,16 @@ def ranked(df: DataFrame, key: str, strata: Sequence[str], seed: int = C.SEED, d
     return hashed_rank(df, hash_text(seed, F.col(key)), strata, digits)
 
 
+def _with_cuts(
+    df: DataFrame, key: str, strata: Sequence[str], quotas: dict[str, Column], seed: int, digits: int
+) -> DataFrame:
+    """Rows with their digest and their stratum's cut digests; the rows themselves are not shuffled for it."""
+    digest = hash_text(seed, F.col(key))
+    cuts = cut_digests(df, digest, strata, quotas, digits)
+    marked = df.withColumn("__digest", digest)
+    return marked.join(cuts, list(strata)) if strata else marked.crossJoin(cuts)  # one row without strata
+
+
 def split_two(
     df: DataFrame,
     key: str,
@@ -34,16 +44,16 @@ def split_two(
     test_share: float = 0.2,
     seed: int = C.SEED,
     names: tuple[str, str] = ("train", "test"),
+    digits: int = 3,
 ) -> DataFrame:
     """Stratified split in a `split` column.
 
     With window keys among the strata this also splits many windows at once; a
     window that holds one class is then simply one stratum.
     """
-    order = ranked(df, key, strata, seed)
-    cut = quota(F.col("stratum_n"), test_share)
-    name = F.when(F.col("rank_no") <= cut, F.lit(names[1])).otherwise(F.lit(names[0]))
-    return order.withColumn("split", name).drop("rank_no", "stratum_n")
+    rows = _with_cuts(df, key, strata, {"__test": quota(F.col("stratum_n"), test_share)}, seed, digits)
+    name = F.when(F.col("__digest") <= F.col("__test"), F.lit(names[1])).otherwise(F.lit(names[0]))
+    return rows.withColumn("split", name).select(*df.columns, "split")
 
 
 def split_three(
@@ -53,37 +63,39 @@ def split_three(
     test_share: float = 0.2,
     valid_share: float = 0.2,
     seed: int = C.SEED,
+    digits: int = 3,
 ) -> DataFrame:
     """Stratified train / validation / test; the validation share is of the whole."""
-    order = ranked(df, key, strata, seed)
     test = quota(F.col("stratum_n"), test_share)
     valid = quota(F.col("stratum_n") - test, valid_share / (1.0 - test_share))
+    rows = _with_cuts(df, key, strata, {"__test": test, "__both": test + valid}, seed, digits)
     name = (
-        F.when(F.col("rank_no") <= test, F.lit("test"))
-        .when(F.col("rank_no") <= test + valid, F.lit("validation"))
+        F.when(F.col("__digest") <= F.col("__test"), F.lit("test"))
+        .when(F.col("__digest") <= F.col("__both"), F.lit("validation"))
         .otherwise(F.lit("train"))
     )
-    return order.withColumn("split", name).drop("rank_no", "stratum_n")
+    return rows.withColumn("split", name).select(*df.columns, "split")
 
 
 def folds(
-    df: DataFrame, key: str, k: int = 5, strata: Sequence[str] = ("y",), seed: int = C.SEED
+    df: DataFrame, key: str, k: int = 5, strata: Sequence[str] = ("y",), seed: int = C.SEED, digits: int = 3
 ) -> DataFrame:
     """Stratified shuffled folds 0..k-1 in a `fold` column."""
-    order = ranked(df, key, strata, seed)
+    order = ranked(df, key, strata, seed, digits)
     fold = ((F.col("rank_no") - 1) % k).cast("int")
     return order.withColumn("fold", fold).drop("rank_no", "stratum_n")
 
 
 def draw(
-    df: DataFrame, key: str, size: int, strata: Sequence[str] = (), seed: int = C.SEED
+    df: DataFrame, key: str, size: int, strata: Sequence[str] = (), seed: int = C.SEED, digits: int = 3
 ) -> DataFrame:
     """`size` rows of each stratum, with a draw_no from 1 to size.
 
     Strata with fewer rows are drawn with replacement: slot i takes the row whose
-    rank is a hash of i. Only such strata, smaller than `size`, join the slots.
+    rank is a hash of i. Only such strata, smaller than `size`, join the slots. Rows in
+    hash slots beyond the size are dropped before sorting.
     """
-    order = ranked(df, key, strata, seed)
+    order = hashed_rank(df, hash_text(seed, F.col(key)), strata, digits, limit=size)
     enough = F.col("stratum_n") >= size
     plain = order.where(enough & (F.col("rank_no") <= size)).withColumn("draw_no", F.col("rank_no"))
     short = order.where(~enough)
@@ -163,6 +175,8 @@ def monitoring_windows(
 ) -> DataFrame:
     """Four windows of equal size drawn from the reference, as rows.
 
+    The size is the one asked for, or the number of reference rows if there are fewer.
+
     1 stable sample, 2 the same rows with shifted features, 3 a sample with more
     positives, 4 those rows with shifted features. Adds window_id, scenario and a
     row_key that is unique over all windows.

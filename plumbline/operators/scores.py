@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline.functions import bin_right_closed, category
-from plumbline.operators.ordered import collect_quantiles
+from plumbline.operators.ordered import collect_quantiles, feature_quantiles
 
 
 def _rows(row: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
@@ -66,6 +66,27 @@ def anova_scores(df: DataFrame, features: Sequence[str], keys: Sequence[str] = (
     return between.select(*keys, "feature", score.alias("score"))
 
 
+def _counted_by_own_edges(
+    df: DataFrame, numeric: Sequence[str], keys: Sequence[str], y: str, probs: Sequence[float], digits: int | None
+) -> DataFrame:
+    """Class counts (keys, feature, level, p, q), with bins from the quantiles of each key.
+
+    Equal values are counted first, so the join carries one row per distinct value.
+    """
+    cells = ", ".join(f"named_struct('feature', '{f}', 'value', double(`{f}`))" for f in numeric)
+    values = (
+        df.select(*keys, F.col(y).alias("y"), F.expr(f"inline(array({cells}))"))
+        .groupBy(*keys, "feature", "value")
+        .agg(F.count_if(F.col("y") == 1).alias("p"), F.count_if(F.col("y") == 0).alias("q"))
+    )
+    cut = feature_quantiles(df, numeric, probs, keys=keys, digits=digits)
+    edges = F.array_sort(F.array_distinct("quantiles"))
+    inner = F.slice(edges, 2, F.greatest(F.size(edges) - 2, F.lit(0)))
+    placed = values.join(cut.select(*keys, "feature", inner.alias("inner")), [*keys, "feature"], "left")
+    level = F.when(F.col("value").isNotNull(), F.size(F.filter("inner", lambda e: e < F.col("value"))))
+    return placed.groupBy(*keys, "feature", level.alias("level")).agg(F.sum("p").alias("p"), F.sum("q").alias("q"))
+
+
 def mutual_information_scores(
     df: DataFrame,
     numeric: Sequence[str],
@@ -78,13 +99,16 @@ def mutual_information_scores(
 ) -> DataFrame:
     """Plug-in mutual information (nats) between each feature and the label.
 
-    Numeric features are cut at their quantiles over all rows; nulls form a level.
+    Numeric features are cut at their quantiles, those of each key's own rows if there
+    are keys; nulls form a level.
     With counts n over (level, class), N * MI = sum n ln n - sum over levels
     - sum over classes + N ln N (each x ln x), so one shuffle of counts is enough.
     """
-    if edges is None and numeric:
-        probs = [k / bins for k in range(bins + 1)]
+    probs = [k / bins for k in range(bins + 1)]
+    own_edges = edges is None and bool(keys)
+    if edges is None and numeric and not keys:
         edges = {f: sorted(set(q)) for f, q in collect_quantiles(df, numeric, probs, digits=digits).items()}
+
     def counted(columns: Mapping[str, Column]) -> DataFrame:
         cells = ", ".join(f"named_struct('feature', '{f}', 'level', `{f}`)" for f in columns)
         coded = df.select(*keys, F.col(y).alias("y"), *[c.alias(f) for f, c in columns.items()])
@@ -97,8 +121,11 @@ def mutual_information_scores(
     parts = []
     if numeric:
         # Bin numbers stay integers until they are counted.
-        inner = {f: (edges or {}).get(f, [])[1:-1] for f in numeric}
-        parts.append(counted({f: bin_right_closed(f"double(`{f}`)", inner[f]) for f in numeric}))
+        if own_edges:
+            parts.append(_counted_by_own_edges(df, numeric, keys, y, probs, digits))
+        else:
+            inner = {f: (edges or {}).get(f, [])[1:-1] for f in numeric}
+            parts.append(counted({f: bin_right_closed(f"double(`{f}`)", inner[f]) for f in numeric}))
     if categorical:
         parts.append(counted({f: category(F.col(f)) for f in categorical}))
     tables = [p.withColumn("level", F.col("level").cast("string")) for p in parts]

@@ -33,11 +33,11 @@ def ranking_table(scores: DataFrame, method: str, dataset: str | None = None, ti
 
 
 def importance_rows(
-    scores: DataFrame, dataset: str, model: str, feature_set: str, method: str
+    scores: DataFrame, dataset: str | None, model: str, feature_set: str, method: str
 ) -> DataFrame:
-    """Global importance rows, ready to be united and ranked."""
+    """Global importance rows, ready to be united and ranked; without a name `dataset` is a column."""
     return scores.select(
-        F.lit(dataset).alias("dataset"),
+        F.col("dataset") if dataset is None else F.lit(dataset).alias("dataset"),
         F.lit(model).alias("model"),
         F.lit(feature_set).alias("feature_set"),
         F.lit(method).alias("method"),

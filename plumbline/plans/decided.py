@@ -263,13 +263,14 @@ def _(t):
     return top.select("dataset", "params_json", "rank", *[tidy(F.col(c)).alias(c) for c in numbers])
 
 
-COMPARED = f"""{record_sql('dataset, model, variant', 'dataset, model, variant')},
+TWO_SIDES = "SELECT * REPLACE (CASE variant WHEN 'v0' THEN 'v0' ELSE 'v1' END AS variant) FROM"
+COMPARED = f"""{record_sql('dataset, model, variant', 'dataset, model, variant').replace('scored AS (', f'scored AS ({TWO_SIDES} (', 1).replace('FROM lineitem)', 'FROM lineitem))', 1)},
 compared AS (SELECT dataset, CASE model WHEN 'm0' THEN 'LogisticRegression' ELSE 'RandomForest' END AS model, 'full' AS feature_set,
-  CASE variant WHEN 'v0' THEN 'baseline_default' ELSE 'tuned_best' END AS variant, accuracy, f1, roc_auc FROM record WHERE variant <> 'v2')"""
+  CASE variant WHEN 'v0' THEN 'baseline_default' ELSE 'tuned_best' END AS variant, accuracy, f1, roc_auc FROM record)"""
 
 
 def compared(t):
-    rows = split_scores(t).where(F.col("variant") != "v2").withColumns(
+    rows = split_scores(t).withColumns(
         {
             "variant": F.when(F.col("variant") == "v0", F.lit("baseline_default")).otherwise(F.lit("tuned_best")),
             "model": F.when(F.col("model") == "m0", F.lit("LogisticRegression")).otherwise(F.lit("RandomForest")),
@@ -318,12 +319,12 @@ def _(t):
 
 @query(
     "k15_retrain_gain",
-    f"""WITH {record_sql('dataset, window_id, variant', 'dataset, window_id, variant')}
+    f"""WITH {record_sql('dataset, window_id, variant', 'dataset, window_id, variant').replace('scored AS (', f'scored AS ({TWO_SIDES} (', 1).replace('FROM lineitem)', 'FROM lineitem))', 1)}
     SELECT a.dataset, 'y' || CAST(a.window_id AS VARCHAR) AS scenario, {rnd('b.f1 - a.f1')} AS f1_gain, {rnd('a.expected_cost - b.expected_cost')} AS cost_saving
     FROM record a JOIN record b ON a.dataset = b.dataset AND a.window_id = b.window_id AND a.variant = 'v0' AND b.variant = 'v1'""",
 )
 def _(t):
-    rows = scored(t).where(F.col("variant") != "v2").withColumns(
+    rows = scored(t).withColumns(
         {
             "scenario": F.concat(F.lit("y"), F.col("window_id").cast("string")),
             "phase": F.when(F.col("variant") == "v0", F.lit("before_retrain")).otherwise(F.lit("after_retrain")),

@@ -55,11 +55,11 @@ grand AS (SELECT dataset, feature, sum(n) AS n_all, sum(n * m) / sum(n) AS g, su
 anova AS (SELECT dataset, feature, (sum(n * (m - g) * (m - g)) / (max(k) - 1)) / (max(within) / (max(n_all) - max(k))) AS score
   FROM moments JOIN grand USING (dataset, feature) GROUP BY ALL)"""
 INNER = [k / 10 for k in range(1, 10)]
-CUTS = "cut AS (SELECT " + ", ".join(
+CUTS = "cut AS (SELECT dataset, " + ", ".join(
     f"list_sort(list_distinct([{', '.join(f'round(quantile_cont({f}, {num(p)}), 9)' for p in [0.0, *INNER, 1.0])}])) AS e_{f}" for f in FEATURES
-) + " FROM lines_in)"
+) + " FROM lines_in GROUP BY dataset)"
 COUNTED = " UNION ALL ".join(
-    f"SELECT dataset, '{f}' AS feature, {f} AS value, y, CAST(count(*) AS DOUBLE) AS n, any_value(e_{f}) AS e FROM lines_in, cut GROUP BY dataset, {f}, y"
+    f"SELECT dataset, '{f}' AS feature, {f} AS value, y, CAST(count(*) AS DOUBLE) AS n, any_value(e_{f}) AS e FROM lines_in JOIN cut USING (dataset) GROUP BY dataset, {f}, y"
     for f in FEATURES
 )
 MUTUAL = f"""{CUTS}, counted AS ({COUNTED}),
@@ -248,14 +248,14 @@ def _(t):
 
 @query(
     "f08_importance_rows",
-    f"""WITH {RANKING} SELECT 'F' AS dataset, 'fixed' AS model, 'full' AS feature_set, 'coef_abs' AS method, feature, {rnd('score')} AS score, rank FROM ranking
-    WHERE dataset = 'F' AND method = 'Correlation'
-    UNION ALL SELECT 'F', 'fixed', 'full', 'native_importance', feature, {rnd('score')}, rank FROM ranking WHERE dataset = 'F' AND method = 'RFE'""",
+    f"""WITH {RANKING} SELECT dataset, 'fixed' AS model, 'full' AS feature_set, 'coef_abs' AS method, feature, {rnd('score')} AS score, rank FROM ranking
+    WHERE method = 'Correlation'
+    UNION ALL SELECT dataset, 'fixed', 'full', 'native_importance', feature, {rnd('score')}, rank FROM ranking WHERE method = 'RFE'""",
 )
 def _(t):
-    rows = lines(t).where(F.col("dataset") == "F")
-    united = G.importance_rows(E.correlation_scores(rows, FEATURES), "F", "fixed", "full", "coef_abs").unionByName(
-        G.importance_rows(E.anova_scores(rows, FEATURES), "F", "fixed", "full", "native_importance")
+    rows = lines(t)
+    united = G.importance_rows(E.correlation_scores(rows, FEATURES, ["dataset"]), None, "fixed", "full", "coef_abs").unionByName(
+        G.importance_rows(E.anova_scores(rows, FEATURES, ["dataset"]), None, "fixed", "full", "native_importance")
     )
     return G.rank_importance(united.withColumn("score", F.round("score", 9))).withColumn("score", tidy(F.col("score")))
 

@@ -39,14 +39,14 @@ def _(t):
 
 @query(
     "b06_lenient_cast",
-    """SELECT doc_id, TRY_CAST(substr(text, 1, 1) AS DOUBLE) AS first_digit FROM documents WHERE TRY_CAST(substr(text, 1, 1) AS DOUBLE) IS NOT NULL
+    r"""SELECT doc_id, TRY_CAST(regexp_extract(text, '[0-9]+(\.[0-9]+)?') AS DOUBLE) AS first_number FROM documents WHERE TRY_CAST(regexp_extract(text, '[0-9]+(\.[0-9]+)?') AS DOUBLE) IS NOT NULL
     UNION ALL SELECT event_id, TRY_CAST(replace(replace(props, '{"k": ', ''), '}', '') AS DOUBLE) FROM events""",
 )
 def _(t):
-    docs = t("documents").select("doc_id", P.number(F.substring("text", 1, 1)).alias("first_digit"))
+    docs = t("documents").select("doc_id", P.number(F.regexp_extract("text", r"[0-9]+(\.[0-9]+)?", 0)).alias("first_number"))
     inner = F.regexp_extract("props", r"([0-9]+)", 1)
-    events = t("events").select(F.col("event_id").alias("doc_id"), P.number(inner).alias("first_digit"))
-    return docs.dropna(subset=["first_digit"]).unionByName(events)
+    events = t("events").select(F.col("event_id").alias("doc_id"), P.number(inner).alias("first_number"))
+    return docs.dropna(subset=["first_number"]).unionByName(events)
 
 
 @query("b07_missing_category", "SELECT o_orderkey, coalesce(CAST(nullif(o_custkey % 3, 0) AS VARCHAR), 'missing') AS band FROM orders")

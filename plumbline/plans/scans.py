@@ -160,9 +160,12 @@ def _(t):
 
 @query(
     "b02_feature_types",
-    """SELECT CAST(row_number() OVER (ORDER BY p) - 1 AS INT) AS position, feature, feature_type FROM (VALUES
-    (0, 'event_id', 'numeric'), (1, 'ts', 'categorical'), (2, 'user_id', 'numeric'), (3, 'event_type', 'categorical'),
-    (4, 'value', 'numeric'), (5, 'props', 'categorical')) x(p, feature, feature_type)""",
+    " UNION ALL ".join(
+        f"""SELECT CAST({i} AS INT) AS position, '{c}' AS feature,
+        CASE WHEN any_value(typeof({c})) IN ('BIGINT', 'INTEGER', 'DOUBLE', 'FLOAT', 'BOOLEAN') THEN 'numeric' ELSE 'categorical' END AS feature_type,
+        count({c}) AS n_values, count(DISTINCT {c}) AS n_levels FROM events"""
+        for i, c in enumerate(("event_id", "ts", "user_id", "event_type", "value", "props"))
+    ),
 )
 def _(t):
     from plumbline.operators.preprocess import feature_type_table

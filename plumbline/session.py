@@ -41,7 +41,7 @@ def local_session(cores: str | int = "*", partitions: int = 8, memory: str = "12
 def default_buckets(spark: SparkSession) -> int:
     """Range buckets per ordered column: follow the shuffle width of the cluster."""
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(8, min(width, 4096))
+    return max(8, width)
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:

@@ -74,9 +74,9 @@ def test_elimination_keeps_the_informative_feature(spark, table):
 def test_permutation_finds_the_weight(spark, table):
     rows = table.select("row_id", "y", F.coalesce("income", F.lit(50.0)).alias("income"), "age")
     scorer = X.LinearScorer({"income": 0.05, "age": 0.0}, -2.5)
-    out = {r["feature"]: r["importance_mean"] for r in X.permutation_importance(rows, scorer, "row_id", ["income", "age"], repeats=2, bucket_rows=300).collect()}
+    out = {r["feature"]: r["importance_mean"] for r in X.permutation_importance(rows, scorer, "row_id", ["income", "age"], repeats=2).collect()}
     assert out["income"] > 0.1 and out["age"] == pytest.approx(0.0)
-    wide = X.permuted_values(rows, "row_id", ["income"], 1, bucket_rows=300)
+    wide = X.permuted_values(rows, "row_id", ["income"], 1)
     # Nothing is lost or invented by the permutation.
     sums = wide.agg(F.sum("income").alias("a"), F.sum(F.col("__p0")["income"]).alias("b")).first()
     assert sums["a"] == pytest.approx(sums["b"])
