@@ -63,7 +63,7 @@ def score_with_all(df: DataFrame, models: Mapping[str, FittedClassifier]) -> Dat
     """Every row scored by every model; narrow and cached, as metrics read it twice."""
     keep = [c for c in ("window_id", "scenario", "y") if c in df.columns]
     parts = [m(df).select(*keep, "score").withColumn("model_variant", F.lit(n)) for n, m in models.items()]
-    return _union(parts).persist()
+    return stage(_union(parts), "scored_windows")
 
 
 def post_retrain_comparison(
@@ -99,7 +99,7 @@ def post_retrain_comparison(
     both = before.withColumn("phase", F.lit("before_retrain")).unionByName(
         after.withColumn("phase", F.lit("after_retrain"))
     )
-    both = both.withColumn("dataset", F.lit(dataset)).persist()
+    both = stage(both.withColumn("dataset", F.lit(dataset)), "before_and_after")
     record = metric_record(both, ["dataset", "scenario", "phase"])
     return record.select(*C.RETRAIN_COLUMNS)
 

@@ -20,6 +20,7 @@ from plumbline import constants as C
 from plumbline.functions import at_least, clip, sigmoid, sorted_json
 from plumbline.operators.metrics import decision_metrics, metric_record, to_long
 from plumbline.operators.preprocess import Preprocessor, fit_preprocessor
+from plumbline.session import stage
 
 MAX_DEPTH = 30  # deepest tree Spark grows
 WEIGHT = "class_weight"
@@ -165,7 +166,7 @@ def _united(parts: Sequence[DataFrame]) -> DataFrame:
 
 def _scored_once(parts: Sequence[DataFrame]) -> DataFrame:
     """Union of scored rows, cached: metrics read them twice, models score once."""
-    return _united(parts).persist()
+    return stage(_united(parts), "model_scores")
 
 
 def compare_models(
@@ -188,7 +189,7 @@ def compare_models(
         vectors = preprocessor.vectors(df.where(F.col("split").isin(list(splits))), features)
         # Fits of one feature set share the vectors; the cache spills to disk and
         # is rebuilt from lineage if an executor goes.
-        vectors = vectors.select("split", "y", "features").persist()
+        vectors = stage(vectors.select("split", "y", "features"), "curve_vectors")
         for label, params in models.items():
             cells.append((set_name, label, dict(params), vectors))
 

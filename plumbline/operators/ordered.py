@@ -122,7 +122,7 @@ def running_totals(
 def quantiles_from_totals(
     ranked: DataFrame, keys: Sequence[str], probs: Sequence[float], digits: int | None = None
 ) -> DataFrame:
-    """Exact linear-interpolated quantiles as an array column `quantiles`.
+    """Exact linear-interpolated quantiles as an array column `quantiles`, and `n_values`, the distinct values.
 
     `ranked` comes from `running_totals` over a count column named n.
     """
@@ -135,8 +135,8 @@ def quantiles_from_totals(
             )
         cell = f"lo{k} + (hi{k} - lo{k}) * ({position} - floor({position}))"
         cells.append(cell if digits is None else f"round({cell}, {digits})")
-    found = ranked.groupBy(*keys).agg(F.first("tot_n").alias("tot_n"), *aggregates)
-    return found.select(*keys, F.expr(f"array({', '.join(cells)})").alias("quantiles"))
+    found = ranked.groupBy(*keys).agg(F.first("tot_n").alias("tot_n"), F.count("value").alias("n_values"), *aggregates)
+    return found.select(*keys, F.expr(f"array({', '.join(cells)})").alias("quantiles"), "n_values")
 
 
 def value_counts(long: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -151,7 +151,7 @@ def feature_quantiles(
     cuts: Mapping[str, Sequence[float]] | None = None,
     digits: int | None = None,
 ) -> DataFrame:
-    """(keys, feature, quantiles[]) of the numeric features of a wide table."""
+    """(keys, feature, quantiles[], n_values) of the numeric features of a wide table."""
     long = long_values(df, keys, features, cuts)
     group = [*keys, "feature"]
     ranked = running_totals(value_counts(long, group), group, "value", ["n"])

@@ -10,7 +10,7 @@ from pyspark.sql.types import BooleanType, NumericType
 from plumbline import constants as C
 from plumbline.functions import MISSING, bin_right_closed, category, interval_text
 from plumbline.operators.metrics import confusion_counts, from_confusion
-from plumbline.operators.ordered import collect_quantiles
+from plumbline.operators.ordered import feature_quantiles
 
 
 def quantile_edges(
@@ -18,16 +18,20 @@ def quantile_edges(
 ) -> list[float]:
     """De-duplicated quantile edges; fewer bins when there are few distinct values.
 
-    Whether a column has fewer than `n_bins` distinct values shows in a handful of
-    rows, so the probe stops there instead of counting all of them.
+    The number of distinct values comes with the quantiles; only a column with fewer
+    than `n_bins` of them is asked again.
     """
     wanted = max(2, n_bins)
-    seen = df.select(feature).where(F.col(feature).isNotNull()).distinct().limit(wanted).count()
-    if seen < 2:
+
+    def asked(bins: int):
+        return feature_quantiles(df, [feature], [k / bins for k in range(bins + 1)], digits=digits).first()
+
+    found = asked(wanted)
+    if found is None or found["n_values"] < 2:
         return []
-    bins = min(wanted, seen)
-    probs = [k / bins for k in range(bins + 1)]
-    return sorted(set(collect_quantiles(df, [feature], probs, digits=digits)[feature]))
+    if found["n_values"] < wanted:
+        found = asked(found["n_values"])
+    return sorted(set(found["quantiles"]))
 
 
 def segment_columns(df: DataFrame, feature: str, n_bins: int = 4) -> DataFrame:

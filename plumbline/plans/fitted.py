@@ -36,7 +36,7 @@ def train_vectors(t, folds: int = 0):
     if folds:
         train = S.folds(train, "row_id", folds)
     kept = ["row_id", "y", "features", *(["fold"] if folds else [])]
-    return fit.vectors(train).select(*kept).persist(), fit.names
+    return stage(fit.vectors(train).select(*kept), "train_vectors"), fit.names
 
 
 def one_model(name: str, model: str, **params):
@@ -82,8 +82,8 @@ def _(t):
     train = S.folds(rows.where(F.col("split") == "train").drop("split"), "row_id", 3)
     holdout = rows.where(F.col("split") == "validation").drop("split")
     scored = H.calibrated_variants(
-        fit.vectors(train).select("y", "features", "fold").persist(),
-        fit.vectors(holdout).select("row_id", "y", "features").persist(),
+        stage(fit.vectors(train).select("y", "features", "fold"), "fold_vectors"),
+        stage(fit.vectors(holdout).select("row_id", "y", "features"), "holdout_vectors"),
         "RandomForest",
         **FOREST,
     )
@@ -94,7 +94,7 @@ def _(t):
 @query("h14_validation_curve")
 def _(t):
     rows, fit = prepared(t)
-    vectors = fit.vectors(rows).select("split", "y", "features").persist()
+    vectors = stage(fit.vectors(rows).select("split", "y", "features"), "split_vectors")
     train, valid = (vectors.where(F.col("split") == s) for s in ("train", "validation"))
     return H.validation_curve(train, valid, "LogisticRegression", "C", (0.01, 0.1, 1.0, 10.0, 100.0))
 
