@@ -11,10 +11,12 @@ per text; equal samples have the probability of the weighted Jaccard similarity.
 that agree on all rows of a band share a bucket. Then:
 1. exact copies are one class from the start (hash of the text, with its least doc_id);
 2. each bucket's member with the least doc_id is compared with the others (a star, linear in the members);
-3. members that were not connected to their star's head are compared with each other,
-   in blocks, by their samples; pairs that may reach the threshold go on.
-Both kinds of pairs are verified by the exact weighted Jaccard similarity of the whole
-texts; connected components of the verified links are the classes.
+3. in buckets that still hold several classes, members of different classes are compared
+   in blocks of bounded size: first by their samples alone, which leaves the members
+   with a partner that may reach the threshold, then those by their texts. A block
+   returns members or the links that join its classes, never its pairs.
+Every link is verified by the exact weighted Jaccard similarity of the whole texts;
+connected components of the links are the classes.
 
 Edge cases: null and empty texts are one class of exact copies; texts without words
 link to nothing else; repeated rows fall in one class, extra columns are ignored.
@@ -37,6 +39,7 @@ from plumbline.session import stage
 SHINGLE, BANDS, ROWS = 5, 16, 4
 FREQUENT = 0.01
 THRESHOLD = 0.8
+GROUP = ["band", "bucket", "lo", "hi"]
 MIX_1, MIX_2, STEP = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
 
 
@@ -137,11 +140,12 @@ def _sketches(docs: DataFrame, idf) -> DataFrame:
             else:
                 bands.append([])
                 binary.append(b"")
-        return [part.column("k"), part.column("id"), pa.array(bands, pa.list_(pa.int64())), pa.array(binary, pa.binary())]
+        return [part.column("k"), part.column("id"), part.column("size"), pa.array(bands, pa.list_(pa.int64())), pa.array(binary, pa.binary())]
 
     kind = dict(docs.dtypes)["id"]
-    made = docs.mapInArrow(mapped(["k", "id", "bands", "samples"], work), f"k string, id {kind}, bands array<long>, samples binary")
-    return made.groupBy("k").agg(F.min("id").alias("id"), F.any_value("bands").alias("bands"), F.any_value("samples").alias("samples"))
+    sized = docs.withColumn("size", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
+    made = sized.mapInArrow(mapped(["k", "id", "size", "bands", "samples"], work), f"k string, id {kind}, size long, bands array<long>, samples binary")
+    return made.groupBy("k").agg(F.min("id").alias("id"), F.any_value("size").alias("size"), F.any_value("bands").alias("bands"), F.any_value("samples").alias("samples"))
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, idf, threshold: float) -> DataFrame:
@@ -170,59 +174,117 @@ def _jaccard(x, y) -> float:
     return float(shared / whole) if whole else 0.0
 
 
-def _block_pairs(rest: DataFrame, sketches: DataFrame, block: int, least: float) -> DataFrame:
-    """Pairs of one bucket's unconnected members whose samples agree in a share of `least` or more."""
-    sizes = rest.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("root").alias("roots"))
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    rows = rest.join(sizes.where(F.col("roots") > 1), ["band", "bucket"]).join(sketches.select("k", "samples"), "k")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("k"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = rows.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
-    keys = ["band", "bucket", "lo", "hi"]
-    rows = rows.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "own", "k", "id", "root", "samples")
-    kind = dict(rest.dtypes)["id"]
+def _in_blocks(rows: DataFrame, blocks: Column) -> DataFrame:
+    """Rows dealt so that any two of a bucket meet in one group (band, bucket, lo, hi), sorted by it."""
+    dealt = rows.withColumn("own", F.pmod(F.xxhash64("k"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).drop("other")
+    return dealt.repartition(*GROUP).sortWithinPartitions(*GROUP)
+
+
+def _near(table: pa.Table, start: int, end: int, marks: np.ndarray, roots: list, least: float):
+    """(i, places of likely partners of another class, their agreements) for the rows of one group."""
+    own, lo, hi = (table.column(c).to_numpy() for c in ("own", "lo", "hi"))
+    across = lo[start] != hi[start]
+    codes = np.unique(np.array(roots[start:end]), return_inverse=True)[1]
+    for i in range(start, end - 1):
+        other = codes[i - start + 1 :] != codes[i - start]
+        if across:
+            other &= own[i + 1 : end] != own[i]
+        places = np.flatnonzero(other) + i + 1
+        if len(places):
+            equal = marks[places] == marks[i]
+            likely = equal.mean(1) >= least
+            if likely.any():
+                yield i, places[likely], equal[likely]
+
+
+def _marks(table: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column("samples").to_pylist()), np.uint32).reshape(table.num_rows, -1)
+
+
+def _undecided(members: DataFrame, sketches: DataFrame, block: int, least: float) -> DataFrame:
+    """Members (band, bucket, k, id, size, root) with a likely partner of another class in their bucket."""
+    mixed = members.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("r0"), F.max("root").alias("r1"))
+    mixed = mixed.where(F.col("r0") != F.col("r1")).select("band", "bucket", "n")
+    rows = members.join(mixed, ["band", "bucket"]).join(sketches.select("k", "samples"), "k")
+    names = ["band", "bucket", "k", "id", "size", "root"]
+    rows = _in_blocks(rows, F.ceil(F.col("n") / block).cast("int")).select(*GROUP, "own", "k", "id", "size", "root", "samples")
 
     def run(batches):
-        for table, bounds in sorted_groups(batches, keys):
-            k, ids, root = (table.column(c).to_pylist() for c in ("k", "id", "root"))
-            own, lo, hi = (table.column(c).to_numpy() for c in ("own", "lo", "hi"))
-            marks = np.frombuffer(b"".join(table.column("samples").to_pylist()), np.uint32).reshape(table.num_rows, -1)
-            out = []
+        for table, bounds in sorted_groups(batches, GROUP):
+            marks, roots, found = _marks(table), table.column("root").to_pylist(), set()
             for start, end in zip(bounds, bounds[1:]):
-                for i in range(start, end):
-                    near = np.flatnonzero((marks[i + 1 : end] == marks[i]).mean(1) >= least) + i + 1
-                    out += [(i, j) for j in near if root[i] != root[j] and (lo[i] == hi[i] or own[i] != own[j])]
-            left, right = [i for i, _ in out], [j for _, j in out]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([v[i] for i in side], t) for side in (left, right) for v, t in ((k, pa.string()), (ids, table.schema.field("id").type))],
-                ["a", "a_id", "b", "b_id"],
-            )
+                for i, places, _ in _near(table, start, end, marks, roots, least):
+                    found.add(i)
+                    found.update(places.tolist())
+            yield from table.take(pa.array(sorted(found), pa.int64())).select(names).combine_chunks().to_batches()
+
+    kind = dict(members.dtypes)["id"]
+    return rows.mapInArrow(run, f"band int, bucket long, k string, id {kind}, size long, root string").distinct()
 
-    return rows.mapInArrow(run, f"a string, a_id {kind}, b string, b_id {kind}").distinct()
 
+def _block_links(undecided: DataFrame, sketches: DataFrame, docs: DataFrame, idf, block: int, block_bytes: int, least: float, threshold: float) -> DataFrame:
+    """Verified links (a, b) that join the classes of undecided members; each pair is tried in its first common band."""
+    sizes = undecided.groupBy("band", "bucket").agg(F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("size") / block_bytes)).cast("int").alias("blocks"))
+    bands = undecided.groupBy("k").agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("band"))).alias("in_bands"))
+    texts = docs.select(F.col("k").alias("t_k"), F.col("id").alias("t_id"), "text")
+    rows = undecided.join(sizes, ["band", "bucket"]).join(bands, "k").join(sketches.select("k", "samples"), "k")
+    rows = rows.join(texts, (F.col("k") == F.col("t_k")) & F.col("id").eqNullSafe(F.col("t_id"))).dropDuplicates(["band", "bucket", "k"])
+    rows = _in_blocks(rows, F.col("blocks")).select(*GROUP, "own", "k", "root", "in_bands", "samples", "text")
 
-def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, doc_id: str = "doc_id", text: str = "text", block: int = 256) -> DataFrame:
+    def run(batches):
+        for table, bounds in sorted_groups(batches, GROUP):
+            marks, k, roots = _marks(table), table.column("k").to_pylist(), table.column("root").to_pylist()
+            band, in_bands = table.column("band").to_numpy(), table.column("in_bands").to_numpy()
+            links = []
+            for start, end in zip(bounds, bounds[1:]):
+                vectors = [weights(t, idf.value) for t in table.column("text").slice(start, end - start).to_pylist()]
+                total = np.array([v[1].sum() for v in vectors])
+                parent = {r: r for r in roots[start:end]}
+
+                def find(r):
+                    while parent[r] != r:
+                        parent[r] = r = parent[parent[r]]
+                    return r
+
+                for i, places, equal in _near(table, start, end, marks, roots, least):
+                    shared = equal.reshape(-1, BANDS, ROWS).all(2)
+                    both = (in_bands[places] & in_bands[i])[:, None] >> np.arange(BANDS) & 1
+                    here = (shared & (both > 0)).argmax(1) == band[i]
+                    near = np.minimum(total[places - start], total[i - start]) >= threshold * np.maximum(total[places - start], total[i - start])
+                    for j in places[here & near]:
+                        x, y = find(roots[i]), find(roots[j])
+                        if x != y and _jaccard(vectors[i - start], vectors[j - start]) >= threshold:
+                            parent[x] = y
+                            links.append((k[i], k[j]))
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.string()), pa.array([y for _, y in links], pa.string())], ["a", "b"])
+
+    return rows.mapInArrow(run, "a string, b string")
+
+
+def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, doc_id: str = "doc_id", text: str = "text", block: int = 1024, block_bytes: int = 1 << 24) -> DataFrame:
     """(k, class_id, keeper) per distinct text: k is `text_key`, class_id the least doc_id of its class,
     keeper the key of that document's text."""
     spark = docs.sparkSession
     rows = docs.select(text_key(F.col(text)).alias("k"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
     idf = spark.sparkContext.broadcast(frequent_words(docs, text))
     sketches = stage(_sketches(rows, idf), "sketches")
-    members = sketches.select("k", "id", F.posexplode("bands").alias("band", "bucket"))
+    members = sketches.select("k", "id", "size", F.posexplode("bands").alias("band", "bucket"))
     heads = members.groupBy("band", "bucket").agg(F.min(F.struct("id", "k")).alias("head"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     stars = stage(
-        members.join(heads, ["band", "bucket"]).select("band", "bucket", "k", "id", F.col("head.k").alias("a"), F.col("head.id").alias("a_id")), "stars"
+        members.join(heads, ["band", "bucket"]).select("band", "bucket", "k", "id", "size", F.col("head.k").alias("a"), F.col("head.id").alias("a_id")), "stars"
     )
     first = stars.where(F.col("a") != F.col("k")).select("a", "a_id", F.col("k").alias("b"), F.col("id").alias("b_id")).distinct()
     links = stage(_verified(first, rows, idf, threshold).select("a", "b"), "links")
     roots = components(links)
-    rooted = lambda df, key, name: df.join(roots.select(F.col("node").alias(key), F.col("root").alias("_r")), key, "left").withColumn(name, F.coalesce("_r", key)).drop("_r")
-    rest = rooted(rooted(stars, "k", "root"), "a", "a_root").where(F.col("root") != F.col("a_root")).select("band", "bucket", "k", "id", "root")
+    rooted = lambda df: df.join(roots.select(F.col("node").alias("k"), F.col("root").alias("_r")), "k", "left").withColumn("root", F.coalesce("_r", "k")).drop("_r")
     # four deviations below the threshold: a pair that reaches it is not left out by its samples
     least = threshold - 4 * float(np.sqrt(threshold * (1 - threshold) / (BANDS * ROWS)))
-    second = stage(_block_pairs(stage(rest, "rest"), sketches, block, least), "second")
-    if not second.isEmpty():
-        roots = components(links.union(_verified(second, rows, idf, threshold).select("a", "b")))
-    classes = rooted(sketches.select("k", "id"), "k", "root")
+    undecided = stage(_undecided(rooted(stars), sketches, block, least), "undecided")
+    if not undecided.isEmpty():
+        more = stage(_block_links(undecided, sketches, rows, idf, block, block_bytes, least, threshold), "more")
+        roots = components(links.union(more))
+    classes = rooted(sketches.select("k", "id"))
     keepers = classes.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "k")).alias("w"))
     return classes.join(keepers, "root").select("k", F.col("w.id").alias("class_id"), F.col("w.k").alias("keeper"))
 

@@ -53,18 +53,36 @@ def test_copies_edits_and_a_shared_passage(spark):
     assert found(docs) == brute(rows, N.frequent_words(docs))
 
 
-def test_blocks_find_links_that_stars_miss(spark):
-    """Members of a bucket that are unlike its head but like each other."""
+def classes_of(n, links):
+    root = list(range(n))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in links:
+        root[find(i)] = find(j)
+    return [min(j for j in range(n) if find(j) == find(i)) for i in range(n)]
+
+
+def test_blocks_join_all_classes_of_a_bucket(spark):
+    """Members unlike their bucket's head but like each other; blocks of five rows, texts split by bytes too."""
     base = prose(80, 150)
     rows = [(i, edited(base, 0.01, i) + " " + prose(90 + i // 4, 25) + f" last{i}") for i in range(24)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     idf = N.frequent_words(docs)
     keyed = docs.select(N.text_key(F.col("text")).alias("k"), F.col("doc_id").alias("id"), "text")
-    sketches = N._sketches(keyed, spark.sparkContext.broadcast(idf)).cache()
-    rest = sketches.select(F.lit(0).alias("band"), F.lit(7).alias("bucket"), "k", "id", F.col("k").alias("root"))
-    pairs = {tuple(sorted((r.a_id, r.b_id))) for r in N._block_pairs(rest, sketches, 5, 0.5).collect()}
-    exact = {(j, i) for i in range(24) for j in range(i) if N._jaccard(N.weights(rows[i][1], idf), N.weights(rows[j][1], idf)) >= 0.8}
-    assert exact and exact <= pairs
+    shared = spark.sparkContext.broadcast(idf)
+    sketches = N._sketches(keyed, shared).cache()
+    members = sketches.select("k", "id", "size", F.posexplode("bands").alias("band", "bucket"), F.col("k").alias("root"))
+    undecided = N._undecided(members, sketches, 5, 0.5)
+    number = {r.k: r.id for r in sketches.collect()}
+    links = [(number[r.a], number[r.b]) for r in N._block_links(undecided, sketches, keyed, shared, 5, 3000, 0.5, 0.8).collect()]
+    vectors = [N.weights(t, idf) for _, t in rows]
+    exact = [(i, j) for i in range(24) for j in range(i) if N._jaccard(vectors[i], vectors[j]) >= 0.8]
+    assert all((max(x), min(x)) in exact for x in links)
+    assert classes_of(24, links) == classes_of(24, exact)
 
 
 def test_one_document_of_each_class_stays(spark, edge_docs):
