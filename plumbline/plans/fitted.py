@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from plumbline import constants as C
 from plumbline.functions import tidy
 from plumbline.operators import calibration as K
 from plumbline.operators import cycle as Y
@@ -71,8 +72,7 @@ def _(t):
 @query("h09_grid_search")
 def _(t):
     vectors, _names = train_vectors(t, folds=3)
-    grid = {"C": (0.01, 1.0), "class_weight": (None, "balanced")}
-    table, _choices = H.grid_search(vectors, "LogisticRegression", grid, "orders", "full")
+    table, _choices = H.grid_search(vectors, "LogisticRegression", C.TUNING_GRIDS["LogisticRegression"], "orders", "full")
     return H.top_grid_rows(table, 5)
 
 
@@ -96,7 +96,11 @@ def _(t):
     rows, fit = prepared(t)
     vectors = stage(fit.vectors(rows).select("split", "y", "features"), "split_vectors")
     train, valid = (vectors.where(F.col("split") == s) for s in ("train", "validation"))
-    return H.validation_curve(train, valid, "LogisticRegression", "C", (0.01, 0.1, 1.0, 10.0, 100.0))
+    curves = []
+    for name, (param, values) in C.VALIDATION_CURVES.items():
+        fixed = {"n_trees": FOREST["n_trees"]} if name == "RandomForest" else {}
+        curves.append(H.validation_curve(train, valid, name, param, values, **fixed).withColumn("model", F.lit(name)))
+    return curves[0].unionByName(curves[1])
 
 
 def ranked(method: str, scores):
