@@ -50,7 +50,7 @@ class Codes(dict):
     """64-bit hash of a word, kept for a bounded number of words."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 400_000:
+        if len(self) > 300_000:
             self.clear()
         found = self[word] = xxhash.xxh3_64_intdigest(word)
         return found
@@ -83,51 +83,61 @@ def span_hashes(codes: np.ndarray, span: int) -> np.ndarray:
     return out * MIX
 
 
-def _window_argmin(values: np.ndarray, width: int, last: bool) -> np.ndarray:
-    """Place of the first (or last) least value in each window, by doubling."""
-    n = len(values) - width + 1
-    place, reach = np.arange(len(values)), 1
-    pick = lambda a, b: np.where(values[b] <= values[a] if last else values[b] < values[a], b, a)
+def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
+    """Least or greatest value (np.minimum, np.maximum) of every `width` neighbours, by doubling."""
+    out, reach = values, 1
     while reach * 2 <= width:
-        place = pick(place[: len(place) - reach], place[reach:])
+        out = pick(out[: len(out) - reach], out[reach:])
         reach *= 2
-    return pick(place[:n], place[width - reach : width - reach + n])
+    n = len(values) - width + 1
+    return pick(out[:n], out[width - reach : width - reach + n])
 
 
 def super_kmers(codes: np.ndarray, sizes: np.ndarray, span: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(text, start, windows, minimiser, repeats inside) of the texts laid end to end in `codes`."""
+    """(text, start, windows, minimiser, repeats inside) of the texts laid end to end in `codes`.
+
+    `repeats inside` holds wherever a minimiser lies twice in its super-k-mer: the two are
+    then neighbours among the grams that are least in some window.
+    """
     empty = np.empty(0, np.int64)
+    nothing = (empty, empty, empty, empty, empty.astype(bool))
     if len(codes) < span:
-        return empty, empty, empty, empty, empty.astype(bool)
+        return nothing
     hashes = span_hashes(codes, gram)
     width = span - gram + 1
-    first, final = _window_argmin(hashes, width, False), _window_argmin(hashes, width, True)
-    text_of = np.repeat(np.arange(len(sizes)), sizes)
-    begin = np.cumsum(sizes) - sizes
-    at = np.flatnonzero(text_of[: len(first)] == text_of[span - 1 :])  # windows inside one text
+    least = _sliding(hashes, width, np.minimum)
+    text_of = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    at = np.flatnonzero(text_of[: len(least)] == text_of[span - 1 :])  # windows inside one text
     if not len(at):
-        return empty, empty, empty, empty, empty.astype(bool)
-    least = hashes[first[at]]
-    new = np.append(True, (np.diff(at) != 1) | (least[1:] != least[:-1]) | (np.diff(text_of[at]) != 0))
+        return nothing
+    value = least[at]
+    new = np.append(True, (np.diff(at) != 1) | (value[1:] != value[:-1]) | (np.diff(text_of[at]) != 0))
     run = np.cumsum(new) - 1
     new |= (np.arange(len(at)) - np.flatnonzero(new)[run]) % LONGEST_RUN == 0
     heads = np.flatnonzero(new)
     count = np.diff(np.append(heads, len(at)))
-    twice = np.minimum.reduceat(first[at], heads) != np.maximum.reduceat(final[at], heads)
-    text = text_of[at[heads]]
-    return text, at[heads] - begin[text], count, least[heads].view(np.int64), twice
+    # a gram is least somewhere if it equals the greatest of its windows' least values
+    padded = np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)])
+    chosen = np.flatnonzero(_sliding(padded, width, np.maximum) == hashes)
+    same = np.flatnonzero(hashes[chosen[1:]] == hashes[chosen[:-1]])
+    begins, ends = chosen[same], chosen[same + 1]
+    from_head = len(begins) - np.searchsorted(begins, at[heads])
+    beyond = len(ends) - np.searchsorted(ends, at[heads] + count + width - 2, side="right")
+    text = text_of[at[heads]].astype(np.int64)
+    begin = np.cumsum(sizes) - sizes
+    return text, at[heads] - begin[text], count, value[heads].view(np.int64), from_head > beyond
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     pid = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID))
-    return docs.select(F.col(doc_id).alias("doc_id"), pid.alias("pid"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
+    return docs.select(pid.alias("pid"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
 
 
 def _partition(docs: DataFrame, span: int, gram: int) -> DataFrame:
     """Super-k-mers without their words."""
 
     def run(batches):
-        for part in chunks(batches, "text", 4_000_000):
+        for part in chunks(batches, "text", 2_000_000):
             words = [words_of(t) for t in part.column("text").to_pylist()]
             sizes = np.array([len(w) for w in words], np.int64)
             codes = coded([w for own in words for w in own])
@@ -218,7 +228,7 @@ def repeated_passages(docs: DataFrame, *, span: int = SPAN, gram: int = GRAM, ho
     parts = _partition(rows, span, gram)
     counted = parts.groupBy("mini").agg(F.count(F.lit(1)).alias("n"), F.max("twice").alias("any_twice")).where((F.col("n") > 1) | F.col("any_twice"))
     wanted = parts.join(counted.select("mini", "n"), "mini").groupBy(*KEY).agg(F.collect_set(F.struct("start", "windows", "mini", "n")).alias("parts"))
-    packed = _packed(rows.select(*KEY, "text"), stage(wanted, "parts"), span)
+    packed = _packed(rows, stage(wanted, "parts"), span)
     marks = _bucket_marks(packed.where(F.col("n") <= hot), span).union(_hot_marks(packed.where(F.col("n") > hot), span))
     return marks.groupBy(*KEY).agg(F.collect_set(F.struct("lo", "hi")).alias("cuts"))
 
@@ -233,7 +243,11 @@ def _kept(words: list[str], cuts: list[dict] | None) -> list[str]:
 
 
 def remove_repeated_passages(docs: DataFrame, **options) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept): `kept` has the remaining words joined by spaces."""
+    """(doc_id, n_words, n_removed, kept): `kept` has the remaining words joined by spaces.
+
+    Ids are whole numbers. Texts meet their super-k-mers and their cuts by the same key
+    and columns, so that one exchange of the texts serves both joins.
+    """
     doc_id, text = options.get("doc_id", "doc_id"), options.get("text", "text")
     rows = _keyed(docs, doc_id, text)
     kind = dict(docs.dtypes)[doc_id]
@@ -246,11 +260,12 @@ def remove_repeated_passages(docs: DataFrame, **options) -> DataFrame:
                 left = _kept(words, cuts)
                 all_words.append(len(words))
                 kept.append((len(words) - len(left), " ".join(left)))
-            arrays = [part.column("doc_id"), pa.array(all_words, pa.int64()), pa.array([k for k, _ in kept], pa.int64()), pa.array([k for _, k in kept], pa.string())]
+            arrays = [part.column("pid"), pa.array(all_words, pa.int64()), pa.array([k for k, _ in kept], pa.int64()), pa.array([k for _, k in kept], pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_words", "n_removed", "kept"])
 
-    joined = rows.join(repeated_passages(docs, **options), KEY, "left").select("doc_id", "text", "cuts")
-    return joined.mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, kept string")
+    joined = rows.join(repeated_passages(docs, **options), KEY, "left").select("pid", "text", "cuts")
+    out = joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
+    return out.withColumn("doc_id", F.nullif(F.col("doc_id"), F.lit(LAST_ID)).cast(kind))
 
 
 SQL = r"""
