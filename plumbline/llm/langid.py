@@ -2,16 +2,15 @@
 
 Words (lower case, between white space) are padded with boundary marks and cut to
 5-grams of 12-bit character codes, packed in one long. The cluster counts them per
-language over all training texts. A language keeps the grams that make up at least
-2**-17 of its total, so its model has 131,072 grams at most whatever the corpus; lower
-orders come from continuation counts of those. Per order, discounted probabilities and
-back-off weights lie in sorted arrays of packed grams, looked up by binary search.
+language over all training texts and keeps every gram; continuation counts, and totals
+and kinds of contexts, are aggregates of all grams too. Those tables lie in the shared
+folder as sorted arrays per language, order and key range. Tasks look grams up there by
+binary search and read the ranges they need; only the list of ranges is broadcast.
 
 A text gets the language with the lowest cross-entropy per symbol; ties go to the first
-language in order. Cross-entropies of own-language training texts (one in sixteen by
-hash) give each language's mean and deviation: a text more than `reject` deviations above
-the mean is marked rejected and its score falls. Whole texts are scored, distinct words
-of a batch once.
+language in order. Cross-entropies of own-language training texts give each language's
+mean and deviation: a text more than `reject` deviations above the mean is marked
+rejected and its score falls. Whole texts are scored, distinct words of a batch once.
 
 Edge cases: null texts and texts without a letter are `und` with score 0, and so is
 everything if nothing can be learned; null languages are not learned; repeated rows and
@@ -20,7 +19,10 @@ extra columns change nothing.
 
 from __future__ import annotations
 
+import uuid
+from collections import OrderedDict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -30,10 +32,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline.llm.arrow import chunks
 from plumbline.llm.catalogue import query
-from plumbline.session import stage
+from plumbline.llm.warc import opened
+from plumbline.session import default_buckets, scratch_folder, stage
 
 ORDER, BITS = 5, 12
-KEEP_SHARE = 2.0**-17
+RANGE = 1 << 17  # rows of a sorted array
+HELD = 1 << 27  # bytes of arrays that a task keeps of a folder that cannot be mapped
 DISCOUNT = 0.75
 NONE = "und"
 
@@ -83,25 +87,122 @@ def count_grams(docs: DataFrame, text: str = "text", lang: str = "lang") -> Data
     return rows.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def _orders(keys: np.ndarray, counts: np.ndarray) -> list[tuple]:
-    """Per order from 1: sorted grams, discounted probabilities, sorted contexts, back-off weights."""
+def kneser_ney(counted: DataFrame) -> DataFrame:
+    """(lang, part, key, a, b) of all grams: part 2k has the grams of order k with their count
+    (order 5) or continuation count in a, part 2k + 1 their contexts with total and kinds."""
+    own = counted.select("lang", F.col("gram").alias("key"), "n")
+    out = []
+    for order in range(ORDER, 0, -1):
+        out.append(own.select("lang", F.lit(2 * order).alias("part"), "key", F.col("n").alias("a"), F.lit(0).cast("long").alias("b")))
+        contexts = own.groupBy("lang", F.shiftright("key", BITS).alias("key")).agg(F.sum("n").alias("a"), F.count(F.lit(1)).alias("b"))
+        out.append(contexts.select("lang", F.lit(2 * order + 1).alias("part"), "key", "a", "b"))
+        rest = F.col("key").bitwiseAND(F.lit((1 << BITS * (order - 1)) - 1).cast("long"))
+        own = own.groupBy("lang", rest.alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    return reduce(DataFrame.unionAll, out)
+
+
+def stored(tables: DataFrame, limit: int = RANGE) -> pd.DataFrame:
+    """Writes the tables as sorted arrays (key, a and, for contexts, b) of up to `limit` rows; returns where they are."""
+    spark = tables.sparkSession
+    folder = scratch_folder(spark, "ngrams")
+
+    def run(batches):
+        filesystem, base = opened(folder)
+        filesystem.create_dir(base, recursive=True)
+        name = f"{uuid.uuid4().hex}.bin"  # an attempt that fails leaves a file that nothing lists
+        found, held, of, size = [], [], None, 0
+        with filesystem.open_output_stream(f"{base}/{name}") as out:
+
+            def flush():
+                nonlocal held, size
+                if size:
+                    rows = [np.concatenate(x) for x in zip(*held)][: 2 + of[1] % 2]
+                    found.append((*of, int(rows[0][0]), f"{folder}/{name}", out.tell(), size))
+                    for x in rows:
+                        out.write(np.ascontiguousarray(x, np.int64).tobytes())
+                held, size = [], 0
+
+            for batch in batches:
+                n = batch.num_rows
+                lang, part = batch.column("lang"), batch.column("part")
+                new = pc.or_(pc.not_equal(lang.slice(1), lang.slice(0, max(n - 1, 0))), pc.not_equal(part.slice(1), part.slice(0, max(n - 1, 0))))
+                cuts = [0, *(np.flatnonzero(new.to_numpy(zero_copy_only=False)) + 1), n] if n else []
+                columns = [batch.column(c).to_numpy() for c in ("key", "a", "b")]
+                for start, end in zip(cuts, cuts[1:]):
+                    now = (lang[int(start)].as_py(), part[int(start)].as_py())
+                    if now != of:
+                        flush()
+                        of = now
+                    while start < end:
+                        stop = min(end, start + limit - size)
+                        held.append([c[start:stop] for c in columns])
+                        size, start = size + int(stop - start), stop
+                        if size == limit:
+                            flush()
+            flush()
+        yield pa.RecordBatch.from_pylist([dict(zip(("lang", "part", "lo", "path", "offset", "n"), row)) for row in found], pa.schema([("lang", pa.string()), ("part", pa.int32()), ("lo", pa.int64()), ("path", pa.string()), ("offset", pa.int64()), ("n", pa.int64())]))
+
+    keys = ["lang", "part", "key"]
+    dealt = tables.repartitionByRange(default_buckets(spark), *keys).sortWithinPartitions(*keys)
+    rows = dealt.mapInArrow(run, "lang string, part int, lo long, path string, offset long, n long").collect()
+    return pd.DataFrame([r.asDict() for r in rows], columns=["lang", "part", "lo", "path", "offset", "n"])
+
+
+_maps: dict[str, np.ndarray] = {}
+_held: OrderedDict[tuple[str, int], np.ndarray] = OrderedDict()
+
+
+def _array(path: str, offset: int, n: int, width: int) -> np.ndarray:
+    """`width` rows of n longs of a file: mapped where the folder is a local one, else read and held up to HELD bytes."""
+    filesystem, name = opened(path)
+    if filesystem.type_name == "local":
+        if path not in _maps:
+            _maps[path] = np.memmap(name, np.int64, "r")
+        return _maps[path][offset // 8 : offset // 8 + n * width].reshape(width, n)
+    if (path, offset) not in _held:
+        with filesystem.open_input_file(name) as file:
+            _held[path, offset] = np.frombuffer(file.read_at(8 * n * width, offset), np.int64).reshape(width, n)
+        while len(_held) > 1 and sum(x.nbytes for x in _held.values()) > HELD:
+            _held.popitem(last=False)
+    _held.move_to_end((path, offset))
+    return _held[path, offset]
+
+
+class SortedTable:
+    """Rows of longs found by key, in ranges of ascending keys; a range is an array or its place (path, offset, n)."""
+
+    def __init__(self, width: int, lows: list[int], ranges: list):
+        self.width, self.lows, self.ranges = width, np.array(lows, np.int64), ranges
+
+    def __call__(self, asked: np.ndarray) -> np.ndarray:
+        """The values of the keys asked for, zeros where a key is missing."""
+        out = np.zeros((self.width - 1, len(asked)))
+        place = np.searchsorted(self.lows, asked, "right") - 1
+        by_place = np.argsort(place, kind="stable")
+        found, starts = np.unique(place[by_place], return_index=True)
+        for k, rows in zip(found, np.split(by_place, starts[1:])):
+            if k < 0:
+                continue
+            table = self.ranges[k] if isinstance(self.ranges[k], np.ndarray) else _array(*self.ranges[k], self.width)
+            at = np.searchsorted(table[0], asked[rows]).clip(max=table.shape[1] - 1)
+            hit = table[0][at] == asked[rows]
+            out[:, rows[hit]] = table[1:, at[hit]]
+        return out
+
+
+def _orders(keys: np.ndarray, counts: np.ndarray) -> list[tuple[SortedTable, SortedTable]]:
+    """Per order from 1: the grams with their counts, the contexts with total and kinds."""
     out = []
     for order in range(ORDER, 0, -1):
         context, where = np.unique(keys >> BITS, return_inverse=True)
-        total = np.bincount(where, counts)
-        kinds = np.bincount(where)
-        out.append((keys, ((counts - DISCOUNT).clip(0) / total[where]).astype(np.float32), context, (DISCOUNT * kinds / total).astype(np.float32)))
+        own = SortedTable(2, keys[:1], [np.stack([keys, counts.astype(np.int64)])])
+        out.append((own, SortedTable(3, context[:1], [np.stack([context, np.bincount(where, counts).astype(np.int64), np.bincount(where)])])))
         keys, counts = np.unique(keys & ((1 << BITS * (order - 1)) - 1), return_counts=True)  # continuation counts
     return out[::-1]
 
 
-def _looked_up(keys: np.ndarray, values: np.ndarray, asked: np.ndarray, default: float) -> np.ndarray:
-    at = np.searchsorted(keys, asked).clip(max=len(keys) - 1)
-    return np.where(keys[at] == asked, values[at], np.float32(default))
-
-
 class LanguageModels:
-    """Sorted gram arrays by language, with the calibration of rejection."""
+    """Sorted tables of grams and contexts by language, with the calibration of rejection."""
 
     def __init__(self, counts: pd.DataFrame):
         self.names = sorted(counts["lang"].unique())
@@ -110,11 +211,28 @@ class LanguageModels:
             own = counts[counts["lang"] == name].sort_values("gram")
             self.models.append(_orders(own["gram"].to_numpy(), own["n"].to_numpy().astype(float)))
 
+    @classmethod
+    def at(cls, places: pd.DataFrame) -> LanguageModels:
+        """Models whose tables lie in the shared folder, from what `stored` returns."""
+        out = cls(pd.DataFrame({"lang": [], "gram": [], "n": []}))
+        out.names = sorted(places["lang"].unique())
+        by_part = {key: rows.sort_values("lo") for key, rows in places.groupby(["lang", "part"])}
+
+        def table(name, part):
+            rows = by_part[name, part]
+            return SortedTable(2 + part % 2, rows["lo"].tolist(), list(zip(rows["path"], rows["offset"].tolist(), rows["n"].tolist())))
+
+        out.models = [[(table(name, 2 * k), table(name, 2 * k + 1)) for k in range(1, ORDER + 1)] for name in out.names]
+        return out
+
     def log_probability(self, asked: np.ndarray, model: int) -> np.ndarray:
         p = np.full(len(asked), 2.0**-BITS)
-        for order, (keys, values, contexts, weights) in enumerate(self.models[model], 1):
+        for order, (own, contexts) in enumerate(self.models[model], 1):
             key = asked & ((1 << BITS * order) - 1)
-            p = _looked_up(keys, values, key, 0.0) + _looked_up(contexts, weights, key >> BITS, 1.0) * p
+            contexts_of, back = np.unique(key >> BITS, return_inverse=True)
+            total, kinds = contexts(contexts_of)[:, back]
+            seen = total > 0
+            p = np.where(seen, ((own(key)[0] - DISCOUNT).clip(0) + DISCOUNT * kinds * p) / np.where(seen, total, 1), p)
         return np.log2(p)
 
     def entropies(self, texts: pa.Array) -> np.ndarray:
@@ -159,9 +277,7 @@ class LanguageModels:
 def learn(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> LanguageModels:
     """Models of the languages in `docs`, which should be the training rows only."""
     counted = stage(count_grams(docs, text, lang), "grams")
-    totals = counted.groupBy("lang").agg(F.sum("n").alias("total")).withColumnRenamed("lang", "t_lang")
-    kept = counted.join(totals, F.col("lang") == F.col("t_lang")).where(F.col("n") >= F.col("total") * KEEP_SHARE)
-    models = LanguageModels(kept.select("lang", "gram", "n").toPandas())
+    models = LanguageModels.at(stored(kneser_ney(counted)))
     if models.names:
         sampled = docs.where(F.pmod(F.xxhash64(doc_id), F.lit(16)) == 0).select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
         shared = docs.sparkSession.sparkContext.broadcast(models)

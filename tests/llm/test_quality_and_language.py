@@ -135,3 +135,18 @@ def test_kneser_ney_by_hand():
 def test_crc_split_matches_python(spark):
     rows = spark.range(50).select("id", Q.held_out(F.col("id")).alias("h")).collect()
     assert all(r.h == held(r.id) for r in rows)
+
+
+def test_stored_models_keep_every_gram(spark):
+    """A gram seen once among many, and tables cut in many ranges, give the probabilities of the whole counts."""
+    import numpy as np
+    import pyarrow as pa
+
+    docs = spark.createDataFrame([(0, "abab abba " * 20_000, "x"), (1, "qrstu", "x"), (2, "vwxyz", "y")], "doc_id long, text string, lang string")
+    counted = L.count_grams(docs)
+    whole = L.LanguageModels(counted.toPandas())
+    asked, _ = L.grams(pa.array(["abab", "qrstu", "vwxyz", "qrab", "zz", "日本"]))
+    for models in (L.learn(docs), L.LanguageModels.at(L.stored(L.kneser_ney(counted), limit=3))):
+        assert models.names == whole.names == ["x", "y"]
+        for m in range(2):
+            assert np.allclose(models.log_probability(asked, m), whole.log_probability(asked, m), rtol=1e-12)
