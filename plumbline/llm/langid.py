@@ -235,12 +235,13 @@ class LanguageModels:
             p = np.where(seen, ((own(key)[0] - DISCOUNT).clip(0) + DISCOUNT * kinds * p) / np.where(seen, total, 1), p)
         return np.log2(p)
 
-    def entropies(self, texts: pa.Array) -> np.ndarray:
-        """Bits per symbol, a row per text and a column per language; nan without words."""
+    def entropies(self, texts: pa.Array, only: list[int] | None = None) -> np.ndarray:
+        """Bits per symbol, a row per text and a column per language (or one of `only`); nan without words."""
+        models = range(len(self.names)) if only is None else only
         lists = split_words(texts)
         coded = lists.flatten().dictionary_encode()
         bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        out = np.full((len(texts), len(self.names)), np.nan)
+        out = np.full((len(texts), len(models)), np.nan)
         if not len(coded):
             return out
         words = coded.indices.to_numpy()
@@ -250,10 +251,10 @@ class LanguageModels:
         empty = pc.utf8_length(coded.dictionary).to_numpy(zero_copy_only=False) == 0
         sums = lambda per_word: np.diff(np.append(0.0, np.cumsum(np.where(empty, 0.0, per_word)[words]))[bounds])
         symbols = sums(sizes)
-        for m in range(len(self.names)):
+        for place, m in enumerate(models):
             bits = np.bincount(word_of, -self.log_probability(keys, m)[back], len(sizes))
             with np.errstate(invalid="ignore", divide="ignore"):
-                out[:, m] = sums(bits) / np.where(symbols > 0, symbols, np.nan)
+                out[:, place] = sums(bits) / np.where(symbols > 0, symbols, np.nan)
         return out
 
     def predict(self, texts: pa.Array, reject: float) -> tuple[list, np.ndarray, np.ndarray]:
@@ -274,23 +275,24 @@ class LanguageModels:
         return [self.names[b] if k else NONE for b, k in zip(best, known)], score, ~known | (z > reject)
 
 
-def learn(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> LanguageModels:
+def learn(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> LanguageModels:
     """Models of the languages in `docs`, which should be the training rows only."""
     counted = stage(count_grams(docs, text, lang), "grams")
     models = LanguageModels.at(stored(kneser_ney(counted)))
     if models.names:
-        sampled = docs.where(F.pmod(F.xxhash64(doc_id), F.lit(16)) == 0).select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
+        taught = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
         shared = docs.sparkSession.sparkContext.broadcast(models)
 
         def own(batches):
             at = {name: i for i, name in enumerate(shared.value.names)}
             for part in chunks(batches, "text", 4_000_000):
-                x = shared.value.entropies(part.column("text"))
-                langs = part.column("lang").to_pylist()
-                values = [float(row[at[name]]) if name in at else None for row, name in zip(x, langs)]
-                yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(values, pa.float64(), from_pandas=True)], ["lang", "x"])
+                for value in pc.unique(part.column("lang")):
+                    if value.as_py() in at:
+                        texts = part.column("text").filter(pc.equal(part.column("lang"), value))
+                        x = shared.value.entropies(texts, [at[value.as_py()]])[:, 0]
+                        yield pa.RecordBatch.from_arrays([pa.array([value.as_py()] * len(x), pa.string()), pa.array(x, from_pandas=True)], ["lang", "x"])
 
-        seen = sampled.mapInArrow(own, "lang string, x double").where(F.col("x").isNotNull())
+        seen = taught.mapInArrow(own, "lang string, x double").where(F.col("x").isNotNull())
         for r in seen.groupBy("lang").agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("sd"), F.count("x").alias("n")).collect():
             models.typical[r["lang"]] = (r["mean"], max(r["sd"], 0.05))
     return models

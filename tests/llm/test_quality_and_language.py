@@ -150,3 +150,16 @@ def test_stored_models_keep_every_gram(spark):
         assert models.names == whole.names == ["x", "y"]
         for m in range(2):
             assert np.allclose(models.log_probability(asked, m), whole.log_probability(asked, m), rtol=1e-12)
+
+
+def test_rejection_is_calibrated_on_all_training_rows(spark):
+    """Each language gets the mean and deviation of its own texts, also with a single document."""
+    import numpy as np
+    import pyarrow as pa
+
+    for doc_id in range(3):
+        rows = [(doc_id, "rare words of one text", "r"), (10, "stone window garden", "x"), (11, "stone river", "x"), (12, None, "x"), (13, "none", None)]
+        models = L.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+        for m, texts in enumerate((["rare words of one text"], ["stone window garden", "stone river"])):
+            x = models.entropies(pa.array(texts))[:, m]
+            assert models.typical[models.names[m]] == pytest.approx((x.mean(), max(np.std(x), 0.05)))
