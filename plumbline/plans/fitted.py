@@ -1,7 +1,6 @@
 """Queries that fit models: no SQL twin, checked by invariants in the tests.
 
-Trees are few and shallow here so that a run stays short; the operators take the
-full sizes as parameters.
+Sizes (trees, depth, folds, repeats, seeds, grids) are those of the lessons they follow.
 """
 
 from __future__ import annotations
@@ -21,7 +20,12 @@ from plumbline.plans.catalogue import query
 from plumbline.plans.views import CATEGORICAL, NUMERIC, orders_wide
 from plumbline.session import stage
 
-FOREST = {"n_trees": 10, "max_depth": 5}
+# a depth of None is as deep as Spark grows
+FOREST = {"n_trees": 100, "max_depth": None}  # importance, selection and comparison
+SEED_FOREST = {"n_trees": 50, "max_depth": None}
+TUNED_FOREST = {"n_trees": 350}  # grids, curves and the default model of validation
+DEFAULT_FOREST = {**TUNED_FOREST, "max_depth": None}
+MONITORED_FOREST = {"n_trees": 320, "max_depth": None}
 SPLIT = ("accuracy", "f1", "roc_auc")
 
 
@@ -49,7 +53,7 @@ def one_model(name: str, model: str, **params):
 
 
 one_model("h01_logistic_regression", "LogisticRegression", class_weight="balanced")
-one_model("h02_random_forest", "RandomForest", class_weight="balanced", **FOREST)
+one_model("h02_random_forest", "RandomForest", class_weight="balanced", **DEFAULT_FOREST)
 one_model("h03_linear_svm", "LinearSVC")
 
 
@@ -72,23 +76,27 @@ def _(t):
 @query("h09_grid_search")
 def _(t):
     vectors, _names = train_vectors(t, folds=3)
-    table, _choices = H.grid_search(vectors, "LogisticRegression", C.TUNING_GRIDS["LogisticRegression"], "orders", "full")
-    return H.top_grid_rows(table, 5)
+    tables = []
+    for name, grid in C.TUNING_GRIDS.items():
+        fixed = TUNED_FOREST if name == "RandomForest" else {}
+        table, _choices = H.grid_search(vectors, name, grid, "orders", "full", fixed=fixed)
+        tables.append(H.top_grid_rows(table, 5))
+    return tables[0].unionByName(tables[1])
 
 
 @query("h12_calibrated_variants")
 def _(t):
     rows, fit = prepared(t)
-    train = S.folds(rows.where(F.col("split") == "train").drop("split"), "row_id", 3)
+    train = S.folds(rows.where(F.col("split") == "train").drop("split"), "row_id", 5)
     holdout = rows.where(F.col("split") == "validation").drop("split")
-    scored = H.calibrated_variants(
-        stage(fit.vectors(train).select("y", "features", "fold"), "fold_vectors"),
-        stage(fit.vectors(holdout).select("row_id", "y", "features"), "holdout_vectors"),
-        "RandomForest",
-        **FOREST,
-    )
-    tags = {"dataset": F.lit("orders"), "model": F.lit("RandomForest"), "split": F.lit("validation")}
-    return K.calibration_audit(scored.withColumns(tags))
+    train = stage(fit.vectors(train).select("y", "features", "fold"), "fold_vectors")
+    holdout = stage(fit.vectors(holdout).select("row_id", "y", "features"), "holdout_vectors")
+    parts = []
+    for name, params in (("LogisticRegression", {}), ("RandomForest", DEFAULT_FOREST)):
+        scored = H.calibrated_variants(train, holdout, name, **params)
+        tags = {"dataset": F.lit("orders"), "model": F.lit(name), "split": F.lit("validation")}
+        parts.append(scored.withColumns(tags).select(*tags, "variant", "row_id", "y", "score"))
+    return K.calibration_audit(parts[0].unionByName(parts[1]))
 
 
 @query("h14_validation_curve")
@@ -98,7 +106,7 @@ def _(t):
     train, valid = (vectors.where(F.col("split") == s) for s in ("train", "validation"))
     curves = []
     for name, (param, values) in C.VALIDATION_CURVES.items():
-        fixed = {"n_trees": FOREST["n_trees"]} if name == "RandomForest" else {}
+        fixed = TUNED_FOREST if name == "RandomForest" else {}
         curves.append(H.validation_curve(train, valid, name, param, values, **fixed).withColumn("model", F.lit(name)))
     return curves[0].unionByName(curves[1])
 
@@ -116,9 +124,7 @@ def _(t):
 @query("f02_forward_selection")
 def _(t):
     vectors, names = train_vectors(t, folds=3)
-    kept = [i for i, n in enumerate(names) if n.startswith("num__")]
-    narrow = H.sliced(vectors, kept)
-    return ranked("SFS_forward", H.forward_selection(narrow, [names[i] for i in kept], keep=2))
+    return ranked("SFS_forward", H.forward_selection(vectors, names, keep=10))
 
 
 @query("f03_l1_logistic")
@@ -139,14 +145,14 @@ def _(t):
     train, test = (rows.where(F.col("split") == s).drop("split") for s in ("train", "test"))
     model = H.fit_classifier(train, NUMERIC, CATEGORICAL, "RandomForest", preprocessor=fit, **FOREST)
     ready = fit.imputed(test)
-    return X.permutation_importance(ready, model, "row_id", [*NUMERIC, *CATEGORICAL], "roc_auc", repeats=2)
+    return X.permutation_importance(ready, model, "row_id", [*NUMERIC, *CATEGORICAL], "roc_auc", repeats=10)
 
 
 @query("f06_stability_over_seeds")
 def _(t):
     vectors, names = train_vectors(t)
-    runs = H.selection_runs(vectors, names, "orders", seeds=(0, 1), keep=10, forest=FOREST)
-    return G.selection_stability(runs, 2)
+    runs = H.selection_runs(vectors, names, "orders", seeds=range(5), keep=10, forest=SEED_FOREST)
+    return G.selection_stability(runs, 5)
 
 
 @query("f07_linear_importance")
@@ -167,7 +173,7 @@ def _(t):
 
 
 def cycle(t):
-    models = {"LogisticRegression": {}, "RandomForest": FOREST}
+    models = {"LogisticRegression": {}, "RandomForest": MONITORED_FOREST}
     rows = orders_wide(t).drop("yr")
     return Y.monitoring_cycle(rows, "row_id", NUMERIC, CATEGORICAL, "orders", size=1000, models=models)
 
