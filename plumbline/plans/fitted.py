@@ -5,14 +5,18 @@ Sizes (trees, depth, folds, repeats, seeds, grids) are those of the lessons they
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from plumbline import constants as C
 from plumbline.functions import tidy
 from plumbline.operators import calibration as K
 from plumbline.operators import cycle as Y
 from plumbline.operators import explain as X
+from plumbline.operators import metrics as M
 from plumbline.operators import models as H
+from plumbline.operators import policy as V
 from plumbline.operators import preprocess as P
 from plumbline.operators import sampling as S
 from plumbline.operators import selection as G
@@ -84,6 +88,35 @@ def _(t):
     return tables[0].unionByName(tables[1])
 
 
+def tuned_against_default(t):
+    """Validation metrics of each kind's default model and of its best parameter set, both fitted."""
+    rows, fit = prepared(t)
+    shared = stage(fit.vectors(rows.where(F.col("split") != "test")).select("row_id", "split", "y", "features"), "tuning_vectors")
+    train, valid = (shared.where(F.col("split") == s).drop("split") for s in ("train", "validation"))
+    folds = stage(S.folds(train, "row_id", 3), "tuning_folds")
+    parts = []
+    for name, grid in C.TUNING_GRIDS.items():
+        fixed = TUNED_FOREST if name == "RandomForest" else {}
+        default = {**DEFAULT_FOREST, "class_weight": "balanced"} if name == "RandomForest" else {"class_weight": "balanced"}
+        table, choices = H.grid_search(folds, name, grid, "orders", "full", fixed=fixed)
+        best = {**fixed, **H.best_params(stage(table, "grid"), choices)}
+        for variant, params in (("baseline_default", default), ("tuned_best", best)):
+            tags = {"dataset": F.lit("orders"), "model": F.lit(name), "feature_set": F.lit("full"), "variant": F.lit(variant)}
+            parts.append(H.apply_model(H.fit_model(train, name, **params), valid).select("y", "score", "predicted").withColumns(tags))
+    scored = stage(reduce(DataFrame.unionByName, parts), "tuned_scores")
+    return M.decision_metrics(scored, ["dataset", "model", "feature_set", "variant"])
+
+
+@query("h10_fitted_baseline_vs_tuned")
+def _(t):
+    return tuned_against_default(t).select("dataset", "model", "feature_set", "variant", *[tidy(F.col(c)).alias(c) for c in SPLIT])
+
+
+@query("h11_fitted_validation_winner")
+def _(t):
+    return V.validation_winner(tuned_against_default(t)).select("dataset", "model", "variant", *[tidy(F.col(c)).alias(c) for c in SPLIT])
+
+
 @query("h12_calibrated_variants")
 def _(t):
     rows, fit = prepared(t)
