@@ -2,8 +2,9 @@
 
 `text_statistics` measures whole texts with built-in functions; repeated three-word
 windows are found inside the row by sorting (window hash, place) packed into one long,
-with as many hash bits as the places leave free (over 40 for texts up to 10 million
-words). The learner then works on that narrow table: it grows a conjunction of
+with as many hash bits as the places leave free. Neighbours of equal hash bits are
+compared word by word; a text in which any differ is sorted again by the words
+themselves, so the count is exact at any length. The learner then works on that narrow table: it grows a conjunction of
 thresholds by FOIL gain on two thirds of the labelled rows, prunes it on the rest, takes
 the rows it covers out and starts again, until no rule is precise enough. Each step is
 one aggregation to (statistic, bin) counts; candidates are quantiles, so what comes back
@@ -40,21 +41,34 @@ RATIOS = {
 }
 
 
-def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds the counts in COUNTS (long), in place of columns of those names; others pass through."""
+def text_statistics(docs: DataFrame, text: str = "text", place_bits: int = 0) -> DataFrame:
+    """Adds the counts in COUNTS (long), in place of columns of those names; others pass through.
+
+    At least `place_bits` bits of a packed long are left to places; results do not depend on it.
+    """
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.struct(*docs.columns).alias("_row"), body.alias("_body"))
     rows = rows.withColumns({"_words": F.regexp_extract_all("_body", F.lit(WORD), F.lit(0))})
     lines = F.filter(F.split("_body", "\n", -1), lambda x: x.rlike(WORD))
     rows = rows.withColumns({"_lines": lines, "_codes": F.transform("_words", lambda w: F.xxhash64(w)), "_n": F.size("_words")})
-    rows = rows.withColumn("_bits", F.ceil(F.log2(F.col("_n") + 2)).cast("int"))
+    rows = rows.withColumn("_bits", F.greatest(F.ceil(F.log2(F.col("_n") + 2)).cast("int"), F.lit(place_bits)))
     window = lambda i: F.xxhash64(*[F.get("_codes", i + k) for k in range(3)])
     shift = lambda x: F.call_function("shiftleft", x, F.col("_bits"))
     packed = F.transform(F.sequence(F.lit(0), F.col("_n") - 3), lambda i: shift(window(i)).bitwiseOR(i.cast("long")))
     rows = rows.withColumn("_sorted", F.when(F.col("_n") >= 3, F.sort_array(packed)).otherwise(F.array().cast("array<bigint>")))
     top = lambda x: F.call_function("shiftrightunsigned", x, F.col("_bits"))
     twins = F.zip_with("_sorted", F.slice("_sorted", 2, F.greatest(F.size("_sorted"), F.lit(1))), lambda a, b: F.when(top(a) == top(b), F.array(a, b)))
-    places = F.transform(F.flatten(F.filter(twins, lambda t: t.isNotNull())), lambda x: x.bitwiseAND(F.lit(1).cast("long") * F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_bits")) - 1))
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_bits")) - 1
+    word = lambda x, k: F.get("_words", x.bitwiseAND(mask).cast("int") + k)
+    differs = lambda t: reduce(lambda x, y: x | y, [word(F.get(t, 0), k) != word(F.get(t, 1), k) for k in range(3)])
+    rows = rows.withColumn("_twins", F.filter(twins, lambda t: t.isNotNull()))
+    # equal hash bits of different windows stand side by side somewhere in their run
+    in_words = F.transform(F.sequence(F.lit(0), F.col("_n") - 3), lambda i: F.struct(F.slice("_words", i + 1, F.lit(3)).alias("w"), i.cast("long").alias("place")))
+    rows = rows.withColumn("_clash", F.exists("_twins", differs))
+    rows = rows.withColumn("_exact", F.when(F.col("_clash"), F.sort_array(in_words)).otherwise(F.array().cast("array<struct<w:array<string>,place:bigint>>")))
+    exact = F.zip_with("_exact", F.slice("_exact", 2, F.greatest(F.size("_exact"), F.lit(1))), lambda a, b: F.when(a["w"] == b["w"], F.array(a["place"], b["place"])))
+    packed_places = F.transform(F.flatten("_twins"), lambda x: x.bitwiseAND(mask))
+    places = F.when(F.col("_clash"), F.flatten(F.filter(exact, lambda t: t.isNotNull()))).otherwise(packed_places)
     rows = rows.withColumn("_places", F.sort_array(F.array_distinct(places)))
     steps = F.zip_with("_places", F.slice("_places", 2, F.greatest(F.size("_places"), F.lit(1))), lambda a, b: F.least(F.lit(3).cast("long"), F.coalesce(b - a, F.lit(3).cast("long"))))
     counted = rows.withColumns(

@@ -163,3 +163,14 @@ def test_rejection_is_calibrated_on_all_training_rows(spark):
         for m, texts in enumerate((["rare words of one text"], ["stone window garden", "stone river"])):
             x = models.entropies(pa.array(texts))[:, m]
             assert models.typical[models.names[m]] == pytest.approx((x.mean(), max(np.std(x), 0.05)))
+
+
+def test_repeated_windows_do_not_depend_on_hash_bits(spark):
+    """With four or two hash bits nearly all windows clash; the words decide."""
+    from samples import prose
+
+    texts = [None, "", "a b c", "a b c a b c", "a b c d " * 10 + "a b", prose(1, 300), prose(2, 100) + " " + prose(3, 50) + " " + prose(2, 100)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for bits in (60, 62):
+        for r in R.text_statistics(docs, place_bits=bits).collect():
+            assert r.n_repeat_words == brute_counts(texts[r.doc_id])[4], (bits, texts[r.doc_id])
