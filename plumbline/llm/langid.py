@@ -154,16 +154,17 @@ _held: OrderedDict[tuple[str, int], np.ndarray] = OrderedDict()
 
 def _array(path: str, offset: int, n: int, width: int) -> np.ndarray:
     """`width` rows of n longs of a file: mapped where the folder is a local one, else read and held up to HELD bytes."""
-    filesystem, name = opened(path)
-    if filesystem.type_name == "local":
-        if path not in _maps:
+    if path not in _maps and (path, offset) not in _held:
+        filesystem, name = opened(path)
+        if filesystem.type_name == "local":
             _maps[path] = np.memmap(name, np.int64, "r")
+        else:
+            with filesystem.open_input_file(name) as file:
+                _held[path, offset] = np.frombuffer(file.read_at(8 * n * width, offset), np.int64).reshape(width, n)
+            while len(_held) > 1 and sum(x.nbytes for x in _held.values()) > HELD:
+                _held.popitem(last=False)
+    if path in _maps:
         return _maps[path][offset // 8 : offset // 8 + n * width].reshape(width, n)
-    if (path, offset) not in _held:
-        with filesystem.open_input_file(name) as file:
-            _held[path, offset] = np.frombuffer(file.read_at(8 * n * width, offset), np.int64).reshape(width, n)
-        while len(_held) > 1 and sum(x.nbytes for x in _held.values()) > HELD:
-            _held.popitem(last=False)
     _held.move_to_end((path, offset))
     return _held[path, offset]
 
