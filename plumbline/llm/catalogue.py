@@ -22,6 +22,7 @@ MODULES: tuple[str, ...] = (
     "tokencount",
     "langid",
     "packing",
+    "chat",
 )
 
 
