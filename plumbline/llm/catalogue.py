@@ -23,6 +23,7 @@ MODULES: tuple[str, ...] = (
     "langid",
     "packing",
     "chat",
+    "merkle",
 )
 
 
