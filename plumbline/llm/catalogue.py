@@ -24,6 +24,7 @@ MODULES: tuple[str, ...] = (
     "packing",
     "chat",
     "merkle",
+    "vantage",
 )
 
 
