@@ -84,7 +84,9 @@ def text_statistics(docs: DataFrame, text: str = "text", place_bits: int = 0) ->
             "n_distinct": F.size(F.array_distinct("_codes")).cast("long"),
         }
     )
-    return counted.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns if c not in COUNTS], *COUNTS)
+    # A filter on a count stays above the generator; pushed below, it would repeat all of these expressions.
+    done = counted.select("_row", F.inline(F.array(F.struct(*COUNTS))))
+    return done.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns if c not in COUNTS], *COUNTS)
 
 
 def ratio(name: str) -> Column:
@@ -226,7 +228,8 @@ def base_failed() -> Column:
 
 
 def judge(stats: DataFrame, labels: DataFrame, **options) -> tuple[DataFrame, list[Rule]]:
-    """`stats` (staged rows with COUNTS and doc_id) with base_failed, rule (number or null) and kept."""
+    """`stats` (rows with COUNTS and doc_id) with base_failed, rule (number or null) and kept; written once."""
+    stats = stage(stats, "statistics")
     known = labels.where(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.max("quality").alias("label"))
     rules = learn_rules(stats.where(~base_failed()).select("doc_id", *COUNTS).join(known, "doc_id"), **options)
     judged = stats.withColumns({"base_failed": base_failed(), "rule": decision(rules)})
@@ -235,6 +238,5 @@ def judge(stats: DataFrame, labels: DataFrame, **options) -> tuple[DataFrame, li
 
 @query("op5_quality_rules")
 def op5_quality_rules(t) -> DataFrame:
-    stats = stage(text_statistics(t("documents").select("doc_id", "text")).drop("text"), "statistics")
-    judged, _ = judge(stats, t("labels"))
+    judged, _ = judge(text_statistics(t("documents").select("doc_id", "text")).drop("text"), t("labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")

@@ -174,3 +174,79 @@ def test_repeated_windows_do_not_depend_on_hash_bits(spark):
     for bits in (60, 62):
         for r in R.text_statistics(docs, place_bits=bits).collect():
             assert r.n_repeat_words == brute_counts(texts[r.doc_id])[4], (bits, texts[r.doc_id])
+
+
+def test_filters_do_not_repeat_the_statistics(spark):
+    """A filter on a count stays above the statistics instead of repeating their expressions."""
+    docs = spark.createDataFrame([(0, prose(1, 6000)), (1, "a b")], "doc_id long, text string")
+    plan = R.text_statistics(docs).where(~R.base_failed()).where("n_lines > 0")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") <= 4 and len(plan) < 20_000
+    assert R.text_statistics(docs).where(~R.base_failed()).count() == 1
+
+
+def plain_rules(rows, candidates=40, max_rules=10, max_terms=3, precision=0.9, support=5):
+    """Sequential covering in plain Python over rows (key, counts, label); thresholds as in the operator."""
+    import math
+
+    names = list(R.RATIOS)
+    value = lambda c, n: float(c[R.RATIOS[n][0]]) if R.RATIOS[n][1] is None else c[R.RATIOS[n][0]] / c[R.RATIOS[n][1]] if c[R.RATIOS[n][1]] else 0.0
+    data = [([value(c, n) for n in names], label == 0, zlib.crc32(str(key).encode()) % 3 == 0) for key, c, label in rows]
+    shares = [i / candidates for i in range(1, candidates)]
+    cuts = []
+    for i in range(len(names)):
+        found = set()
+        for some in (data, [d for d in data if d[1]]):
+            own = sorted(d[0][i] for d in some)
+            found |= {own[max(0, math.ceil(s * len(own) - 1e-9) - 1)] for s in shares} if own else set()
+        cuts.append(sorted(found))
+    holds = lambda d, rule: all((d[0][i] > t) == above for i, above, t in rule)
+    tally = lambda some: (sum(d[1] for d in some), sum(not d[1] for d in some))
+    rules, rest = [], data
+    while len(rules) < max_rules:
+        rule, grown = [], [d for d in rest if not d[2]]
+        while len(rule) < max_terms:
+            own = [d for d in grown if holds(d, rule)]
+            p0, n0 = tally(own)
+            best, gain = None, 1e-9
+            for i in range(len(names)) if p0 and n0 else ():
+                for t in cuts[i]:
+                    for above in (True, False):
+                        p, n = tally([d for d in own if (d[0][i] > t) == above])
+                        if p and p + n < p0 + n0 and (g := p * (math.log2(p / (p + n)) - math.log2(p0 / (p0 + n0)))) > gain:
+                            best, gain = (i, above, t), g
+            if best is None:
+                break
+            rule.append(best)
+        scored = []
+        for k in range(1, len(rule) + 1):
+            p, n = tally([d for d in rest if d[2] and holds(d, rule[:k])])
+            if p + n:
+                scored.append(((p - n) / (p + n), -k, k, p, n))
+        if not scored or (best := max(scored))[3] < support or best[3] / (best[3] + best[4]) < precision:
+            break
+        rule = rule[: best[2]]
+        moved = []
+        for i, above, t in rule:
+            outside = [d[0][i] for d in rest if (d[0][i] > t) != above]
+            inside = [d[0][i] for d in rest if (d[0][i] > t) == above and d[1]]
+            edge = (max if above else min, min if above else max)
+            moved.append((names[i], above, (edge[0](outside) + edge[1](inside)) / 2 if outside and inside else t))
+        rules.append(moved)
+        rest = [d for d in rest if not holds(d, rule)]
+    return rules
+
+
+def test_learned_rules_equal_plain_covering(spark):
+    import random
+
+    rng = random.Random(5)
+    rows = []
+    for i in range(400):
+        words = rng.randrange(100, 140)
+        bad = rng.random() < 0.3
+        counts = dict(n_words=words, word_chars=words * 5, n_symbols=rng.randrange(60, 90) if bad and i % 2 else rng.randrange(30), n_dup_lines=0, n_repeat_words=rng.randrange(60), n_lines=9)
+        counts |= dict(n_upper=rng.randrange(200, 400) if bad and i % 2 == 0 else rng.randrange(100), n_marks=rng.randrange(9), n_distinct=rng.randrange(20, words))
+        rows.append((i, counts, int(not bad) if rng.random() < 0.97 else 1))
+    table = spark.createDataFrame([(k, *[c[n] for n in R.COUNTS], y) for k, c, y in rows], "doc_id long, " + ", ".join(f"{n} long" for n in R.COUNTS) + ", label int")
+    learned = [[(t.name, t.above, pytest.approx(t.threshold)) for t in rule] for rule in R.learn_rules(table)]
+    assert learned and learned == plain_rules(rows)
