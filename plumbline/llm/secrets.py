@@ -2,15 +2,17 @@
 
 Base kinds (assign, access, hex) are reported wherever they match. Weak kinds are only
 candidates: `ident` (an assigned user or client id), `key` (a long mixed token) and
-`endpoint` (a URL). A weak candidate is reported when complementary parts start within
-`scope` characters of it in the same document: an ident needs a secret (assign, hex,
-key), a key needs an identifier (access, ident), an endpoint needs both. Candidates that
-overlap a base span are dropped before that.
+`endpoint` (a URL). A weak candidate is reported when complementary parts stand at most
+`scope` characters beside it (from the end of one to the start of the other; less when they
+overlap) in the same document: an ident needs a secret (assign, hex, key), a key needs an
+identifier (access, ident), an endpoint needs both. Candidates that overlap a base span are
+dropped before that.
 
 Places of matches come from the text between them: `split` gives the pieces, so starts
-are running sums of lengths, in code points. The scope join is an equi-join on
-(document, start / scope) with three probes per candidate; a scope holds few parts, so
-no pair list grows with the document.
+are running sums of lengths, in code points. The scope join is an interval join: every part
+is entered in each cell of `scope` characters that it touches, every candidate asks the cells
+that it touches when widened by `scope`, and the intervals themselves decide. Matches of a
+kind do not overlap, so cells and pairs grow with the text's length, not its square.
 
 Edge cases: a null text is empty and has no spans; repeated rows give repeated results;
 rows sharing a doc_id are told apart by their text; extra columns are ignored.
@@ -84,14 +86,15 @@ def linked_spans(docs: DataFrame, *, scope: int = 200, doc_id: str = "doc_id", t
     after = F.min(F.when(is_base, F.col("lo"))).over(backwards.rowsBetween(W.unboundedPreceding, 0))
     hidden = ~is_base & (F.coalesce(before > F.col("lo"), F.lit(False)) | F.coalesce(after < F.col("hi"), F.lit(False)))
     usable = every.withColumn("hidden", hidden).where(~F.col("hidden")).drop("hidden")
-    cell = F.floor(F.col("lo") / scope)
-    others = usable.select(*KEY, cell.alias("cell"), F.col("role").alias("o_role"), F.col("lo").alias("o_lo"))
-    weak = usable.where(~F.col("kind").isin(*BASE)).withColumn("cell", F.explode(F.array(cell - 1, cell, cell + 1)))
+    cells = lambda lo, hi: F.explode(F.sequence(F.floor(lo / scope), F.floor(hi / scope))).alias("cell")
+    lo, hi = F.col("lo"), F.col("hi")
+    others = usable.select(*KEY, cells(lo, hi - 1), F.col("role").alias("o_role"), lo.alias("o_lo"), hi.alias("o_hi"))
+    weak = usable.where(~is_base).select("*", cells(lo - scope, hi + scope))
     others = others.withColumnsRenamed({"_id": "o_id", "_text_hash": "o_text_hash", "cell": "o_cell"})
     near = weak.join(
         others,
         F.col("_id").eqNullSafe(F.col("o_id")) & (F.col("_text_hash") == F.col("o_text_hash")) & (F.col("cell") == F.col("o_cell")),
-    ).where(F.abs(F.col("lo") - F.col("o_lo")) <= scope)
+    ).where(F.greatest(lo, F.col("o_lo")) - F.least(hi, F.col("o_hi")) <= scope)
     has = lambda r: F.max(F.col("o_role") == r)
     seen = near.groupBy(*KEY, "kind", "rank", "role", "lo", "hi").agg(has("identifier").alias("with_id"), has("secret").alias("with_secret"))
     needs_id = (F.col("role") == "identifier") | F.col("with_id")
@@ -137,8 +140,8 @@ c AS (SELECT *, CAST(sum(w + gap) OVER (PARTITION BY id, kind ORDER BY n) AS BIG
 p AS (SELECT id, kind, rank, role, hi - w AS lo, hi, kind IN ('assign', 'access', 'hex') AS base FROM c WHERE fit),
 u AS (SELECT * FROM p WHERE base OR NOT EXISTS (SELECT 1 FROM p b WHERE b.base AND b.id = p.id AND b.lo < p.hi AND p.lo < b.hi)),
 w AS (SELECT a.id, a.kind, a.rank, a.lo, a.hi FROM u a WHERE NOT a.base
-      AND (a.role = 'identifier' OR EXISTS (SELECT 1 FROM u b WHERE b.id = a.id AND b.role = 'identifier' AND abs(b.lo - a.lo) <= 200))
-      AND (a.role = 'secret' OR EXISTS (SELECT 1 FROM u b WHERE b.id = a.id AND b.role = 'secret' AND abs(b.lo - a.lo) <= 200))),
+      AND (a.role = 'identifier' OR EXISTS (SELECT 1 FROM u b WHERE b.id = a.id AND b.role = 'identifier' AND greatest(a.lo, b.lo) - least(a.hi, b.hi) <= 200))
+      AND (a.role = 'secret' OR EXISTS (SELECT 1 FROM u b WHERE b.id = a.id AND b.role = 'secret' AND greatest(a.lo, b.lo) - least(a.hi, b.hi) <= 200))),
 x AS (SELECT id, kind, rank, lo, hi, base FROM p WHERE base UNION ALL SELECT id, kind, rank, lo, hi, false FROM w),
 a AS (SELECT id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
              string_agg(kind || ':' || lo || ':' || hi, ',' ORDER BY lo, rank) FILTER (base) AS base,

@@ -23,6 +23,10 @@ TEXTS = [
     "login=someone https://db.example.com:5432/x Abcdef0123456789zzzzEFGH",
     "https://db.example.com/only",
     ("client_id=abcd " + "token=abcdefgh ") * 200,
+    "token=" + "k" * 800 + " client_id=alice77",
+    "token=" + "k" * 800 + " " * 201 + "client_id=alice77",
+    "client_id=alice77 " + "https://api.example.com/" + "p/" * 300 + " Abcdef0123456789zzzzEFGH",
+    "https://api.example.com/" + "q" * 500 + "/Abcdef0123456789zzzzEFGH/" + "r" * 500 + " login=someone",
 ]
 
 
@@ -32,6 +36,24 @@ def brute(text):
     return [s for _, _, s in sorted(found)]
 
 
+WEAK = {
+    "ident": (re.compile(r"""(client_?id|user_?name|user|login|account)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@-]+)""", re.I | re.A), lambda m: len(m[2]) >= 4, "identifier"),
+    "key": (re.compile("[A-Za-z0-9+/_-]{20,}"), lambda m: all(re.search(c, m[0]) for c in ("[0-9]", "[a-z]", "[A-Z]")), "secret"),
+    "endpoint": (re.compile(r"https?://[A-Za-z0-9.-]+(?::[0-9]+)?(?:/[A-Za-z0-9_./?=&%#-]*)?"), lambda m: len(m[0]) >= 10, "endpoint"),
+}
+
+
+def brute_spans(text, scope=200):
+    """All spans by comparing every pair of parts."""
+    text = text or ""
+    base = [(m.start(), m.end(), i, k, "identifier" if k == "access" else "secret") for i, (k, (p, ok)) in enumerate(RULES.items()) for m in p.finditer(text) if ok(m)]
+    weak = [(m.start(), m.end(), 3 + i, k, role) for i, (k, (p, ok, role)) in enumerate(WEAK.items()) for m in p.finditer(text) if ok(m)]
+    weak = [w for w in weak if not any(b[0] < w[1] and w[0] < b[1] for b in base)]
+    near = lambda a, role: any(b[4] == role and max(a[0], b[0]) - min(a[1], b[1]) <= scope for b in base + weak)
+    kept = [w for w in weak if (w[4] == "identifier" or near(w, "identifier")) and (w[4] == "secret" or near(w, "secret"))]
+    return ",".join(f"{k}:{lo}:{hi}" for lo, hi, rank, k, _ in sorted(base + kept, key=lambda x: (x[0], x[2])))
+
+
 def frame(spark):
     rows = [(i, t) for i, t in enumerate(TEXTS)] + [(3, TEXTS[3]), (None, TEXTS[6])]
     return spark.createDataFrame(rows, "doc_id long, text string").withColumn("kind", F.lit("clash")).withColumn("lo", F.lit(1))
@@ -56,6 +78,8 @@ def test_weak_candidates_need_their_complements(spark):
     assert spans[6].startswith("ident:0:11,hex:")
     assert spans[7] == "" and spans[9] == ""
     assert [s.split(":")[0] for s in spans[8].split(",")] == ["ident", "endpoint", "key"]
+    assert spans[11] == "assign:0:806,ident:807:824" and spans[12] == "assign:0:806"
+    assert {i: s for i, s in spans.items() if i is not None} == {i: brute_spans(t) for i, t in enumerate(TEXTS)}
 
 
 def test_redaction_keeps_columns_and_other_text(spark):
