@@ -246,7 +246,7 @@ def test_learned_rules_equal_plain_covering(spark):
         bad = rng.random() < 0.3
         counts = dict(n_words=words, word_chars=words * 5, n_symbols=rng.randrange(60, 90) if bad and i % 2 else rng.randrange(30), n_dup_lines=0, n_repeat_words=rng.randrange(60), n_lines=9)
         counts |= dict(n_upper=rng.randrange(200, 400) if bad and i % 2 == 0 else rng.randrange(100), n_marks=rng.randrange(9), n_distinct=rng.randrange(20, words))
-        rows.append((i, counts, int(not bad) if rng.random() < 0.97 else 1))
+        rows.append((i, counts, int(not bad) if rng.random() < 0.99 else 1))
     table = spark.createDataFrame([(k, *[c[n] for n in R.COUNTS], y) for k, c, y in rows], "doc_id long, " + ", ".join(f"{n} long" for n in R.COUNTS) + ", label int")
     learned = [[(t.name, t.above, pytest.approx(t.threshold)) for t in rule] for rule in R.learn_rules(table)]
     assert learned and learned == plain_rules(rows)
