@@ -54,7 +54,7 @@ def reference_models(
     reference = parts.where(F.col("split") == "reference").drop("split")
     names = list(models)
     fitted = in_parallel(
-        [lambda n=n: monitoring_classifier(train, numeric, categorical, n, seed, **models[n]) for n in names], 2
+        [lambda n=n: monitoring_classifier(train, numeric, categorical, n, seed, key=key, **models[n]) for n in names], 2
     )
     return reference, dict(zip(names, fitted))
 
@@ -91,7 +91,7 @@ def post_retrain_comparison(
 
     def refit(i):
         rows = train.where(F.col("window_id") == i)
-        model = monitoring_classifier(rows, numeric, categorical, model_variant, seed, **(params or {}))
+        model = monitoring_classifier(rows, numeric, categorical, model_variant, seed, key=key, width=2, **(params or {}))
         return model(test.where(F.col("window_id") == i)).select("scenario", "y", "score")
 
     after = _union(in_parallel([lambda i=i: refit(i) for i in ids], 4))

@@ -12,18 +12,18 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
-from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from plumbline import constants as C
 from plumbline.functions import at_least, clip, sigmoid, sorted_json
+from plumbline.operators.forests import FIT_ROWS, WEIGHT, WIDTH, DepthForest, Forest, deepest, fit_forest, fit_rows, without_depth
 from plumbline.operators.metrics import decision_metrics, metric_record, to_long
 from plumbline.operators.preprocess import Preprocessor, fit_preprocessor
 from plumbline.session import stage
 
-MAX_DEPTH = 30  # deepest tree Spark grows
-WEIGHT = "class_weight"
+FORESTS = ("RandomForest",)
 
 
 def class_counts(df: DataFrame, y: str = "y") -> dict[int, int]:
@@ -40,11 +40,9 @@ def balanced_weight(counts: Mapping[int, int], y: str = "y") -> Column:
 
 
 def make_estimator(name: str, rows: int, seed: int = C.SEED, **params: Any):
-    """An estimator by model name.
+    """A linear estimator by model name: C, and l1=True for LogisticRegression.
 
-    LogisticRegression and LinearSVC take C (and l1=True for the first);
-    RandomForest takes n_trees, max_depth (None = as deep as Spark grows) and
-    min_samples_leaf. class_weight 'balanced' expects the column `class_weight`.
+    class_weight 'balanced' expects the column `class_weight`.
     """
     common = {"featuresCol": "features", "labelCol": "y"}
     if params.get("class_weight"):
@@ -65,28 +63,38 @@ def make_estimator(name: str, rows: int, seed: int = C.SEED, **params: Any):
             maxIter=params.get("max_iter", 2500),
             **common,
         )
-    if name == "RandomForest":
-        depth = params.get("max_depth")
-        return RandomForestClassifier(
-            numTrees=params.get("n_trees", 100),
-            maxDepth=MAX_DEPTH if depth is None else depth,
-            minInstancesPerNode=params.get("min_samples_leaf", 1),
-            featureSubsetStrategy="sqrt",
-            seed=seed,
-            **common,
-        )
     raise ValueError(f"unknown model {name!r}")
 
 
 def fit_model(
-    df: DataFrame, name: str, seed: int = C.SEED, counts: Mapping[int, int] | None = None, **params: Any
+    df: DataFrame,
+    name: str,
+    seed: int = C.SEED,
+    counts: Mapping[int, int] | None = None,
+    key: str = "row_id",
+    max_fit_rows: int | None = FIT_ROWS,
+    width: int = WIDTH,
+    drawn: bool = False,
+    **params: Any,
 ):
-    """Fit on a frame with `features` and `y`; class counts are found if not given."""
+    """Fit on a frame with `features` and `y`; class counts are found if not given.
+
+    Linear models use all rows. A RandomForest (n_trees, max_depth with None for as deep as
+    Spark grows, min_samples_leaf) uses at most `max_fit_rows`, drawn by the row key unless
+    they are `drawn` already; class weights are those of all rows.
+    """
     counts = counts or class_counts(df)
     rows = sum(counts.values())
-    if params.get("class_weight"):
-        df = df.withColumn(WEIGHT, balanced_weight(counts))
-    return make_estimator(name, rows, seed, **params).fit(df)
+    balanced = bool(params.get("class_weight"))
+    if name not in FORESTS:
+        if balanced:
+            df = df.withColumn(WEIGHT, balanced_weight(counts))
+        return make_estimator(name, rows, seed, **params).fit(df)
+    fitted = df if drawn else fit_rows(df, counts, max_fit_rows, key, seed)
+    if balanced:
+        fitted = fitted.withColumn(WEIGHT, balanced_weight(counts))
+    wanted = {k: params[k] for k in ("n_trees", "max_depth", "min_samples_leaf", "batch") if k in params}
+    return fit_forest(fitted, weighted=balanced, seed=seed, width=width, **wanted)
 
 
 def with_score(scored: DataFrame) -> DataFrame:
@@ -102,6 +110,8 @@ def with_score(scored: DataFrame) -> DataFrame:
 
 def apply_model(model, df: DataFrame) -> DataFrame:
     """Rows with score, score_source and the model's own 0/1 decision."""
+    if isinstance(model, Forest):
+        return model.scored(df).withColumn("score_source", F.lit("predict_proba"))
     out = with_score(model.transform(df))
     return out.withColumn("predicted", F.col("prediction").cast("int")).drop("prediction")
 
@@ -137,7 +147,9 @@ def fit_classifier(
     **params: Any,
 ) -> FittedClassifier:
     fitted = preprocessor or fit_preprocessor(train, numeric, categorical)
-    vectors = fitted.vectors(train, features).select("features", "y").persist()
+    rows = fitted.vectors(train, features)
+    key = params.get("key", "row_id")
+    vectors = rows.select("features", "y", *[c for c in [key] if c in rows.columns]).persist()
     try:
         return FittedClassifier(fitted, fit_model(vectors, model, seed, **params), features)
     finally:
@@ -177,6 +189,7 @@ def compare_models(
     dataset: str,
     splits: Sequence[str] = ("train", "validation"),
     width: int = 4,
+    key: str = "row_id",
 ) -> DataFrame:
     """Fit every model on every feature set; metrics per split in one job.
 
@@ -189,14 +202,14 @@ def compare_models(
         vectors = preprocessor.vectors(df.where(F.col("split").isin(list(splits))), features)
         # Fits of one feature set share the vectors; the cache spills to disk and
         # is rebuilt from lineage if an executor goes.
-        vectors = stage(vectors.select("split", "y", "features"), "curve_vectors")
+        vectors = stage(vectors.select("split", "y", "features", *[c for c in [key] if c in vectors.columns]), "curve_vectors")
         for label, params in models.items():
             cells.append((set_name, label, dict(params), vectors))
 
     def job(cell):
         set_name, label, params, vectors = cell
         name = params.pop("model", label)
-        model = fit_model(vectors.where(F.col("split") == splits[0]), name, counts=counts, **params)
+        model = fit_model(vectors.where(F.col("split") == splits[0]), name, counts=counts, key=key, **params)
         tags = {"dataset": F.lit(dataset), "feature_set": F.lit(set_name), "model": F.lit(label)}
         return apply_model(model, vectors).select("split", "y", "score", "predicted").withColumns(tags)
 
@@ -211,18 +224,27 @@ def cross_validate(
     """Out-of-fold rows (fold, y, score, predicted) of one model.
 
     `df` has features, y and a fold column. Each fold is scored by a model that
-    never saw it, which is also what calibration needs.
+    never saw it, which is also what calibration needs. A forest's rows are drawn once
+    from the whole table, and each fold's forest leaves its fold out of them.
     """
     sizes = fold_counts(df, fold)
+    source, drawn = _drawn(df, name, sizes, fold, params)
 
     def job(k):
-        model = fit_model(df.where(F.col(fold) != k), name, counts=counts_without(sizes, k), **params)
+        model = fit_model(source.where(F.col(fold) != k), name, counts=counts_without(sizes, k), width=2, drawn=drawn, **params)
         return apply_model(model, df.where(F.col(fold) == k))
 
     parts = in_parallel([lambda k=k: job(k) for k in sorted(sizes)], width)
     return _united(parts).withColumn(label, F.lit(name))
 
 
+def _drawn(df: DataFrame, name: str, sizes: Mapping[int, Mapping[int, int]], fold: str, params: Mapping[str, Any]) -> tuple[DataFrame, bool]:
+    """What the models of a table with folds are fitted on: a forest's drawn rows, or all."""
+    if name not in FORESTS:
+        return df, False
+    return fit_rows(df, counts_without(sizes, None), params.get("max_fit_rows", FIT_ROWS), params.get("key", "row_id"), keep=[fold]), True
+
+
 def fold_counts(df: DataFrame, fold: str = "fold") -> dict[int, dict[int, int]]:
     """Rows per fold and class."""
     sizes: dict[int, dict[int, int]] = {}
@@ -231,7 +253,8 @@ def fold_counts(df: DataFrame, fold: str = "fold") -> dict[int, dict[int, int]]:
     return sizes
 
 
-def counts_without(sizes: Mapping[int, Mapping[int, int]], held: int) -> dict[int, int]:
+def counts_without(sizes: Mapping[int, Mapping[int, int]], held: int | None) -> dict[int, int]:
+    """Rows per class outside a fold (None: of all folds)."""
     total: dict[int, int] = {}
     for k, classes in sizes.items():
         if k != held:
@@ -271,27 +294,45 @@ def grid_search(
     dataset: str,
     feature_set: str,
     fold: str = "fold",
-    width: int = 4,
+    width: int = WIDTH,
     fixed: Mapping[str, Any] | None = None,
 ) -> tuple[DataFrame, list[dict[str, Any]]]:
     """Cross-validated metrics of every parameter set, as one table.
 
     Returns the summary (param_id, params_json, mean and std per metric) and the
-    list of parameter sets that param_id points to.
+    list of parameter sets that param_id points to. Parameter sets of a forest that
+    differ in depth only share one fit per fold, grown to the greatest depth.
     """
     choices = param_sets(grid)
     sizes = fold_counts(df, fold)
-
-    def job(cell):
-        (i, params), k = cell
-        chosen = {**(fixed or {}), **params}
-        model = fit_model(df.where(F.col(fold) != k), name, counts=counts_without(sizes, k), **chosen)
-        held = apply_model(model, df.where(F.col(fold) == k))
-        tags = {"param_id": F.lit(i), "params_json": params_column(params)}
-        return held.select("y", "score", "predicted", fold).withColumns(tags)
-
-    cells = list(itertools.product(enumerate(choices), sorted(sizes)))
-    tagged = _scored_once(in_parallel([lambda c=c: job(c) for c in cells], width)).withColumns(
+    source, drawn = _drawn(df, name, sizes, fold, {})
+    keep = ["y", fold]
+
+    def fitted(params, k):
+        model = fit_model(source.where(F.col(fold) != k), name, counts=counts_without(sizes, k), drawn=drawn, batch=None, **params)
+        return model, df.where(F.col(fold) == k)
+
+    def tags(i):
+        return {"param_id": F.lit(i), "params_json": params_column(choices[i])}
+
+    def one(i, k):
+        model, held = fitted({**(fixed or {}), **choices[i]}, k)
+        return apply_model(model, held).select(*keep, "score", "predicted").withColumns(tags(i))
+
+    def family(ids, k):
+        depths = [choices[i]["max_depth"] for i in ids]
+        model, held = fitted({**(fixed or {}), **choices[ids[0]], "max_depth": deepest(depths)}, k)
+        scored = DepthForest(model, df.sparkSession).scored(held, depths, keep)
+        return _united([scored.where(F.col("depth_no") == n).drop("depth_no").withColumns(tags(i)) for n, i in enumerate(ids)])
+
+    if name in FORESTS and "max_depth" in grid:
+        alike: dict[str, list[int]] = {}
+        for i, choice in enumerate(choices):
+            alike.setdefault(str(without_depth(choice)), []).append(i)
+        jobs = [lambda ids=ids, k=k: stage(family(ids, k), "depths") for ids in alike.values() for k in sorted(sizes)]
+    else:
+        jobs = [lambda i=i, k=k: one(i, k) for i in range(len(choices)) for k in sorted(sizes)]
+    tagged = _scored_once(in_parallel(jobs, width)).withColumns(
         {"dataset": F.lit(dataset), "feature_set": F.lit(feature_set), "model": F.lit(name)}
     )
     keys = ["dataset", "feature_set", "model", "param_id", "params_json"]
@@ -311,14 +352,25 @@ def best_params(summary: DataFrame, choices: Sequence[Mapping[str, Any]]) -> dic
 def validation_curve(
     train: DataFrame, valid: DataFrame, name: str, param: str, values: Sequence[Any], **fixed: Any
 ) -> DataFrame:
-    """Train and validation metrics along one parameter, as long rows."""
+    """Train and validation metrics along one parameter, as long rows.
+
+    All depths of a forest come from one fit, grown to the greatest of them.
+    """
     parts = []
     counts = class_counts(train)
-    for value in values:
-        model = fit_model(train, name, counts=counts, **{**fixed, param: value})
-        for split, rows in (("train", train), ("validation", valid)):
-            tags = {"param": F.lit(param), "value": F.lit(str(value)), "split": F.lit(split)}
-            parts.append(apply_model(model, rows).select("y", "score", "predicted").withColumns(tags))
+    splits = (("train", train), ("validation", valid))
+    tags = lambda value, split: {"param": F.lit(param), "value": F.lit(str(value)), "split": F.lit(split)}
+    if name in FORESTS and param == "max_depth":
+        model = fit_model(train, name, counts=counts, **{**fixed, param: deepest(values)})
+        nodes = DepthForest(model, train.sparkSession)
+        for split, rows in splits:
+            scored = stage(nodes.scored(rows, values, ["y"]), "depths")
+            parts += [scored.where(F.col("depth_no") == i).drop("depth_no").withColumns(tags(v, split)) for i, v in enumerate(values)]
+    else:
+        for value in values:
+            model = fit_model(train, name, counts=counts, **{**fixed, param: value})
+            for split, rows in splits:
+                parts.append(apply_model(model, rows).select("y", "score", "predicted").withColumns(tags(value, split)))
     wide = decision_metrics(_scored_once(parts), ["param", "value", "split"])
     renamed = wide.withColumnRenamed("value", "param_value")
     return to_long(renamed, ["param", "param_value", "split"], ["accuracy", "f1", "roc_auc"])
@@ -333,21 +385,20 @@ def calibrated_variants(
     """Holdout rows scored by three variants of one model.
 
     The calibrators learn from out-of-fold scores of the training rows (columns
-    features, y, fold), never from the holdout.
+    features, y, fold), never from the holdout. Equal scores are counted before the isotonic
+    fit, which pools adjacent violators inside score ranges in the tasks; only the blocks
+    left there reach the driver. Blocks have rising shares of label 1, so of n rows there are
+    fewer than n ** (2/3).
     """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import IsotonicRegression
 
-    inner = cross_validate(train, name, "fold", width, **params).select("y", "score").persist()
-    try:
-        pack = VectorAssembler(inputCols=["score"], outputCol="features")
-        platt = LogisticRegression(featuresCol="features", labelCol="y", regParam=0.0, maxIter=1000)
-        sigmoid_map = platt.fit(pack.transform(inner))
-        isotonic = IsotonicRegression(featuresCol="score", labelCol="y", isotonic=True).fit(
-            inner.withColumn("y", F.col("y").cast("double"))
-        )
-    finally:
-        inner.unpersist()
+    inner = stage(cross_validate(train, name, "fold", width, **params).select("y", "score"), "out_of_fold")
+    pack = VectorAssembler(inputCols=["score"], outputCol="features")
+    platt = LogisticRegression(featuresCol="features", labelCol="y", regParam=0.0, maxIter=1000)
+    sigmoid_map = platt.fit(pack.transform(inner))
+    counted = inner.groupBy("score").agg(F.avg("y").alias("y"), F.count(F.lit(1)).cast("double").alias("n"))
+    isotonic = IsotonicRegression(featuresCol="score", labelCol="y", weightCol="n", isotonic=True).fit(counted)
     model = fit_model(train, name, **params)
     plain = apply_model(model, holdout).drop("features", "predicted")
     slope, shift = float(sigmoid_map.coefficients[0]), float(sigmoid_map.intercept)
@@ -376,7 +427,7 @@ def coefficient_scores(df: DataFrame, names: Sequence[str], **params: Any) -> Da
 
 def forest_scores(df: DataFrame, names: Sequence[str], **params: Any) -> DataFrame:
     model = fit_model(df, "RandomForest", **params)
-    return _vector_rows(df, names, model.featureImportances.toArray())
+    return _vector_rows(df, names, model.importances)
 
 
 def sliced(df: DataFrame, kept: Sequence[int]) -> DataFrame:
@@ -454,7 +505,8 @@ def selection_runs(
 ) -> DataFrame:
     """(dataset, method, feature, seed, selected) over repeated fits.
 
-    The linear fits are deterministic, so one fit serves all seeds.
+    The linear fits are deterministic, so one fit serves all seeds. The forests of all
+    seeds are grown side by side on the same drawn rows.
     """
     from plumbline.operators.selection import at_least_percentile
 
@@ -468,10 +520,12 @@ def selection_runs(
             once = scores.withColumn("selected", (F.col("score") > 1e-4).cast("int"))
         else:
             once = None
-        for seed in seeds:
+            rows = fit_rows(df, class_counts(df))
+            sizes = {"n_trees": 50, **(forest or {})}
+            grown = in_parallel([lambda seed=seed: forest_scores(rows, names, seed=seed, drawn=True, width=2, **sizes) for seed in seeds], WIDTH)
+        for i, seed in enumerate(seeds):
             if once is None:
-                scores = forest_scores(df, names, seed=seed, **{"n_trees": 50, **(forest or {})})
-                rows = at_least_percentile(scores.withColumn("g", F.lit(0)), ["g"], share).drop("g")
+                rows = at_least_percentile(grown[i].withColumn("g", F.lit(0)), ["g"], share).drop("g")
             else:
                 rows = once
             tags = {"dataset": F.lit(dataset), "method": F.lit(method), "seed": F.lit(seed)}

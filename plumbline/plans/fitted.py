@@ -1,12 +1,16 @@
 """Queries that fit models: no SQL twin, checked by invariants in the tests.
 
 Sizes (trees, depth, folds, repeats, seeds, grids) are those of the lessons they follow.
+Forests are fitted on at most `forests.FIT_ROWS` labelled rows; linear models on all, and all
+rows are scored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from plumbline import constants as C
@@ -79,27 +83,51 @@ def _(t):
 
 @query("h09_grid_search")
 def _(t):
-    vectors, _names = train_vectors(t, folds=3)
-    tables = []
-    for name, grid in C.TUNING_GRIDS.items():
-        fixed = TUNED_FOREST if name == "RandomForest" else {}
-        table, _choices = H.grid_search(vectors, name, grid, "orders", "full", fixed=fixed)
-        tables.append(H.top_grid_rows(table, 5))
-    return tables[0].unionByName(tables[1])
+    folds, _valid = tuning_rows(t)
+    return reduce(DataFrame.unionByName, [H.top_grid_rows(searched(folds, name), 5) for name in C.TUNING_GRIDS])
 
 
-def tuned_against_default(t):
-    """Validation metrics of each kind's default model and of its best parameter set, both fitted."""
+# Results of fits that several queries ask for, by session, label and the rows they come from.
+STORE: dict[tuple, DataFrame] = {}
+
+
+def once(label: str, rows: DataFrame, build: Callable[[], DataFrame]) -> DataFrame:
+    """The staged result of `build`, which depends on `rows` (with features and y) only."""
+    values = [c for c in rows.columns if c != "features"]
+    mark = F.xxhash64(*values, vector_to_array("features")).cast("decimal(38,0)")
+    known = (rows.sparkSession.sparkContext.applicationId, label, *rows.agg(F.count(F.lit(1)), F.sum(mark)).first())
+    if known not in STORE:
+        STORE[known] = stage(build(), label)
+    return STORE[known]
+
+
+def tuning_rows(t):
+    """Training vectors in three folds, and validation vectors."""
     rows, fit = prepared(t)
     shared = stage(fit.vectors(rows.where(F.col("split") != "test")).select("row_id", "split", "y", "features"), "tuning_vectors")
     train, valid = (shared.where(F.col("split") == s).drop("split") for s in ("train", "validation"))
-    folds = stage(S.folds(train, "row_id", 3), "tuning_folds")
+    return stage(S.folds(train, "row_id", 3), "tuning_folds"), valid
+
+
+def searched(folds: DataFrame, name: str) -> DataFrame:
+    """The grid of one kind of model, fitted once in a session for all queries that need it."""
+    fixed = TUNED_FOREST if name == "RandomForest" else {}
+    return once(f"grid_{name}", folds, lambda: H.grid_search(folds, name, C.TUNING_GRIDS[name], "orders", "full", fixed=fixed)[0])
+
+
+def tuned_against_default(t):
+    """Validation metrics of each kind's default model and of its best parameter set, both fitted."""
+    folds, valid = tuning_rows(t)
+    return once("tuned", folds, lambda: tuned_table(folds, valid))
+
+
+def tuned_table(folds: DataFrame, valid: DataFrame) -> DataFrame:
+    train = folds.drop("fold")
     parts = []
     for name, grid in C.TUNING_GRIDS.items():
         fixed = TUNED_FOREST if name == "RandomForest" else {}
         default = {**DEFAULT_FOREST, "class_weight": "balanced"} if name == "RandomForest" else {"class_weight": "balanced"}
-        table, choices = H.grid_search(folds, name, grid, "orders", "full", fixed=fixed)
-        best = {**fixed, **H.best_params(stage(table, "grid"), choices)}
+        best = {**fixed, **H.best_params(searched(folds, name), H.param_sets(grid))}
         for variant, params in (("baseline_default", default), ("tuned_best", best)):
             tags = {"dataset": F.lit("orders"), "model": F.lit(name), "feature_set": F.lit("full"), "variant": F.lit(variant)}
             parts.append(H.apply_model(H.fit_model(train, name, **params), valid).select("y", "score", "predicted").withColumns(tags))
@@ -122,7 +150,7 @@ def _(t):
     rows, fit = prepared(t)
     train = S.folds(rows.where(F.col("split") == "train").drop("split"), "row_id", 5)
     holdout = rows.where(F.col("split") == "validation").drop("split")
-    train = stage(fit.vectors(train).select("y", "features", "fold"), "fold_vectors")
+    train = stage(fit.vectors(train).select("row_id", "y", "features", "fold"), "fold_vectors")
     holdout = stage(fit.vectors(holdout).select("row_id", "y", "features"), "holdout_vectors")
     parts = []
     for name, params in (("LogisticRegression", {}), ("RandomForest", DEFAULT_FOREST)):
@@ -135,7 +163,7 @@ def _(t):
 @query("h14_validation_curve")
 def _(t):
     rows, fit = prepared(t)
-    vectors = stage(fit.vectors(rows).select("split", "y", "features"), "split_vectors")
+    vectors = stage(fit.vectors(rows).select("row_id", "split", "y", "features"), "split_vectors")
     train, valid = (vectors.where(F.col("split") == s) for s in ("train", "validation"))
     curves = []
     for name, (param, values) in C.VALIDATION_CURVES.items():

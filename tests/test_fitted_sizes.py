@@ -1,4 +1,4 @@
-"""The fitted plans ask for the whole job: sizes of their forests, folds, repeats, seeds and grids."""
+"""The fitted plans ask for the whole job: sizes of their forests, folds, repeats, seeds and grids. test_forests.py runs them."""
 
 import pytest
 
@@ -40,29 +40,10 @@ def test_forests_are_whole(monkeypatch):
 
 def test_grid_search_covers_both_models(monkeypatch):
     seen = []
-
-    class Rows:
-        def unionByName(self, other):
-            return "both"
-
-    monkeypatch.setattr(fitted, "train_vectors", lambda t, folds=0: (folds, []))
+    monkeypatch.setattr(fitted, "tuning_rows", lambda t: ("folds", "valid"))
+    monkeypatch.setattr(fitted, "once", lambda label, rows, build: build())
     monkeypatch.setattr(fitted.H, "grid_search", lambda df, name, grid, *a, **k: (seen.append((df, name, grid, k["fixed"])), None))
-    monkeypatch.setattr(fitted.H, "top_grid_rows", lambda table, n: Rows())
+    monkeypatch.setattr(fitted.H, "top_grid_rows", lambda table, n: None)
+    monkeypatch.setattr(fitted.DataFrame, "unionByName", lambda a, b: "both")
     assert QUERIES["h09_grid_search"](None, "/nowhere") == "both"
-    assert seen == [(3, n, C.TUNING_GRIDS[n], {"n_trees": 350} if n == "RandomForest" else {}) for n in ("LogisticRegression", "RandomForest")]
-
-
-def test_tuned_models_are_fitted_with_the_best_set(spark, monkeypatch):
-    """Small grids and forests in place of the whole ones: both kinds are fitted as default and as the grid's winner."""
-    monkeypatch.setattr(fitted, "DEFAULT_FOREST", {"n_trees": 3, "max_depth": 2})
-    monkeypatch.setattr(fitted, "TUNED_FOREST", {"n_trees": 3})
-    monkeypatch.setattr(C, "TUNING_GRIDS", {"LogisticRegression": {"C": (1e-6, 1.0)}, "RandomForest": {"max_depth": (1, 3)}})
-    fits, winners = [], []
-    fit, best = fitted.H.fit_model, fitted.H.best_params
-    monkeypatch.setattr(fitted.H, "fit_model", lambda df, name, *a, **k: (fits.append((name, {x: v for x, v in k.items() if x != "counts"})), fit(df, name, *a, **k))[1])
-    monkeypatch.setattr(fitted.H, "best_params", lambda *a: (winners.append(best(*a)), winners[-1])[1])
-    rows = QUERIES["h10_fitted_baseline_vs_tuned"](spark, "/root/testdata/sf0.001").collect()
-    kinds = ("LogisticRegression", "RandomForest")
-    assert sorted((r.model, r.variant) for r in rows) == [(m, v) for m in kinds for v in ("baseline_default", "tuned_best")]
-    assert len(fits) == 2 * (2 * 3 + 2) and all(0 <= r.roc_auc <= 1 for r in rows)
-    assert fits[7] == (kinds[0], winners[0]) and fits[15] == (kinds[1], {"n_trees": 3, **winners[1]})
+    assert seen == [("folds", n, C.TUNING_GRIDS[n], {"n_trees": 350} if n == "RandomForest" else {}) for n in ("LogisticRegression", "RandomForest")]
