@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
@@ -22,14 +21,22 @@ DEFAULT_MODELS: Mapping[str, Mapping[str, Any]] = {
 }
 
 
-@dataclass(frozen=True)
 class MonitoringCycle:
-    """The four audit tables, lazily computed from shared, cached windows."""
+    """The four audit tables over shared, written windows; each is worked out when asked for."""
 
-    drift: DataFrame
-    quality: DataFrame
-    decisions: DataFrame
-    retraining: DataFrame
+    def __init__(self, **tables: Callable[[MonitoringCycle], DataFrame]):
+        self._tables = tables
+
+    def _once(self, name: str) -> DataFrame:
+        made = self.__dict__.setdefault("_made", {})
+        if name not in made:
+            made[name] = self._tables[name](self)
+        return made[name]
+
+    drift = property(lambda self: self._once("drift"))
+    quality = property(lambda self: self._once("quality"))
+    decisions = property(lambda self: self._once("decisions"))
+    retraining = property(lambda self: self._once("retraining"))
 
 
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
@@ -120,14 +127,16 @@ def monitoring_cycle(
     # The windows feed every table, so they are drawn once and written.
     windows = stage(monitoring_windows(reference, key, numeric, categorical, size, seed), "windows")
     tag = {"dataset": F.lit(dataset)}
-    baseline = reference_metrics(score_with_all(reference, fitted).withColumns(tag))
-    quality = quality_audit(score_with_all(windows, fitted).withColumns(tag), baseline)
-    drift = drift_audit(reference, windows, numeric, categorical, dataset)
+
+    def quality(_):
+        baseline = reference_metrics(score_with_all(reference, fitted).withColumns(tag))
+        return quality_audit(score_with_all(windows, fitted).withColumns(tag), baseline)
+
     return MonitoringCycle(
-        drift,
-        quality,
-        retraining_decisions(drift, quality),
-        post_retrain_comparison(
+        drift=lambda _: drift_audit(reference, windows, numeric, categorical, dataset),
+        quality=quality,
+        decisions=lambda own: retraining_decisions(own.drift, own.quality),
+        retraining=lambda _: post_retrain_comparison(
             windows, fitted, numeric, categorical, dataset, retrain_with, models.get(retrain_with), seed=seed
         ),
     )

@@ -31,7 +31,7 @@ from plumbline.functions import hash_text
 from plumbline.operators.ordered import cut_digests
 from plumbline.session import scratch_folder, stage
 
-FIT_ROWS = 1_000  # about what the largest tables of the lessons hold
+FIT_ROWS = 600  # what the lessons train on: their largest table has 1,100 rows before splitting
 MAX_DEPTH = 30  # deepest tree Spark grows
 BATCH = 50  # trees grown by one fit
 WIDTH = 8  # fits at a time
@@ -138,7 +138,13 @@ class DepthForest:
         for part in forest.parts:
             path = scratch_folder(spark, "forest")
             part.write().save(path)
-            tables.append(spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").toPandas())
+            saved = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
+            flat = saved.select(
+                "treeID", "id", "prediction", "leftChild", "rightChild", "split.featureIndex", "split.numCategories",
+                F.get("impurityStats", 0).alias("class0"), F.get("impurityStats", 1).alias("class1"),
+                F.get("split.leftCategoriesOrThreshold", 0).alias("cut"), F.size("split.leftCategoriesOrThreshold").alias("n_left"),
+            )
+            tables.append(flat.toPandas())
         for i, table in enumerate(tables):
             table["treeID"] += sum(forest.trees[:i])
         nodes = pd.concat(tables).sort_values(["treeID", "id"], ignore_index=True)
@@ -148,19 +154,15 @@ class DepthForest:
         at = np.arange(len(nodes))
         left = np.where(inner, base + nodes["leftChild"], at)
         right = np.where(inner, base + nodes["rightChild"], at)
-        self.feature, self.threshold = np.zeros(len(nodes), np.int64), np.zeros(len(nodes))
-        for k in np.flatnonzero(inner):
-            split = nodes["split"].iat[k]
-            self.feature[k], values = split["featureIndex"], split["leftCategoriesOrThreshold"]
-            if split["numCategories"] < 0:
-                self.threshold[k] = values[0]
-            elif split["numCategories"] == 2 and len(values) == 1:  # a flag: 0 or 1 goes left
-                self.threshold[k] = 0.5
-                if values[0] == 1.0:
-                    left[k], right[k] = right[k], left[k]
-            else:
-                raise ValueError("splits of more than two categories are not supported")
-        stats = np.stack(nodes["impurityStats"].to_numpy())
+        flag = inner & (nodes["numCategories"].to_numpy() >= 0)  # 0 or 1 goes left
+        if (flag & ~((nodes["numCategories"] == 2) & (nodes["n_left"] == 1)).to_numpy()).any():
+            raise ValueError("splits of more than two categories are not supported")
+        cut = nodes["cut"].fillna(0.0).to_numpy()
+        swap = flag & (cut == 1.0)
+        left, right = np.where(swap, right, left), np.where(swap, left, right)
+        self.feature = np.where(inner, nodes["featureIndex"].to_numpy(), 0)
+        self.threshold = np.where(flag, 0.5, np.where(inner, cut, 0.0))
+        stats = nodes[["class0", "class1"]].to_numpy()
         self.shares = stats / stats.sum(1, keepdims=True)
         self.left, self.right, self.inner = left.astype(np.int64), right.astype(np.int64), inner
         self.label = nodes["prediction"].to_numpy()

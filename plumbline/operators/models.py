@@ -231,7 +231,7 @@ def cross_validate(
     source, drawn = _drawn(df, name, sizes, fold, params)
 
     def job(k):
-        model = fit_model(source.where(F.col(fold) != k), name, counts=counts_without(sizes, k), width=2, drawn=drawn, **params)
+        model = fit_model(source.where(F.col(fold) != k), name, counts=counts_without(sizes, k), drawn=drawn, **{"batch": None, **params})
         return apply_model(model, df.where(F.col(fold) == k))
 
     parts = in_parallel([lambda k=k: job(k) for k in sorted(sizes)], width)
@@ -380,7 +380,7 @@ def validation_curve(
 
 
 def calibrated_variants(
-    train: DataFrame, holdout: DataFrame, name: str, folds: int = 5, width: int = 4, **params: Any
+    train: DataFrame, holdout: DataFrame, name: str, folds: int = 5, width: int = WIDTH, **params: Any
 ) -> DataFrame:
     """Holdout rows scored by three variants of one model.
 
@@ -393,13 +393,14 @@ def calibrated_variants(
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import IsotonicRegression
 
-    inner = stage(cross_validate(train, name, "fold", width, **params).select("y", "score"), "out_of_fold")
+    whole = lambda: fit_model(train, name, **{"batch": None, **params})
+    inside = lambda: stage(cross_validate(train, name, "fold", width, **params).select("y", "score"), "out_of_fold")
+    inner, model = in_parallel([inside, whole], 2)
     pack = VectorAssembler(inputCols=["score"], outputCol="features")
     platt = LogisticRegression(featuresCol="features", labelCol="y", regParam=0.0, maxIter=1000)
     sigmoid_map = platt.fit(pack.transform(inner))
     counted = inner.groupBy("score").agg(F.avg("y").alias("y"), F.count(F.lit(1)).cast("double").alias("n"))
     isotonic = IsotonicRegression(featuresCol="score", labelCol="y", weightCol="n", isotonic=True).fit(counted)
-    model = fit_model(train, name, **params)
     plain = apply_model(model, holdout).drop("features", "predicted")
     slope, shift = float(sigmoid_map.coefficients[0]), float(sigmoid_map.intercept)
     as_sigmoid = plain.withColumn("score", sigmoid(F.lit(slope) * F.col("score") + F.lit(shift)))

@@ -84,7 +84,7 @@ def _(t):
 @query("h09_grid_search")
 def _(t):
     folds, _valid = tuning_rows(t)
-    return reduce(DataFrame.unionByName, [H.top_grid_rows(searched(folds, name), 5) for name in C.TUNING_GRIDS])
+    return reduce(DataFrame.unionByName, [H.top_grid_rows(table, 5) for table in both_grids(folds)])
 
 
 # Results of fits that several queries ask for, by session, label and the rows they come from.
@@ -115,6 +115,10 @@ def searched(folds: DataFrame, name: str) -> DataFrame:
     return once(f"grid_{name}", folds, lambda: H.grid_search(folds, name, C.TUNING_GRIDS[name], "orders", "full", fixed=fixed)[0])
 
 
+def both_grids(folds: DataFrame) -> list[DataFrame]:
+    return H.in_parallel([lambda name=name: searched(folds, name) for name in C.TUNING_GRIDS], 2)
+
+
 def tuned_against_default(t):
     """Validation metrics of each kind's default model and of its best parameter set, both fitted."""
     folds, valid = tuning_rows(t)
@@ -123,6 +127,7 @@ def tuned_against_default(t):
 
 def tuned_table(folds: DataFrame, valid: DataFrame) -> DataFrame:
     train = folds.drop("fold")
+    both_grids(folds)
     parts = []
     for name, grid in C.TUNING_GRIDS.items():
         fixed = TUNED_FOREST if name == "RandomForest" else {}
@@ -152,11 +157,14 @@ def _(t):
     holdout = rows.where(F.col("split") == "validation").drop("split")
     train = stage(fit.vectors(train).select("row_id", "y", "features", "fold"), "fold_vectors")
     holdout = stage(fit.vectors(holdout).select("row_id", "y", "features"), "holdout_vectors")
-    parts = []
-    for name, params in (("LogisticRegression", {}), ("RandomForest", DEFAULT_FOREST)):
+
+    def variants(name, params):
         scored = H.calibrated_variants(train, holdout, name, **params)
         tags = {"dataset": F.lit("orders"), "model": F.lit(name), "split": F.lit("validation")}
-        parts.append(scored.withColumns(tags).select(*tags, "variant", "row_id", "y", "score"))
+        return scored.withColumns(tags).select(*tags, "variant", "row_id", "y", "score")
+
+    kinds = (("LogisticRegression", {}), ("RandomForest", DEFAULT_FOREST))
+    parts = H.in_parallel([lambda kind=kind: variants(*kind) for kind in kinds], 2)
     return K.calibration_audit(parts[0].unionByName(parts[1]))
 
 

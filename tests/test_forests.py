@@ -48,18 +48,18 @@ def test_all_rows_are_scored_by_a_bounded_forest(vectors):
 
 def test_depths_of_one_fit_equal_separate_fits(vectors):
     rows = D.fit_rows(vectors, H.class_counts(vectors))
-    whole = D.fit_forest(rows, n_trees=12, batch=None)
-    limits = [1, 2, 4, 7, None]
+    whole = D.fit_forest(rows, n_trees=8, batch=None)
+    limits = [1, 4, None]
     found = D.DepthForest(whole, vectors.sparkSession).scored(vectors, limits, ["row_id"]).toPandas()
     for i, depth in enumerate(limits):
-        alone = D.fit_forest(rows, n_trees=12, max_depth=depth, batch=None)
+        alone = D.fit_forest(rows, n_trees=8, max_depth=depth, batch=None)
         want = alone.scored(vectors).select("row_id", "score", "predicted").toPandas().sort_values("row_id")
         got = found[found["depth_no"] == i].sort_values("row_id")
         assert np.allclose(got["score"], want["score"]) and (got["predicted"].to_numpy() == want["predicted"].to_numpy()).all(), depth
 
 
 def test_grid_equals_a_plain_loop(vectors):
-    grid = {"max_depth": (2, None), "min_samples_leaf": (1, 5), "class_weight": (None, "balanced")}
+    grid = {"max_depth": (2, 5), "min_samples_leaf": (1, 5), "class_weight": (None, "balanced")}
     table, choices = H.grid_search(vectors, "RandomForest", grid, "t", "full", fixed={"n_trees": 5})
     got = {r.param_id: (r.mean_cv_accuracy, r.mean_cv_f1, r.mean_cv_roc_auc) for r in table.collect()}
     assert len(choices) == len(got) == 8
@@ -70,7 +70,7 @@ def test_grid_equals_a_plain_loop(vectors):
             if choice["class_weight"]:
                 train = train.withColumn("class_weight", H.balanced_weight(H.class_counts(train)))
             forest = RandomForestClassifier(
-                labelCol="y", numTrees=5, maxDepth=choice["max_depth"] or 30, minInstancesPerNode=choice["min_samples_leaf"],
+                labelCol="y", numTrees=5, maxDepth=choice["max_depth"], minInstancesPerNode=choice["min_samples_leaf"],
                 featureSubsetStrategy="sqrt", seed=C.SEED, cacheNodeIds=True, maxMemoryInMB=1024,
             )
             forest = forest.setWeightCol("class_weight") if choice["class_weight"] else forest
