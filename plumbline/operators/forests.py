@@ -50,7 +50,8 @@ def fit_rows(
     """`y`, `features` and the kept columns of at most `max_rows` rows (and one of each class).
 
     Written to one file in digest order, so a refit meets the same rows in the same order. One
-    pass finds the cut digest of each class, another keeps what is not above it.
+    pass finds the cut digest of each class, another keeps what is not above it. Rows without
+    the key are numbered in a written copy.
     """
     total = sum(counts.values())
     columns = ["y", "features", *keep]
@@ -59,7 +60,7 @@ def fit_rows(
         rows = df.select(*columns, *[c for c in order if c not in columns])
     else:
         if key not in df.columns:
-            raise ValueError(f"{total} rows: the {max_rows} fitted ones are drawn by a row key, and there is no column {key!r}")
+            df = stage(df.select(*columns, F.monotonically_increasing_id().alias(key)), "numbered_rows")
         digest = hash_text(f"fit|{seed}", F.col(key))
         quota = F.greatest(F.lit(1), F.floor(F.col("stratum_n") * F.lit(max_rows / total))).cast("long")
         cuts = cut_digests(df, digest, ["y"], {"cut": quota}).collect()  # a row per class
