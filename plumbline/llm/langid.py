@@ -1,16 +1,20 @@
 """Language identification by interpolated Kneser-Ney character models.
 
 Words (lower case, between white space) are padded with boundary marks and cut to
-5-grams of 12-bit character codes, packed in one long. The cluster counts them per
-language over all training texts and keeps every gram; continuation counts, and totals
+5-grams of 12-bit codes, packed in one long. A character below U+0780 is one code, any other
+one two (its high and low bits, in code ranges of their own), so no two characters share
+codes. The cluster counts the grams per language over all training texts and keeps every one; continuation counts, and totals
 and kinds of contexts, are aggregates of all grams too. Those tables lie in the shared
 folder as sorted arrays per language, order and key range. Tasks look grams up there by
 binary search and read the ranges they need; only the list of ranges is broadcast.
 
 A text gets the language with the lowest cross-entropy per symbol; ties go to the first
-language in order. Cross-entropies of own-language training texts give each language's
-mean and deviation: a text more than `reject` deviations above the mean is marked
-rejected and its score falls. Whole texts are scored, distinct words of a batch once.
+language in order. Rejection is calibrated on texts that a model has not learned: the training
+texts are halved by a hash of the text, so that copies stay together, each half has models of
+its own, and every text is measured by the other half's model of its language. These
+cross-entropies give each language's mean and deviation (a language that one half lacks takes
+those of all); a text more than `reject` deviations above the mean is marked rejected and its
+score falls. Whole texts are scored, distinct words of a batch once.
 
 Edge cases: null texts and texts without a letter are `und` with score 0, and so is
 everything if nothing can be learned; null languages are not learned; repeated rows and
@@ -36,6 +40,9 @@ from plumbline.llm.warc import opened
 from plumbline.session import default_buckets, scratch_folder, stage
 
 ORDER, BITS = 5, 12
+NARROW, LOW_BITS = 0x780, 10  # characters of one code; bits in the second code of others
+HIGH, LOW = NARROW, NARROW + (0x110000 >> LOW_BITS)  # where the codes of high and low bits begin
+WHOLE, HALVES = "\x01*", ("\x010", "\x011")  # model name suffixes: all training texts, and halves of them
 RANGE = 1 << 17  # rows of a sorted array
 HELD = 1 << 27  # bytes of arrays that a task keeps of a folder that cannot be mapped
 DISCOUNT = 0.75
@@ -53,12 +60,19 @@ def split_words(texts: pa.Array) -> pa.ListArray:
 
 
 def grams(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Packed grams of padded words, and the number of grams of each word (letters + 1)."""
+    """Packed grams of padded words, and the number of grams of each word (codes + 1)."""
     sizes = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
     pad = "\0" * (ORDER - 1)
     text = pad.join(["", *words.to_pylist()])
     codes = np.frombuffer((text + pad).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    codes = np.where(codes < 1 << BITS, codes, (codes * 2654435761 >> 20) & ((1 << BITS) - 1))
+    wide = codes >= NARROW
+    if wide.any():
+        place = np.repeat(np.arange(len(sizes)), sizes + ORDER - 1)  # padding stands before each word
+        sizes = sizes + np.bincount(place, wide[: len(place)], len(sizes)).astype(np.int64)
+        twice, second = np.repeat(codes, 1 + wide), np.cumsum(1 + wide)[wide] - 1
+        twice[second - 1] = HIGH + (codes[wide] >> LOW_BITS)
+        twice[second] = LOW + (codes[wide] & ((1 << LOW_BITS) - 1))
+        codes = twice
     packed = np.zeros(len(codes) - ORDER + 1, np.int64)
     for i in range(ORDER):
         packed = packed << BITS | codes[i : i + len(packed)]
@@ -213,8 +227,10 @@ class LanguageModels:
             self.models.append(_orders(own["gram"].to_numpy(), own["n"].to_numpy().astype(float)))
 
     @classmethod
-    def at(cls, places: pd.DataFrame) -> LanguageModels:
-        """Models whose tables lie in the shared folder, from what `stored` returns."""
+    def at(cls, places: pd.DataFrame, suffix: str = "") -> LanguageModels:
+        """Models whose tables lie in the shared folder, from what `stored` returns; of those with a suffix, which they lose."""
+        places = places[places["lang"].str.endswith(suffix)] if len(places) else places
+        places = places.assign(lang=places["lang"].str.slice(0, -len(suffix))) if suffix and len(places) else places
         out = cls(pd.DataFrame({"lang": [], "gram": [], "n": []}))
         out.names = sorted(places["lang"].unique())
         by_part = {key: rows.sort_values("lo") for key, rows in places.groupby(["lang", "part"])}
@@ -278,24 +294,36 @@ class LanguageModels:
 
 def learn(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> LanguageModels:
     """Models of the languages in `docs`, which should be the training rows only."""
-    counted = stage(count_grams(docs, text, lang), "grams")
-    models = LanguageModels.at(stored(kneser_ney(counted)))
+    taught = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    half = F.pmod(F.xxhash64("text"), F.lit(2))
+    label = F.concat("lang", F.when(half == 0, F.lit(HALVES[0])).otherwise(F.lit(HALVES[1])))
+    halves = stage(count_grams(taught.withColumn("lang", label)), "grams")
+    whole = halves.groupBy(F.concat(F.expr(f"left(lang, length(lang) - {len(WHOLE)})"), F.lit(WHOLE)).alias("lang"), "gram").agg(F.sum("n").alias("n"))
+    places = stored(kneser_ney(halves.unionByName(whole)))
+    models = LanguageModels.at(places, WHOLE)
     if models.names:
-        taught = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-        shared = docs.sparkSession.sparkContext.broadcast(models)
+        others = [LanguageModels.at(places, suffix) for suffix in reversed(HALVES)]  # of the other half
+        shared = docs.sparkSession.sparkContext.broadcast(others)
 
         def own(batches):
-            at = {name: i for i, name in enumerate(shared.value.names)}
             for part in chunks(batches, "text", 4_000_000):
-                for value in pc.unique(part.column("lang")):
-                    if value.as_py() in at:
-                        texts = part.column("text").filter(pc.equal(part.column("lang"), value))
-                        x = shared.value.entropies(texts, [at[value.as_py()]])[:, 0]
-                        yield pa.RecordBatch.from_arrays([pa.array([value.as_py()] * len(x), pa.string()), pa.array(x, from_pandas=True)], ["lang", "x"])
-
-        seen = taught.mapInArrow(own, "lang string, x double").where(F.col("x").isNotNull())
-        for r in seen.groupBy("lang").agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("sd"), F.count("x").alias("n")).collect():
-            models.typical[r["lang"]] = (r["mean"], max(r["sd"], 0.05))
+                for k, other in enumerate(shared.value):
+                    at = {name: i for i, name in enumerate(other.names)}
+                    mine = part.filter(pc.equal(part.column("half"), k))
+                    for value in pc.unique(mine.column("lang")).to_pylist():
+                        if value in at:
+                            texts = mine.column("text").filter(pc.equal(mine.column("lang"), value))
+                            x = other.entropies(texts, [at[value]])[:, 0]
+                            yield pa.RecordBatch.from_arrays([pa.array([value] * len(x), pa.string()), pa.array(x, from_pandas=True)], ["lang", "x"])
+
+        seen = taught.select("text", "lang", half.alias("half")).mapInArrow(own, "lang string, x double").where(F.col("x").isNotNull())
+        facts = [F.count("x"), F.sum("x"), F.sum(F.col("x") * F.col("x"))]
+        found = {r[0]: np.array(r[1:]) for r in seen.groupBy("lang").agg(*facts).collect()}
+        if found:
+            every = sum(found.values())
+            for name in models.names:
+                n, total, squares = found.get(name, every)
+                models.typical[name] = (total / n, max(max(squares / n - (total / n) ** 2, 0.0) ** 0.5, 0.05))
     return models
 
 

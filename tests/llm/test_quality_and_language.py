@@ -152,17 +152,44 @@ def test_stored_models_keep_every_gram(spark):
             assert np.allclose(models.log_probability(asked, m), whole.log_probability(asked, m), rtol=1e-12)
 
 
-def test_rejection_is_calibrated_on_all_training_rows(spark):
-    """Each language gets the mean and deviation of its own texts, also with a single document."""
+def test_rejection_is_calibrated_on_texts_not_learned(spark):
+    """Held-out rows are rejected no more often than training rows, beyond sampling error; other languages are."""
+    rows = [(i, prose(i, 60 + i % 50), "en") for i in range(300)] + [(1000 + i, prose(i, 60, FR), "fr") for i in range(100)] + [(2000, "rara avis in terris nigroque simillima cycno", "la")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = L.op9_language_id({"documents": docs}.get).toPandas()
+    tested, learned = out[out["held_out"]], out[~out["held_out"]]
+    assert len(tested) > 60 and tested["rejected"].mean() <= learned["rejected"].mean() + 3 * (0.01 / len(tested)) ** 0.5
+    models = L.learn(docs.where("lang <> 'la'"))
+    foreign = spark.createDataFrame([(0, "zxq vvkk wqjx " * 20), (1, "щука и рак " * 20), (2, prose(900, 80))], "doc_id long, text string")
+    assert [r.language.rejected for r in L.with_language(foreign, models).orderBy("doc_id").collect()] == [True, True, False]
+    assert set(L.learn(docs).typical) == {"en", "fr", "la"}  # one text of a language: it takes what holds for all
+
+
+def test_no_two_characters_share_codes():
     import numpy as np
     import pyarrow as pa
 
-    for doc_id in range(3):
-        rows = [(doc_id, "rare words of one text", "r"), (10, "stone window garden", "x"), (11, "stone river", "x"), (12, None, "x"), (13, "none", None)]
-        models = L.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
-        for m, texts in enumerate((["rare words of one text"], ["stone window garden", "stone river"])):
-            x = models.entropies(pa.array(texts))[:, m]
-            assert models.typical[models.names[m]] == pytest.approx((x.mean(), max(np.std(x), 0.05)))
+    words = ["a", "\u077f", "\u0780", "日", "本", "語", "한", "국", "\U0010ffff", "😀", "日本", "é日", "日é", "a日b本"]
+    packed, sizes = L.grams(pa.array(words))
+    assert sizes.tolist() == [2, 2, 3, 3, 3, 3, 3, 3, 3, 3, 5, 4, 4, 7]
+    ends = np.cumsum(sizes)
+    codes = [tuple(int(g) & 4095 for g in packed[end - n : end]) for n, end in zip(sizes, ends)]
+    assert len(set(codes)) == len(words) and all(c[-1] == 0 and 0 not in c[:-1] for c in codes)
+    wide = np.arange(0x780, 0x110000)
+    high, low = L.HIGH + (wide >> L.LOW_BITS), L.LOW + (wide & 1023)
+    assert high.min() >= L.NARROW and high.max() < L.LOW <= low.min() and low.max() < 1 << L.BITS
+    assert len(np.unique(high << 12 | low)) == len(wide)
+
+
+def test_languages_of_wide_characters(spark):
+    import random
+
+    rng = random.Random(1)
+    ja, ko = "日本語文章言葉山川田中東京大阪新聞電車学校先生", "한국어문장말산강서울부산신문기차학교선생님사람"
+    make = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(3)) for _ in range(40))
+    rows = [(i, make(ja if i % 2 else ko), "ja" if i % 2 else "ko") for i in range(80)]
+    out = L.op9_language_id({"documents": spark.createDataFrame(rows, "doc_id long, text string, lang string")}.get).collect()
+    assert all(r.lang_pred == rows[r.doc_id][2] for r in out if r.held_out)
 
 
 def test_repeated_windows_do_not_depend_on_hash_bits(spark):
