@@ -148,6 +148,22 @@ def _sketches(docs: DataFrame, idf) -> DataFrame:
     return made.groupBy("k").agg(F.min("id").alias("id"), F.any_value("size").alias("size"), F.any_value("bands").alias("bands"), F.any_value("samples").alias("samples"))
 
 
+def _likely(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, a_id, b, b_id) of which at least a share `least` of the samples agree: their texts are worth sending."""
+    for side in "ab":
+        pairs = pairs.join(sketches.select(F.col("k").alias(side), F.col("samples").alias(f"{side}_samples")), side)
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(f"{s}_samples").to_pylist()), np.uint32).reshape(batch.num_rows, -1) for s in "ab")
+                yield batch.filter(pa.array((x == y).mean(1) >= least)).select(["a", "a_id", "b", "b_id"])
+
+    names = ["a", "a_id", "b", "b_id"]
+    kinds = dict(pairs.dtypes)
+    return pairs.select(*names, "a_samples", "b_samples").mapInArrow(run, ", ".join(f"{n} {kinds[n]}" for n in names))
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, idf, threshold: float) -> DataFrame:
     """Pairs (a, a_id, b, b_id) whose whole texts reach the threshold, with the similarity."""
     for side in "ab":
@@ -268,6 +284,8 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, doc_id: st
     spark = docs.sparkSession
     rows = docs.select(text_key(F.col(text)).alias("k"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
     idf = spark.sparkContext.broadcast(frequent_words(docs, text))
+    # six deviations of the samples below the threshold: fewer than 2 pairs at it in 100 million fall below
+    least = threshold - 6 * float(np.sqrt(threshold * (1 - threshold) / (BANDS * ROWS)))
     sketches = stage(_sketches(rows, idf), "sketches")
     members = sketches.select("k", "id", "size", F.posexplode("bands").alias("band", "bucket"))
     heads = members.groupBy("band", "bucket").agg(F.min(F.struct("id", "k")).alias("head"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
@@ -275,12 +293,9 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, doc_id: st
         members.join(heads, ["band", "bucket"]).select("band", "bucket", "k", "id", "size", F.col("head.k").alias("a"), F.col("head.id").alias("a_id")), "stars"
     )
     first = stars.where(F.col("a") != F.col("k")).select("a", "a_id", F.col("k").alias("b"), F.col("id").alias("b_id")).distinct()
-    links = stage(_verified(first, rows, idf, threshold).select("a", "b"), "links")
+    links = stage(_verified(_likely(first, sketches, least), rows, idf, threshold).select("a", "b"), "links")
     roots = components(links)
     rooted = lambda df: df.join(roots.select(F.col("node").alias("k"), F.col("root").alias("_r")), "k", "left").withColumn("root", F.coalesce("_r", "k")).drop("_r")
-    # four deviations below the threshold: of pairs at 0.8 about 1.1 in 10,000 share a band and
-    # still fall below, besides the 2.2 in 10,000 that share none
-    least = threshold - 4 * float(np.sqrt(threshold * (1 - threshold) / (BANDS * ROWS)))
     undecided = stage(_undecided(rooted(stars), sketches, block, least), "undecided")
     if not undecided.isEmpty():
         more = stage(_block_links(undecided, sketches, rows, idf, block, block_bytes, least, threshold), "more")

@@ -105,3 +105,28 @@ def test_components_of_chains_and_stars(spark):
     roots = {r.node: r.root for r in components(spark.createDataFrame(links, "a string, b string")).collect()}
     assert {roots[f"c{i}"] for i in range(41)} == {"c0"}
     assert {roots[f"s{i}"] for i in range(50)} | {roots["hub"]} == {"hub"}
+
+
+def test_measured_recall_at_planted_similarities(spark):
+    """Pairs with words of their own, at similarities just above 0.80, 0.85 and 0.90: at least 99 in 100 are joined."""
+    rng, rows, planted = random.Random(9), [], {}
+    for edits, n in ((4, 150), (3, 100), (2, 100)):
+        for _ in range(n):
+            i = len(rows)
+            words = [f"w{i}x{j}" for j in range(200)]
+            other = list(words)
+            for k, place in enumerate(rng.sample(range(5, 195, 6), edits)):
+                other[place] = f"e{i}x{k}"
+            rows += [(i, " ".join(words)), (i + 1, " ".join(other))]
+            planted[i] = edits
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    idf = N.frequent_words(docs)
+    texts = dict(rows)
+    levels = {e: [N._jaccard(N.weights(texts[i], idf), N.weights(texts[i + 1], idf)) for i in planted if planted[i] == e] for e in (4, 3, 2)}
+    assert all(low <= min(levels[e]) and max(levels[e]) < low + 0.05 for e, low in ((4, 0.8), (3, 0.85), (2, 0.9)))
+    keyed = docs.select("doc_id", N.text_key(F.col("text")).alias("k"))
+    classes = {r.doc_id: r.class_id for r in keyed.join(N.near_duplicates(docs), "k").collect()}
+    for edits, found in levels.items():
+        own = [i for i in planted if planted[i] == edits]
+        assert sum(classes[i + 1] == i for i in own) >= 0.99 * len(own)
+    assert len(set(classes.values())) >= len(planted)
