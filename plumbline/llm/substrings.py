@@ -8,10 +8,12 @@ travel as one packed string each (their words, overlapping the next by span - 1)
 their minimiser's bucket. There the windows are sorted, equal ones stand together, and
 all but the earliest are marked. Marks return as word intervals, one per run of windows.
 
-Windows are told apart by 64 bits of their words inside a bucket of 64 bits. A minimiser
-with more than `hot` super-k-mers is not gathered in one bucket: its windows are dealt by
-(minimiser, window), their earliest places come from a map-side aggregate, and a join
-brings those back. All windows are judged either way.
+Windows of a bucket are sorted by a hash and then compared word by word with the first of
+equal hash; where any differ, those are told apart by their words. A bucket's tables are
+worked through in parts of a bounded number of windows. A minimiser with more than `hot`
+windows is not gathered in one bucket: its windows are dealt by (minimiser, 128-bit hash of
+the words), their earliest places come from a map-side aggregate, and a join brings those
+back. All windows are judged either way.
 
 Edge cases: a null text has no words; a null doc_id counts as the largest; rows that
 share a doc_id have the same places, so a window is not earlier than its own copy there;
@@ -24,14 +26,15 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline.llm.arrow import chunks, sorted_groups
 from plumbline.llm.catalogue import query
 from plumbline.session import stage
 
 SPAN, GRAM = 20, 5
-HOT = 20_000
+HOT = 200_000  # windows of a minimiser that one task sorts
+PART = 500_000  # windows worked on at a time
 LONGEST_RUN = 4096
 BASE, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 LAST_ID = (1 << 63) - 1
@@ -130,7 +133,13 @@ def super_kmers(codes: np.ndarray, sizes: np.ndarray, span: int, gram: int) -> t
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     pid = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID))
-    return docs.select(pid.alias("pid"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
+    th = F.when(F.col(doc_id).isNull(), _null_mark(F.col(text))).otherwise(F.xxhash64(text))
+    return docs.select(pid.alias("pid"), th.alias("th"), F.col(text).alias("text"))
+
+
+def _null_mark(text: Column) -> Column:
+    """Hash of the text of a row without an id, unlike that of a row with the largest id."""
+    return F.xxhash64(F.lit("no id"), text)
 
 
 def _partition(docs: DataFrame, span: int, gram: int) -> DataFrame:
@@ -167,56 +176,94 @@ def _packed(docs: DataFrame, wanted: DataFrame, span: int) -> DataFrame:
     return joined.mapInArrow(run, "pid long, th long, start int, windows int, mini long, n long, packed string")
 
 
-def _windows(table, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Window hashes of packed strings laid end to end, the row and the place in it of each."""
-    words = [p.split(" ") for p in table.column("packed").to_pylist()]
+def _windows(table, span: int) -> tuple[np.ndarray, ...]:
+    """Of packed strings laid end to end: numbers of their words (equal only for equal words), and per
+    window its hash, where its words begin, its row and its place in the row."""
+    number: dict[str, int] = {}
+    words = [[number.setdefault(w, len(number)) for w in p.split(" ")] for p in table.column("packed").to_pylist()]
     sizes = np.array([len(w) for w in words], np.int64)
-    hashes = span_hashes(coded([w for own in words for w in own]), span)
+    ids = np.array([i for own in words for i in own], np.int64)
+    hashes = span_hashes(coded(list(number))[ids], span)
     counts = sizes - span + 1
     row = np.repeat(np.arange(len(words)), counts)
     inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    return hashes[np.repeat(np.cumsum(sizes) - sizes, counts) + inside], row, inside
+    begin = np.repeat(np.cumsum(sizes) - sizes, counts) + inside
+    return ids, hashes[begin], begin, row, inside
+
+
+def _parts(bounds: list[int], windows: np.ndarray, limit: int) -> list[tuple[int, int]]:
+    """Runs of whole groups with at most `limit` windows together (one group at least)."""
+    total = np.append(0, np.cumsum(windows))
+    cuts, start = [], bounds[0]
+    for left, right in zip(bounds, bounds[1:]):
+        if total[right] - total[start] > limit and left > start:
+            cuts.append((start, left))
+            start = left
+    return [*cuts, (start, bounds[-1])]
+
+
+def _first_of_each(ids: np.ndarray, keys: tuple[np.ndarray, ...], begin: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the windows (keys: place, document, hash, minimiser) and for each in it the first with its words."""
+    extra = np.zeros(len(begin), np.int64)
+    while True:
+        place, doc, hashes, mini = keys
+        order = np.lexsort((place, doc, extra, hashes, mini))
+        same = (hashes[order[1:]] == hashes[order[:-1]]) & (mini[order[1:]] == mini[order[:-1]]) & (extra[order[1:]] == extra[order[:-1]])
+        new = np.append(True, ~same)
+        head = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
+        unlike = np.zeros(len(order), bool)
+        for k in range(span):
+            unlike |= ids[begin[order] + k] != ids[begin[head] + k]
+        if not unlike.any():
+            return order, head
+        # windows of one hash but other words: numbered by their words
+        clash = np.isin(head, head[unlike])
+        seen: dict[bytes, int] = {}
+        for i in order[clash]:
+            extra[i] = seen.setdefault(ids[begin[i] : begin[i] + span].tobytes(), len(seen))
 
 
 def _bucket_marks(packed: DataFrame, span: int) -> DataFrame:
     """(key, lo, hi) of words covered by repeated windows; a bucket's windows are sorted in one place."""
 
+    def marks(table: pa.Table) -> pa.RecordBatch:
+        ids, hashes, begin, row, inside = _windows(table, span)
+        pid, th = (table.column(c).to_numpy() for c in KEY)
+        place = table.column("start").to_numpy().astype(np.int64)[row] + inside
+        order, head = _first_of_each(ids, (place, pid[row], hashes, table.column("mini").to_numpy()[row]), begin, span)
+        late = np.zeros(len(order), bool)
+        late[order] = (pid[row[order]] != pid[row[head]]) | (place[order] != place[head])
+        at = np.flatnonzero(late)
+        begins = np.flatnonzero(np.append(True, (np.diff(at) != 1) | (np.diff(row[at]) != 0))) if len(at) else at
+        ends = np.append(begins[1:], len(at)) - 1 if len(at) else at
+        own = row[at[begins]]
+        lo, hi = place[at[begins]], place[at[ends]] + span
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (pid[own], th[own], lo, hi)], [*KEY, "lo", "hi"])
+
     def run(batches):
         for table, bounds in sorted_groups(batches, ["mini"]):
-            hashes, row, inside = _windows(table, span)
-            pid, th = (table.column(c).to_numpy() for c in KEY)
-            start = table.column("start").to_numpy().astype(np.int64)
-            mini = table.column("mini").to_numpy()
-            place = start[row] + inside
-            order = np.lexsort((place, pid[row], hashes, mini[row]))
-            h, m, d, s = hashes[order], mini[row][order], pid[row][order], place[order]
-            new = np.append(True, (h[1:] != h[:-1]) | (m[1:] != m[:-1]))
-            head = np.flatnonzero(new)[np.cumsum(new) - 1]
-            late = np.zeros(len(order), bool)
-            late[order] = (d != d[head]) | (s != s[head])
-            at = np.flatnonzero(late)
-            begins = np.flatnonzero(np.append(True, (np.diff(at) != 1) | (np.diff(row[at]) != 0))) if len(at) else at
-            ends = np.append(begins[1:], len(at)) - 1 if len(at) else at
-            own = row[at[begins]]
-            lo, hi = place[at[begins]], place[at[ends]] + span
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (pid[own], th[own], lo, hi)], [*KEY, "lo", "hi"])
-
-    dealt = packed.select(*KEY, "start", "mini", "packed").repartition("mini").sortWithinPartitions("mini")
+            for start, end in _parts(bounds, table.column("windows").to_numpy(), PART):
+                if end > start:
+                    yield marks(table.slice(start, end - start))
+
+    dealt = packed.select(*KEY, "start", "windows", "mini", "packed").repartition("mini").sortWithinPartitions("mini")
     return dealt.mapInArrow(run, "pid long, th long, lo long, hi long")
 
 
 def _hot_marks(packed: DataFrame, span: int) -> DataFrame:
-    """The same for minimisers with very many super-k-mers: aggregate and join instead of one bucket."""
+    """The same for minimisers with very many windows: aggregate and join instead of one bucket."""
 
     def run(batches):
         for part in chunks(batches, "packed", 2_000_000):
-            table = pa.Table.from_batches([part])
-            hashes, row, inside = _windows(table, span)
-            pid, th, mini = (table.column(c).to_numpy()[row] for c in (*KEY, "mini"))
-            place = table.column("start").to_numpy().astype(np.int64)[row] + inside
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (pid, th, mini, hashes.view(np.int64), place)], [*KEY, "mini", "window", "place"])
-
-    rows = packed.mapInArrow(run, "pid long, th long, mini long, window long, place long")
+            ids, _, begin, row, inside = _windows(pa.Table.from_batches([part]), span)
+            texts = [p.split(" ") for p in part.column("packed").to_pylist()]
+            digests = [xxhash.xxh3_128_digest(" ".join(texts[r][i : i + span])) for r, i in zip(row.tolist(), inside.tolist())]
+            pid, th, mini = (part.column(c).to_numpy()[row] for c in (*KEY, "mini"))
+            place = part.column("start").to_numpy().astype(np.int64)[row] + inside
+            columns = [pa.array(pid), pa.array(th), pa.array(mini), pa.array(digests, pa.binary()), pa.array(place)]
+            yield pa.RecordBatch.from_arrays(columns, [*KEY, "mini", "window", "place"])
+
+    rows = packed.mapInArrow(run, "pid long, th long, mini long, window binary, place long")
     first = rows.groupBy("mini", "window").agg(F.min(F.struct("pid", "place")).alias("first"))
     late = rows.join(first, ["mini", "window"]).where(F.struct("pid", "place") > F.col("first"))
     return late.select(*KEY, F.col("place").alias("lo"), (F.col("place") + span).alias("hi"))
@@ -226,7 +273,8 @@ def repeated_passages(docs: DataFrame, *, span: int = SPAN, gram: int = GRAM, ho
     """(pid, th, cuts): per text with repeats, the word intervals to remove (they may overlap)."""
     rows = _keyed(docs, doc_id, text)
     parts = _partition(rows, span, gram)
-    counted = parts.groupBy("mini").agg(F.count(F.lit(1)).alias("n"), F.max("twice").alias("any_twice")).where((F.col("n") > 1) | F.col("any_twice"))
+    facts = [F.count(F.lit(1)).alias("pieces"), F.sum("windows").alias("n"), F.max("twice").alias("any_twice")]
+    counted = parts.groupBy("mini").agg(*facts).where((F.col("pieces") > 1) | F.col("any_twice"))
     wanted = parts.join(counted.select("mini", "n"), "mini").groupBy(*KEY).agg(F.collect_set(F.struct("start", "windows", "mini", "n")).alias("parts"))
     packed = _packed(rows, stage(wanted, "parts"), span)
     marks = _bucket_marks(packed.where(F.col("n") <= hot), span).union(_hot_marks(packed.where(F.col("n") > hot), span))
@@ -263,9 +311,10 @@ def remove_repeated_passages(docs: DataFrame, **options) -> DataFrame:
             arrays = [part.column("pid"), pa.array(all_words, pa.int64()), pa.array([k for k, _ in kept], pa.int64()), pa.array([k for _, k in kept], pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_words", "n_removed", "kept"])
 
-    joined = rows.join(repeated_passages(docs, **options), KEY, "left").select("pid", "text", "cuts")
+    nameless = (F.col("pid") == LAST_ID) & (F.col("th") == _null_mark(F.col("text")))
+    joined = rows.join(repeated_passages(docs, **options), KEY, "left").select(F.when(~nameless, F.col("pid")).alias("pid"), "text", "cuts")
     out = joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
-    return out.withColumn("doc_id", F.nullif(F.col("doc_id"), F.lit(LAST_ID)).cast(kind))
+    return out.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 SQL = r"""

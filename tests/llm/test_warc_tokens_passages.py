@@ -116,6 +116,39 @@ def test_passages_equal_brute_force(spark, edge_docs, texts_of, hot):
     assert got == brute(texts_of(edge_docs))
 
 
+def test_windows_of_equal_hash_are_compared_by_their_words(monkeypatch):
+    """With four hash values nearly all windows clash; the words decide which are equal."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng, whole = random.Random(3), S.span_hashes
+    texts = [" ".join(rng.choice("abc") for _ in range(60)) for _ in range(30)]
+    monkeypatch.setattr(S, "span_hashes", lambda codes, span: whole(codes, span) & np.uint64(3))
+    ids, hashes, begin, row, inside = S._windows(pa.table({"packed": texts}), 4)
+    order, head = S._first_of_each(ids, (inside, row, hashes, np.zeros(len(row), np.int64)), begin, 4)
+    words = [tuple(texts[r].split()[i : i + 4]) for r, i in zip(row, inside)]
+    first = {}
+    for i in sorted(range(len(words)), key=lambda i: (row[i], inside[i])):
+        first.setdefault(words[i], i)
+    assert {i: h for i, h in zip(order.tolist(), head.tolist())} == {i: first[w] for i, w in enumerate(words)}
+
+
+def test_groups_are_worked_through_in_bounded_parts():
+    import numpy as np
+
+    assert S._parts([0, 2, 3, 7], np.array([4, 4, 9, 1, 1, 1, 1]), 10) == [(0, 2), (2, 3), (3, 7)]
+    assert S._parts([0, 2, 3, 7], np.array([4, 4, 1, 1, 1, 1, 1]), 100) == [(0, 7)]
+    assert S._parts([0, 5], np.full(5, 99), 10) == [(0, 5)]
+
+
+def test_largest_id_and_null_id(spark):
+    text = prose(5, 50)
+    rows = [(S.LAST_ID, text), (None, text), (3, text), (None, "short"), (S.LAST_ID, "short")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, S.remove_repeated_passages(docs).collect()), key=str)
+    assert got == brute(rows)
+
+
 def test_passages_shared_shifted_and_periodic(spark):
     shared = prose(900, 60).split()
     rows = [(i, prose(i, 30) + " " + " ".join(shared[i % 7 : 60 - i % 5]) + "  " + prose(1000 + i, 25)) for i in range(40)]
