@@ -3,10 +3,11 @@
 `token_pieces` encodes every document once (documents longer than a sequence are cut);
 only narrow rows of lengths go on. Pieces are dealt by hash to blocks of about
 `block_rows`; each block is one packing problem, solved on several islands. An island
-holds a small population of packings. Crossover injects whole well-filled bins of one
-parent into another, drops the bins that held the same pieces, and puts displaced pieces
-back by best fit. Between epochs each island's best packing migrates to the next island
-of its block. A block that meets its lower bound (total length / capacity) stops early.
+holds a small population of packings, which starts from pieces in random orders. Crossover
+injects whole well-filled bins of one parent into another, drops the bins that held the same
+pieces, and puts displaced pieces back by best fit. Between epochs each island's best packing
+migrates to the next island of its block. A block that meets its lower bound (total length /
+capacity) stops early; one that ends above it takes best-fit-decreasing if that is better.
 
 Blocks are independent tasks of bounded size, so memory does not depend on the corpus;
 each block gives away less than one sequence. Epochs are written to the shared folder.
@@ -128,93 +129,97 @@ def token_pieces(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, e
 # --- one block ---------------------------------------------------------------------
 
 
-def best_fit(order: np.ndarray, lengths: np.ndarray, capacity: int, bins: list[list[int]]) -> list[list[int]]:
-    """Put pieces one by one where the least room is left; open a bin if none has room."""
+Packing = tuple[np.ndarray, list[int]]  # bin of each piece, and the bins' loads
+
+
+def best_fit(order: np.ndarray, lengths: np.ndarray, capacity: int, start: Packing | None = None) -> Packing:
+    """Put the pieces in `order` one by one where the least room is left; open a bin if none has room."""
+    number, loads = (np.full(len(lengths), -1), []) if start is None else (start[0].copy(), list(start[1]))
     rooms: dict[int, list[int]] = {}
     mask = 0
-    for b, items in enumerate(bins):
-        room = capacity - int(sum(lengths[i] for i in items))
-        rooms.setdefault(room, []).append(b)
-        mask |= 1 << room
-    for i in order:
-        size = int(lengths[i])
+    for b, load in enumerate(loads):
+        if load < capacity:
+            rooms.setdefault(capacity - load, []).append(b)
+            mask |= 1 << capacity - load
+    placed = []
+    for size in lengths[order].tolist():
         fitting = mask >> size
         if fitting:
             room = size + (fitting & -fitting).bit_length() - 1
-            b = rooms[room].pop()
-            if not rooms[room]:
-                mask &= ~(1 << room)
-            bins[b].append(int(i))
+            own = rooms[room]
+            b = own.pop()
+            if not own:
+                mask ^= 1 << room
+            loads[b] += size
         else:
-            room, b = capacity, len(bins)
-            bins.append([int(i)])
-        rooms.setdefault(room - size, []).append(b)
-        mask |= 1 << (room - size)
-    return bins
+            room, b = capacity, len(loads)
+            loads.append(size)
+        placed.append(b)
+        if room > size:
+            rooms.setdefault(room - size, []).append(b)
+            mask |= 1 << room - size
+    number[order] = placed
+    return number, loads
 
 
-def _fitness(bins, lengths) -> tuple[int, float]:
+def _fitness(packing: Packing) -> tuple[int, float]:
     """Fewer bins are better; then fuller ones."""
-    return -len(bins), float(sum(float(lengths[b].sum()) ** 2 for b in map(np.array, bins)))
-
-
-def _cross(a, b, lengths, capacity, rng):
-    """Inject about half of b's well-filled bins into a, repair by best fit."""
-    loads = np.array([lengths[x].sum() for x in map(np.array, b)])
-    good = np.flatnonzero(loads >= np.quantile(loads, 0.3))
-    chosen = [list(b[k]) for k in good[rng.random(len(good)) < 0.5]]
-    taken = np.zeros(len(lengths), dtype=bool)
-    for items in chosen:
-        taken[items] = True
-    kept, loose = [], []
-    for items in a:
-        hit = taken[items]
-        if hit.any():
-            loose.extend(np.array(items)[~hit].tolist())
-        else:
-            kept.append(list(items))
-    loose.sort(key=lambda i: -lengths[i])
-    return best_fit(np.array(loose, dtype=int), lengths, capacity, kept + chosen)
-
-
-def _mutate(a, lengths, capacity, rng):
-    """Dissolve the emptiest bin and a few others; refill in a random order."""
-    loads = np.array([lengths[x].sum() for x in map(np.array, a)])
-    drop = {int(loads.argmin()), *map(int, rng.integers(0, len(a), max(1, len(a) // 50)))}
-    loose = np.array([i for k in drop for i in a[k]])
-    rng.shuffle(loose)
-    loose = loose[np.argsort(-lengths[loose] * rng.uniform(0.8, 1.2, len(loose)))]
-    return best_fit(loose, lengths, capacity, [list(x) for k, x in enumerate(a) if k not in drop])
-
-
-def evolve(lengths: np.ndarray, seeds: list[list[list[int]]], capacity: int, rng, population: int, generations: int):
-    """The best packing of a population started from `seeds` and noisy best-fit-decreasing."""
+    loads = np.array(packing[1], float)
+    return -len(loads), float(loads @ loads)
+
+
+def _cross(a: Packing, b: Packing, lengths: np.ndarray, capacity: int, rng) -> Packing:
+    """Inject about half of b's well-filled bins into a: a's bins with the same pieces go, and
+    their other pieces are put back by best fit."""
+    loads_a, loads_b = np.array(a[1]), np.array(b[1])
+    chosen = (loads_b >= np.quantile(loads_b, 0.3)) & (rng.random(len(loads_b)) < 0.5)
+    taken = chosen[b[0]]
+    hit = np.zeros(len(loads_a), bool)
+    hit[a[0][taken]] = True
+    place_a, place_b = np.cumsum(~hit) - 1, np.cumsum(chosen) - 1 + (~hit).sum()
+    number = np.where(taken, place_b[b[0]], np.where(hit[a[0]], -1, place_a[a[0]]))
+    loose = np.flatnonzero(number < 0)
+    loads = [*loads_a[~hit].tolist(), *loads_b[chosen].tolist()]
+    return best_fit(loose[np.argsort(-lengths[loose], kind="stable")], lengths, capacity, (number, loads))
+
+
+def _mutate(a: Packing, lengths: np.ndarray, capacity: int, rng) -> Packing:
+    """Dissolve the emptiest bin and a few others; refill, roughly the longest pieces first."""
+    loads = np.array(a[1])
+    drop = np.zeros(len(loads), bool)
+    drop[[loads.argmin(), *rng.integers(0, len(loads), max(1, len(loads) // 50))]] = True
+    number = np.where(drop[a[0]], -1, (np.cumsum(~drop) - 1)[a[0]])
+    loose = np.flatnonzero(number < 0)
+    order = loose[np.argsort(-lengths[loose] * rng.uniform(0.8, 1.2, len(loose)), kind="stable")]
+    return best_fit(order, lengths, capacity, (number, loads[~drop].tolist()))
+
+
+def evolve(lengths: np.ndarray, seeds: list[Packing], capacity: int, rng, population: int, generations: int) -> Packing:
+    """The best packing of a population that starts from `seeds`, or from pieces in random orders."""
     bound = -(-int(lengths.sum()) // capacity)
-    people = [s for s in seeds if s]
-    if not people:
-        people = [best_fit(np.argsort(-lengths, kind="stable"), lengths, capacity, [])]
-    if min(map(len, people)) > bound:
-        while len(people) < population:
-            noisy = np.argsort(-lengths * rng.uniform(0.9, 1.1, len(lengths)), kind="stable")
-            people.append(best_fit(noisy, lengths, capacity, []))
-        scored = sorted(((_fitness(p, lengths), p) for p in people), key=lambda x: x[0], reverse=True)
-        for _ in range(generations):
-            if len(scored[0][1]) <= bound:
-                break
-            x, y = sorted(rng.integers(0, len(scored), 2))
-            child = _mutate(_cross(scored[x][1], scored[y][1], lengths, capacity, rng), lengths, capacity, rng)
-            scored = sorted([*scored, (_fitness(child, lengths), child)], key=lambda s: s[0], reverse=True)[:population]
-        return scored[0][1]
-    return min(people, key=len)
-
-
-def _as_bins(numbers: np.ndarray) -> list[list[int]]:
-    order = np.argsort(numbers, kind="stable")
-    cuts = np.flatnonzero(np.diff(numbers[order])) + 1
-    return [part.tolist() for part in np.split(order, cuts)]
-
-
-def _epoch(items: DataFrame, islands: int, capacity: int, population: int, generations: int, epoch: int) -> DataFrame:
+    people = list(seeds)
+    while len(people) < population:
+        mate = _mutate(seeds[len(people) % len(seeds)], lengths, capacity, rng) if seeds else best_fit(rng.permutation(len(lengths)), lengths, capacity)
+        people.append(mate)
+    scored = sorted(((_fitness(p), i, p) for i, p in enumerate(people)), key=lambda x: x[:2], reverse=True)
+    for n in range(generations):
+        if len(scored[0][2][1]) <= bound:
+            break
+        x, y = rng.integers(0, len(scored), 2)
+        child = _mutate(_cross(scored[x][2], scored[y][2], lengths, capacity, rng), lengths, capacity, rng)
+        scored = sorted([*scored, (_fitness(child), len(people) + n, child)], key=lambda s: s[:2], reverse=True)[:population]
+    return scored[0][2]
+
+
+def settled(best: Packing, lengths: np.ndarray, capacity: int) -> Packing:
+    """The packing, or best-fit-decreasing where that needs fewer bins."""
+    if len(best[1]) <= -(-int(lengths.sum()) // capacity):
+        return best
+    plain = best_fit(np.argsort(-lengths, kind="stable"), lengths, capacity)
+    return plain if len(plain[1]) < len(best[1]) else best
+
+
+def _epoch(items: DataFrame, islands: int, capacity: int, population: int, generations: int, epoch: int, last: bool) -> DataFrame:
     """(row, block, island, bin, bins): each island's best packing."""
 
     def run(key, group: pd.DataFrame) -> pd.DataFrame:
@@ -224,12 +229,11 @@ def _epoch(items: DataFrame, islands: int, capacity: int, population: int, gener
         seeds = []
         if group["elites"].iloc[0] is not None:
             elites = np.stack(group["elites"].to_numpy())
-            seeds = [_as_bins(elites[:, k]) for k in (island, (island - 1) % islands)]
-        bins = evolve(lengths, seeds, capacity, np.random.default_rng([block, island, epoch]), population, generations)
-        number = np.empty(len(group), dtype=np.int32)
-        for b, members in enumerate(bins):
-            number[members] = b
-        return pd.DataFrame({"row": group["row"], "block": block, "island": island, "bin": number, "bins": len(bins)})
+            numbers = [elites[:, k] for k in (island, (island - 1) % islands)]
+            seeds = [(n.astype(np.int64), np.bincount(n, lengths).astype(np.int64).tolist()) for n in numbers]
+        best = evolve(lengths, seeds, capacity, np.random.default_rng([block, island, epoch]), population, generations)
+        number, loads = settled(best, lengths, capacity) if last else best
+        return pd.DataFrame({"row": group["row"], "block": block, "island": island, "bin": number.astype(np.int32), "bins": len(loads)})
 
     dealt = items.withColumn("island", F.explode(F.array(*map(F.lit, range(islands)))))
     return dealt.groupBy("block", "island").applyInPandas(run, "row long, block long, island int, bin int, bins int")
@@ -250,7 +254,7 @@ def pack(
     items = pieces.select("row", "length", F.pmod(F.xxhash64("row"), F.lit(blocks)).alias("block"))
     state = items.withColumn("elites", F.lit(None).cast("array<int>"))
     for epoch in range(epochs):
-        best = stage(_epoch(state, islands, capacity, population, generations, epoch), f"epoch{epoch}")
+        best = stage(_epoch(state, islands, capacity, population, generations, epoch, epoch + 1 == epochs), f"epoch{epoch}")
         if epoch + 1 < epochs:
             slots = [F.max(F.when(F.col("island") == k, F.col("bin"))) for k in range(islands)]
             state = items.join(best.groupBy("row").agg(F.array(*slots).alias("elites")), "row")
