@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler, VectorSlicer
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
 from plumbline.functions import number
-from plumbline.operators.ordered import collect_quantiles
-from plumbline.session import default_buckets
+from plumbline.operators.ordered import collect_quantiles, hashed_rank
+from plumbline.session import default_buckets, stage
 
 
 def feature_types(df: DataFrame, exclude: Sequence[str] = ()) -> tuple[list[str], list[str]]:
@@ -53,19 +53,34 @@ def split_features_label(df: DataFrame, target: str = "target") -> DataFrame:
 
 @dataclass(frozen=True)
 class Preprocessor:
-    """Fitted numbers: a handful per numeric feature, the levels per category."""
+    """Fitted numbers: a handful per numeric feature, the levels per category.
+
+    `levels` holds those of features with few levels. Features in `wide` (with their number
+    of levels) keep theirs in the written table `level_table` (feature, level, index, n):
+    it is joined to the rows, never gathered. Their slots come last in the vectors.
+    """
 
     medians: Mapping[str, float]
     means: Mapping[str, float]
     scales: Mapping[str, float]
     modes: Mapping[str, str]
     levels: Mapping[str, Sequence[str]]
+    wide: Mapping[str, int] = field(default_factory=dict)
+    level_table: DataFrame | None = None
 
     @property
     def names(self) -> list[str]:
-        """Output names in vector order."""
+        """Output names in vector order, without the slots of wide features (see `wide_names`)."""
         return [f"num__{c}" for c in self.medians] + [f"cat__{c}_{v}" for c, vs in self.levels.items() for v in vs]
 
+    def wide_names(self) -> DataFrame:
+        """(slot, name) of the wide features' vector slots."""
+        start, base = len(self.names), F.lit(None).cast("long")
+        for c, n in self.wide.items():
+            base = F.when(F.col("feature") == c, F.lit(start)).otherwise(base)
+            start += n
+        return self.level_table.select((base + F.col("index")).alias("slot"), F.concat(F.lit("cat__"), "feature", F.lit("_"), "level").alias("name"))
+
     def imputed(self, df: DataFrame) -> DataFrame:
         filled = {c: F.coalesce(number(F.col(c)), F.lit(m)) for c, m in self.medians.items()}
         filled.update({c: F.coalesce(F.col(c).cast("string"), F.lit(m)) for c, m in self.modes.items()})
@@ -101,11 +116,18 @@ class Preprocessor:
         unknown level, is dropped: wide categories cost one sparse entry per row.
         """
         done = self.scaled(df)
-        cats = list(self.levels)
+        narrow = [c for c in self.levels if c not in self.wide]
+        cats = [*narrow, *self.wide]
         inputs = [f"num__{c}" for c in self.medians]
         extra: list[str] = []
         if cats:
-            for c in cats:
+            for c, n in self.wide.items():
+                # The size of the encoding stands in the column's metadata, so the encoder reads no rows.
+                kind = {"ml_attr": {"type": "nominal", "name": f"{c}__index", "num_vals": n + 1}}
+                table = self.level_table.where(F.col("feature") == c).select(F.col("level").alias(c), F.col("index").alias("__found"))
+                index = F.coalesce("__found", F.lit(n)).cast("double").alias(f"{c}__index", metadata=kind)
+                done = done.join(table, c, "left").select(*done.columns, index)
+            for c in narrow:
                 # One model per column: label arrays of unequal length cannot share one.
                 indexer = StringIndexerModel.from_labels(list(self.levels[c]), c, f"{c}__index", handleInvalid="keep")
                 done = indexer.transform(done)
@@ -139,13 +161,14 @@ def fit_preprocessor(
     df: DataFrame,
     numeric: Sequence[str],
     categorical: Sequence[str] = (),
-    max_levels: int = 100_000,
+    max_levels: int = 1_000,
     digits: int | None = None,
 ) -> Preprocessor:
     """Medians, population mean and deviation after imputation, modes and levels.
 
-    Levels become columns of the output, so they come to the driver; more than
-    `max_levels` of them raise an error rather than being cut.
+    The driver gets the levels of features with at most `max_levels` of them (in order), and
+    one row for any other feature, whose levels are numbered in a written table by the order of
+    their hashes.
     """
     medians: dict[str, float] = {}
     means: dict[str, float] = {}
@@ -185,14 +208,20 @@ def fit_preprocessor(
             .groupBy("feature", "level")
             .agg(F.count(F.lit(1)).alias("n"))
         )
-        rows = counted.limit(max_levels + 1).collect()
-        if len(rows) > max_levels:
-            raise ValueError(f"more than {max_levels} categories: encode such features before")
-        for r in sorted(rows, key=lambda r: (r["feature"], -r["n"], r["level"])):
-            modes.setdefault(r["feature"], r["level"])
-            levels[r["feature"]].append(r["level"])
+        counted = stage(counted, "levels")
+        best = F.min(F.struct((-F.col("n")).alias("n"), "level"))["level"]  # ties: the smallest level
+        facts = {r["feature"]: r for r in counted.groupBy("feature").agg(F.count(F.lit(1)).alias("levels"), best.alias("mode")).collect()}
         for c in categorical:
-            if c not in modes:
+            if c not in facts:
                 raise ValueError(f"feature {c!r} has no values to impute from")
-            levels[c].sort()
+            modes[c] = facts[c]["mode"]
+        wide = {c: facts[c]["levels"] for c in categorical if facts[c]["levels"] > max_levels}
+        for r in counted.where(~F.col("feature").isin(list(wide))).select("feature", "level").collect():
+            levels[r["feature"]].append(r["level"])
+        for own in levels.values():
+            own.sort()
+        if wide:
+            order = hashed_rank(counted.where(F.col("feature").isin(list(wide))), F.md5(F.col("level").cast("binary")), ["feature"])
+            table = stage(order.select("feature", "level", (F.col("rank_no") - 1).cast("long").alias("index"), "n"), "level_table")
+            return Preprocessor(medians, means, scales, modes, levels, wide, table)
     return Preprocessor(medians, means, scales, modes, levels)
