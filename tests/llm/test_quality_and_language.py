@@ -277,3 +277,46 @@ def test_learned_rules_equal_plain_covering(spark):
     table = spark.createDataFrame([(k, *[c[n] for n in R.COUNTS], y) for k, c, y in rows], "doc_id long, " + ", ".join(f"{n} long" for n in R.COUNTS) + ", label int")
     learned = [[(t.name, t.above, pytest.approx(t.threshold)) for t in rule] for rule in R.learn_rules(table)]
     assert learned and learned == plain_rules(rows)
+
+
+def test_quality_scores_equal_a_plain_discriminant(spark):
+    """Means, covariances, shrinkage, densities and the calibrated cut, written out in numpy on the same rows."""
+    import numpy as np
+
+    docs, labels = corpus(spark)
+    texts, known = ({r[0]: r[1] for r in df.collect()} for df in (docs, labels))
+    x = {i: np.array(Q.statistics(t)) for i, t in texts.items()}
+    taught = [i for i in texts if not held(i)]
+    own = [np.array([x[i] for i in taught if known[i] == c]) for c in (0, 1)]
+    every = np.vstack(own)
+    center, scale = every.mean(0), np.sqrt(np.maximum((every**2).mean(0) - every.mean(0) ** 2, 1e-9))
+    parts = []
+    for rows in own:
+        z = (rows - center) / scale
+        cov = np.cov(z.T, bias=True)
+        cov = 0.9 * cov + 0.1 * max(np.trace(cov) / len(cov), 1e-3) * np.eye(len(cov))
+        parts.append((z.mean(0), np.linalg.inv(cov), np.log(len(rows) / len(every)) - 0.5 * np.linalg.slogdet(cov)[1]))
+
+    def evidence(v):
+        z = (v - center) / scale
+        logs = [const - 0.5 * (z - mean) @ inverse @ (z - mean) for mean, inverse, const in parts]
+        return np.arcsinh(logs[1] - logs[0])
+
+    steps = {i: np.floor(evidence(x[i]) / Q.STEP) for i in taught}
+    edges = sorted(set(steps.values()))
+    edges.append(edges[-1] + 1)
+    wrong = [sum((known[i] == 1 and steps[i] < e) or (known[i] == 0 and steps[i] >= e) for i in taught) for e in edges]
+    best = int(np.argmin(wrong))
+    below = edges[best - 1] + 1 if best else edges[0]
+    offset = np.log(Q.KEEP / (1 - Q.KEEP)) - Q.STEP * (below + edges[best]) / 2
+    for r in Q.op4_quality_classifier({"documents": docs, "labels": labels}.get).collect():
+        assert r.score == pytest.approx(1 / (1 + np.exp(-evidence(x[r.doc_id]) - offset)), abs=1e-6)
+        assert r.predicted == int(r.score >= 0.7)
+
+
+def test_equal_texts_have_equal_scores(spark):
+    docs, labels = corpus(spark, 60)
+    twice = docs.unionByName(docs.withColumn("doc_id", docs.doc_id + 10_000))
+    scores = {}
+    for r in Q.with_quality(twice, Q.learn(docs, labels)).collect():
+        assert scores.setdefault(r.text, r.score) == r.score
