@@ -45,6 +45,7 @@ HEADLINE = (
     "x01_partial_dependence",
     "x05_explained_errors",
     "h01_logistic_regression",
+    "h02_random_forest",
 )
 
 
