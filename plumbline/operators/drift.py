@@ -75,11 +75,13 @@ def fit_reference(
     probs = [k / bins for k in range(bins + 1)]
     found = collect_quantiles(reference, numeric, probs, cuts)
 
-    def edges(q: Sequence[float]) -> list[float]:
-        inner = q[1:-1] if digits is None else [round(x, digits) for x in q[1:-1]]
-        return sorted({q[0], *inner, q[-1]}) if q else []
+    return ReferenceProfile(cuts, {f: distinct_edges(found.get(f, []), digits) for f in numeric})
 
-    return ReferenceProfile(cuts, {f: edges(found.get(f, [])) for f in numeric})
+
+def distinct_edges(quantiles: Sequence[float], digits: int | None = None) -> list[float]:
+    """Ascending edges without repetition; inner ones rounded if digits are given."""
+    inner = quantiles[1:-1] if digits is None else [round(x, digits) for x in quantiles[1:-1]]
+    return sorted({quantiles[0], *inner, quantiles[-1]}) if quantiles else []
 
 
 def _reference_only(reference: DataFrame, columns: Sequence[str], id_type: str = "bigint") -> DataFrame:
@@ -130,8 +132,15 @@ def numeric_drift(
     reference: DataFrame, windows: DataFrame, profile: ReferenceProfile, bins: int = C.PSI_BINS
 ) -> DataFrame:
     """(window_id, scenario, feature, n_ref, n_cur, ks, psi) of the profiled features."""
-    features = list(profile.edges)
-    counts = _numeric_counts(_numeric_cells(_stack(reference, windows, features), profile))
+    stacked = _stack(reference, windows, list(profile.edges))
+    return numeric_drift_of_counts(_numeric_counts(_numeric_cells(stacked, profile)), profile, bins)
+
+
+def numeric_drift_of_counts(counts: DataFrame, profile: ReferenceProfile, bins: int = C.PSI_BINS) -> DataFrame:
+    """As `numeric_drift`, from counted values (is_ref, window_id, scenario, feature, bucket, bin, value, n).
+
+    A null value with n = 0 keeps a (window, feature) without values in the result.
+    """
     is_ref = F.col("is_ref")
     ref_n = F.when(is_ref, F.col("n")).otherwise(F.lit(0))
 
@@ -194,8 +203,10 @@ def numeric_drift(
         F.sum("n_cur").over(mine).alias("n_cur"),
     ).where((F.col("head") == 0) & ~is_ref)
     ref_at = "CASE WHEN ref_last.v = value THEN ref_last.n ELSE 0 END"
-    at_value = "abs(ref_upto / double(n_ref) - cur_upto / double(n_cur))"
-    before = f"abs((ref_upto - {ref_at}) / double(n_ref) - (cur_upto - n) / double(n_cur))"
+    # Without a reference value there is no distance: null, and 0 in the result.
+    n_ref, n_cur = "double(nullif(n_ref, 0))", "double(nullif(n_cur, 0))"
+    at_value = f"abs(ref_upto / {n_ref} - cur_upto / {n_cur})"
+    before = f"abs((ref_upto - {ref_at}) / {n_ref} - (cur_upto - n) / {n_cur})"
     # First per bin, then per feature: few aggregates touch the many rows.
     per_bin = placed.groupBy(*WINDOW, "feature", "bin").agg(
         F.max("n_ref").alias("n_ref"),
@@ -288,7 +299,12 @@ def _levels(df: DataFrame, keys: Sequence[str], features: Sequence[str]) -> Data
 
 
 def categorical_drift(reference: DataFrame, windows: DataFrame, features: Sequence[str]) -> DataFrame:
-    """(window_id, scenario, feature, levels, chi2, df, psi) over the union of levels.
+    """(window_id, scenario, feature, levels, chi2, df, psi) over the union of levels."""
+    return categorical_drift_of_counts(_levels(reference, [], features), _levels(windows, WINDOW, features))
+
+
+def categorical_drift_of_counts(reference: DataFrame, windows: DataFrame) -> DataFrame:
+    """As `categorical_drift`, from counts (feature, level, n) and (window_id, scenario, feature, level, n).
 
     Null is the level 'missing'. Two levels get the continuity correction. A window is
     joined to the reference only on the levels that it has: what a level missing from it
@@ -297,11 +313,11 @@ def categorical_drift(reference: DataFrame, windows: DataFrame, features: Sequen
     """
     floor = double(C.PSI_FLOOR)
     alone = f"({floor} - greatest(r / nr, {floor})) * ln({floor} / greatest(r / nr, {floor}))"
-    ref = _levels(reference, [], features).selectExpr("feature", "level", "double(n) AS r")
+    ref = reference.selectExpr("feature", "level", "double(n) AS r")
     sizes = ref.groupBy("feature").agg(F.sum("r").alias("nr"), F.count(F.lit(1)).alias("ref_levels"), F.expr("sum(1D / r)").alias("ref_inverse"))
     alone_sums = ref.join(sizes, "feature").groupBy("feature").agg(F.expr(f"sum({alone})").alias("ref_alone"))
     ref_sums = sizes.join(alone_sums, "feature")
-    cur = _levels(windows, WINDOW, features).selectExpr(*WINDOW, "feature", "level", "double(n) AS c")
+    cur = windows.selectExpr(*WINDOW, "feature", "level", "double(n) AS c")
     cur_sizes = cur.groupBy(*WINDOW, "feature").agg(F.sum("c").alias("nc"))
     pairs = cur_sizes.join(ref_sums, "feature")
     table = cur.join(ref, ["feature", "level"], "left").join(pairs, [*WINDOW, "feature"]).withColumn("shared", F.col("r").isNotNull())
@@ -353,14 +369,31 @@ def drift_audit(
 
     `windows` has window_id, scenario and the features; `reference` the features.
     """
-    parts = []
     if numeric:
         profile = profile or fit_reference(reference, numeric, windows)
-        table = numeric_drift(reference, windows, profile)
+    return audit_table(
+        numeric_drift(reference, windows, profile) if numeric else None,
+        categorical_drift(reference, windows, categorical) if categorical else None,
+        dataset,
+        alpha,
+        psi_alert,
+    )
+
+
+def audit_table(
+    numeric: DataFrame | None,
+    categorical: DataFrame | None,
+    dataset: str = "dataset",
+    alpha: float = C.ALPHA,
+    psi_alert: float = C.PSI_ALERT,
+) -> DataFrame:
+    """The drift audit table of the results of `numeric_drift` and `categorical_drift`."""
+    parts = []
+    if numeric is not None:
         known = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
         p = F.when(known, kolmogorov_upper_tail("ks", "n_ref", "n_cur")).otherwise(F.lit(1.0))
         parts.append(
-            table.select(
+            numeric.select(
                 *WINDOW,
                 "feature",
                 F.lit("numeric").alias("feature_type"),
@@ -370,10 +403,9 @@ def drift_audit(
                 F.col("psi").alias("effect_size"),
             )
         )
-    if categorical:
-        table = categorical_drift(reference, windows, categorical)
+    if categorical is not None:
         parts.append(
-            table.select(
+            categorical.select(
                 *WINDOW,
                 "feature",
                 F.lit("categorical").alias("feature_type"),

@@ -8,6 +8,7 @@ from plumbline import constants as C
 from plumbline.functions import tidy
 from plumbline.operators import drift as D
 from plumbline.operators import retrain as R
+from plumbline.operators import states as S
 from plumbline.plans.catalogue import query
 from plumbline.plans.measured import RECORD, record_sql, tidy_sql
 from plumbline.plans.views import (
@@ -20,6 +21,7 @@ from plumbline.plans.views import (
     rnd,
     scored,
 )
+from plumbline.session import scratch_folder
 
 PROBS = [k / 10 for k in range(11)]
 
@@ -263,6 +265,60 @@ def _(t):
     return table.select("window_id", "feature", *[tidy(F.col(c)).alias(c) for c in STATS])
 
 
+def monthly_states(t):
+    """States of the lines per month, written in two runs as a scheduled job would."""
+    lines = t("lineitem")
+    path = scratch_folder(lines.sparkSession, "line-states")
+    later = F.col("l_shipdate") >= F.lit("1998-01-01").cast("date")
+    for part in (~later, later):
+        month = F.trunc("l_shipdate", "month")
+        S.write_states(S.period_states(lines.where(part), month, LINE_NUMERIC, LINE_CATEGORICAL), path)
+    return S.read_states(lines.sparkSession, path)
+
+
+def state_audit(states, windows):
+    """Windows of (window_id, period) against the months of the reference year."""
+    year = F.year("period")
+    reference = states.select("period").distinct().where(year == REFERENCE_YEAR)
+    windows = windows.withColumn("scenario", F.concat(F.lit("y"), F.col("window_id").cast("string")))
+    return S.drift_audit_of_states(states, reference, windows, dataset="lines", digits=9)
+
+
+@query(
+    "k08_audit_from_states",
+    f"""WITH {AUDIT_SQL} SELECT dataset, window_id, scenario, feature, feature_type, detector, {tidy_sql(STATS)}, drift_flag FROM flagged""",
+)
+def _(t):
+    """The flagship audit again, from counted states of months instead of rows."""
+    states = monthly_states(t)
+    months = states.select("period").distinct().where(F.year("period") > REFERENCE_YEAR)
+    table = state_audit(states, months.select(F.year("period").alias("window_id"), "period"))
+    return table.select(*[tidy(F.col(c)).alias(c) if c in STATS else F.col(c) for c in C.DRIFT_COLUMNS])
+
+
+HALF = "CAST(2 * year({d}) + CASE WHEN month({d}) > 6 THEN 1 ELSE 0 END AS INT)"
+ROLLING = f"""SELECT CAST(0 AS INT) AS window_id, * FROM lineitem WHERE year(l_shipdate) = {REFERENCE_YEAR}
+  UNION ALL SELECT {HALF.format(d='l_shipdate')} + CAST(g.k AS INT), l.* FROM lineitem l, range(0, 2) g(k)
+  WHERE {HALF.format(d='l_shipdate')} + g.k >= {2 * REFERENCE_YEAR + 2}"""
+
+
+@query(
+    "k08_rolling_audit",
+    f"""WITH {numeric_sql(ROLLING, LINE_NUMERIC, ref='0')}, {chi2_sql(ROLLING, LINE_CATEGORICAL, '0')}
+    SELECT window_id, feature, {rnd('ks')} AS statistic, {rnd('p_value')} AS p_value, {rnd('psi')} AS effect_size
+    FROM ks_p JOIN psi USING (window_id, feature)
+    UNION ALL SELECT window_id, feature, {rnd('statistic')}, {rnd('p_value')}, {rnd('psi')} FROM chi""",
+)
+def _(t):
+    """Trailing years that end with every half-year: windows overlap, states are counted once."""
+    states = monthly_states(t)
+    half = F.expr(HALF.format(d="period"))
+    months = states.select("period").distinct()
+    windows = months.select("period", F.explode(F.array(half, half + 1)).alias("window_id"))
+    table = state_audit(states, windows.where(F.col("window_id") >= 2 * REFERENCE_YEAR + 2))
+    return table.select("window_id", "feature", *[tidy(F.col(c)).alias(c) for c in STATS])
+
+
 # Quality: the fixed score, its three variants as models, 1995 as the baseline.
 QUALITY_SQL = f"""{record_sql('window_id, variant', 'window_id, variant')},
 base AS (SELECT variant, f1 AS base_f1, expected_cost AS base_cost FROM record WHERE window_id = {REFERENCE_YEAR}),

@@ -115,6 +115,14 @@ def test_empty_feature_of_a_window_is_no_drift(spark):
     assert rows["b"]["drift_flag"] is False
 
 
+def test_feature_that_the_reference_lacks_is_no_drift(spark):
+    ref = frame(spark, a=[1.0, 2.0, 3.0, 4.0] * 10).withColumn("b", F.lit(None).cast("double"))
+    cur = frame(spark, a=[1.0, 2.0], b=[7.0, 9.0]).withColumns({"window_id": F.lit(1), "scenario": F.lit("s")})
+    rows = {r["feature"]: r for r in D.drift_audit(ref, cur, ["a", "b"]).collect()}
+    assert (rows["b"]["statistic"], rows["b"]["p_value"], rows["b"]["effect_size"]) == (0.0, 1.0, 0.0)
+    assert rows["b"]["drift_flag"] is False and rows["a"]["statistic"] == 0.5
+
+
 def test_categorical_drift_matches_hand_counts(spark):
     ref = frame(spark, c=["x"] * 30 + ["y"] * 20 + [None] * 10, two=["p"] * 40 + ["q"] * 20, one=["k"] * 60)
     cur = frame(spark, c=["x"] * 10 + ["w"] * 20, two=["p"] * 10 + ["q"] * 20, one=["k"] * 30).withColumns(
