@@ -22,9 +22,11 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+from itertools import chain, compress, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -46,7 +48,8 @@ def words_of(text: str | None) -> list[str]:
     text = text or ""
     for space in "\t\n\v\f\r":
         text = text.replace(space, " ")
-    return [w for w in text.split(" ") if w]
+    words = text.split(" ")
+    return [w for w in words if w] if "" in words else words
 
 
 class Codes(dict):
@@ -62,6 +65,14 @@ class Codes(dict):
 CODES = Codes()
 
 
+class Numbers(dict):
+    """0, 1, 2, ... for words in order of appearance: equal numbers mean equal words."""
+
+    def __missing__(self, word: str) -> int:
+        found = self[word] = len(self)
+        return found
+
+
 def coded(words: list[str]) -> np.ndarray:
     return np.fromiter(map(CODES.__getitem__, words), np.uint64, len(words))
 
@@ -149,7 +160,7 @@ def _partition(docs: DataFrame, span: int, gram: int) -> DataFrame:
         for part in chunks(batches, "text", 2_000_000):
             words = [words_of(t) for t in part.column("text").to_pylist()]
             sizes = np.array([len(w) for w in words], np.int64)
-            codes = coded([w for own in words for w in own])
+            codes = coded(list(chain.from_iterable(words)))
             text, start, count, least, twice = super_kmers(codes, sizes, span, gram)
             arrays = [part.column("pid").take(pa.array(text)), part.column("th").take(pa.array(text)), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(least), pa.array(twice)]
             yield pa.RecordBatch.from_arrays(arrays, [*KEY, "start", "windows", "mini", "twice"])
@@ -163,14 +174,16 @@ def _packed(docs: DataFrame, wanted: DataFrame, span: int) -> DataFrame:
 
     def run(batches):
         for part in chunks(batches, "text", 2_000_000):
-            pids, ths, out = part.column("pid").to_pylist(), part.column("th").to_pylist(), []
-            for pid, th, text, parts in zip(pids, ths, part.column("text").to_pylist(), part.column("parts").to_pylist()):
+            lists, pieces = part.column("parts"), []
+            start, windows, mini, n = lists.flatten().flatten()
+            ends = (start.to_numpy() + windows.to_numpy() + span - 1).tolist()
+            each, sizes = zip(start.to_pylist(), ends), lists.value_lengths().to_numpy()
+            for text, size in zip(part.column("text").to_pylist(), sizes.tolist()):
                 words = words_of(text)
-                for p in parts:
-                    piece = " ".join(words[p["start"] : p["start"] + p["windows"] + span - 1])
-                    out.append((pid, th, p["start"], p["windows"], p["mini"], p["n"], piece))
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names)
+                pieces += [" ".join(words[begin:end]) for begin, end in islice(each, size)]
+            row = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+            keys = [part.column(c).take(row) for c in KEY]
+            yield pa.RecordBatch.from_arrays([*keys, start, windows, mini, n, pa.array(pieces, pa.string())], names)
 
     joined = docs.join(wanted, KEY).select(*KEY, "text", "parts")
     return joined.mapInArrow(run, "pid long, th long, start int, windows int, mini long, n long, packed string")
@@ -179,13 +192,13 @@ def _packed(docs: DataFrame, wanted: DataFrame, span: int) -> DataFrame:
 def _windows(table, span: int) -> tuple[np.ndarray, ...]:
     """Of packed strings laid end to end: numbers of their words (equal only for equal words), and per
     window its hash, where its words begin, its row and its place in the row."""
-    number: dict[str, int] = {}
-    words = [[number.setdefault(w, len(number)) for w in p.split(" ")] for p in table.column("packed").to_pylist()]
-    sizes = np.array([len(w) for w in words], np.int64)
-    ids = np.array([i for own in words for i in own], np.int64)
-    hashes = span_hashes(coded(list(number))[ids], span)
+    number = Numbers()
+    words = " ".join(table.column("packed").to_pylist()).split(" ")
+    ids = np.fromiter(map(number.__getitem__, words), np.int32, len(words))
+    sizes = pc.count_substring(table.column("packed"), " ").to_numpy().astype(np.int64) + 1
     counts = sizes - span + 1
-    row = np.repeat(np.arange(len(words)), counts)
+    hashes = span_hashes(coded(list(number))[ids], span)
+    row = np.repeat(np.arange(len(counts)), counts)
     inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
     begin = np.repeat(np.cumsum(sizes) - sizes, counts) + inside
     return ids, hashes[begin], begin, row, inside
@@ -202,27 +215,52 @@ def _parts(bounds: list[int], windows: np.ndarray, limit: int) -> list[tuple[int
     return [*cuts, (start, bounds[-1])]
 
 
-def _first_of_each(ids: np.ndarray, keys: tuple[np.ndarray, ...], begin: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the windows (keys: place, document, hash, minimiser) and for each in it the first with its words."""
-    extra = np.zeros(len(begin), np.int64)
+def _first_of_each(ids: np.ndarray, keys: tuple[np.ndarray, ...], begin: np.ndarray, span: int, in_order: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the windows (keys: place, document, hash, ...) and for each in it the first with its words.
+
+    The minimiser is one of a window's own grams, so equal words have equal minimisers and
+    nothing beyond the hash is needed as a key. `in_order`: windows of one minimiser already
+    stand by document and place, so that a stable sort by hash keeps the earliest first.
+    """
+    place, doc, hashes, *_ = keys
+    extra = None
     while True:
-        place, doc, hashes, mini = keys
-        order = np.lexsort((place, doc, extra, hashes, mini))
-        same = (hashes[order[1:]] == hashes[order[:-1]]) & (mini[order[1:]] == mini[order[:-1]]) & (extra[order[1:]] == extra[order[:-1]])
-        new = np.append(True, ~same)
+        if extra is not None:
+            order = np.lexsort((place, doc, extra, hashes))
+        else:
+            order = np.argsort(hashes, kind="stable") if in_order else np.lexsort((place, doc, hashes))
+        sorted_hashes = hashes[order]
+        new = np.append(True, sorted_hashes[1:] != sorted_hashes[:-1])
+        if extra is not None:
+            new[1:] |= np.diff(extra[order]) != 0
         head = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
-        unlike = np.zeros(len(order), bool)
+        # only windows that follow another of their hash have words to compare
+        at = np.flatnonzero(~new)
+        own, first = begin[order[at]], begin[head[at]]
+        unlike = np.zeros(len(at), bool)
         for k in range(span):
-            unlike |= ids[begin[order] + k] != ids[begin[head] + k]
+            unlike |= ids[own + k] != ids[first + k]
         if not unlike.any():
             return order, head
         # windows of one hash but other words: numbered by their words
-        clash = np.isin(head, head[unlike])
+        clash = np.isin(head, head[at[unlike]])
         seen: dict[bytes, int] = {}
+        extra = np.zeros(len(begin), np.int64) if extra is None else extra
         for i in order[clash]:
             extra[i] = seen.setdefault(ids[begin[i] : begin[i] + span].tobytes(), len(seen))
 
 
+def _in_order(table: pa.Table) -> bool:
+    """Whether windows of a minimiser stand by document and place: sorted rows that do not overlap.
+
+    Rows of different texts under one id may overlap.
+    """
+    mini, pid, start, windows = (table.column(c).to_numpy() for c in ("mini", "pid", "start", "windows"))
+    same = mini[1:] == mini[:-1]
+    back = (pid[1:] < pid[:-1]) | ((pid[1:] == pid[:-1]) & (start[1:] < start[:-1] + windows[:-1]))
+    return not (same & back).any()
+
+
 def _bucket_marks(packed: DataFrame, span: int) -> DataFrame:
     """(key, lo, hi) of words covered by repeated windows; a bucket's windows are sorted in one place."""
 
@@ -230,7 +268,7 @@ def _bucket_marks(packed: DataFrame, span: int) -> DataFrame:
         ids, hashes, begin, row, inside = _windows(table, span)
         pid, th = (table.column(c).to_numpy() for c in KEY)
         place = table.column("start").to_numpy().astype(np.int64)[row] + inside
-        order, head = _first_of_each(ids, (place, pid[row], hashes, table.column("mini").to_numpy()[row]), begin, span)
+        order, head = _first_of_each(ids, (place, pid[row], hashes), begin, span, _in_order(table))
         late = np.zeros(len(order), bool)
         late[order] = (pid[row[order]] != pid[row[head]]) | (place[order] != place[head])
         at = np.flatnonzero(late)
@@ -246,7 +284,7 @@ def _bucket_marks(packed: DataFrame, span: int) -> DataFrame:
                 if end > start:
                     yield marks(table.slice(start, end - start))
 
-    dealt = packed.select(*KEY, "start", "windows", "mini", "packed").repartition("mini").sortWithinPartitions("mini")
+    dealt = packed.select(*KEY, "start", "windows", "mini", "packed").repartition("mini").sortWithinPartitions("mini", "pid", "start")
     return dealt.mapInArrow(run, "pid long, th long, lo long, hi long")
 
 
@@ -287,7 +325,7 @@ def _kept(words: list[str], cuts: list[dict] | None) -> list[str]:
     edge = np.zeros(len(words) + 1, np.int64)
     np.add.at(edge, [c["lo"] for c in cuts], 1)
     np.add.at(edge, [c["hi"] for c in cuts], -1)
-    return [w for w, depth in zip(words, np.cumsum(edge)) if not depth]
+    return list(compress(words, (np.cumsum(edge) == 0).tolist()))
 
 
 def remove_repeated_passages(docs: DataFrame, **options) -> DataFrame:
