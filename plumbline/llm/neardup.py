@@ -14,7 +14,11 @@ that agree on all rows of a band share a bucket. Then:
 3. in buckets that still hold several classes, members of different classes are compared
    in blocks of bounded size: first by their samples alone, which leaves the members
    with a partner that may reach the threshold, then those by their texts. A block
-   returns members or the links that join its classes, never its pairs.
+   returns members or the links that join its classes, never its pairs. The largest
+   class of a bucket meets the other classes only, never itself;
+4. a bucket with very many members outside its largest class is banded again: each member
+   goes to narrower buckets by triples of its other samples, and again until they are
+   small enough. Of pairs at 0.8, fewer than one in a million share no narrower bucket.
 Every link is verified by the exact weighted Jaccard similarity of the whole texts;
 connected components of the links are the classes.
 
@@ -39,7 +43,11 @@ from plumbline.session import stage
 SHINGLE, BANDS, ROWS = 5, 16, 4
 FREQUENT = 0.01
 THRESHOLD = 0.8
-GROUP = ["band", "bucket", "lo", "hi"]
+BUCKET = ["band", "bucket"]
+GROUP = [*BUCKET, "lo", "hi"]
+TRIPLE = 3
+NARROWER = (BANDS - 1) * ROWS // TRIPLE  # narrower buckets per member
+LEVELS = 3  # how often a bucket is banded again
 MIX_1, MIX_2, STEP = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
 
 
@@ -190,13 +198,74 @@ def _jaccard(x, y) -> float:
     return float(shared / whole) if whole else 0.0
 
 
-def _in_blocks(rows: DataFrame, blocks: Column) -> DataFrame:
-    """Rows dealt so that any two of a bucket meet in one group (band, bucket, lo, hi), sorted by it."""
-    dealt = rows.withColumn("own", F.pmod(F.xxhash64("k"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).drop("other")
+def _dealt(members: DataFrame, block: int, block_bytes: int | None = None) -> DataFrame:
+    """Per bucket with several classes: its largest class and the blocks for the others (p) and for that class (q).
+
+    A bucket of one block is left whole (p 1, q 0).
+    """
+    size = F.lit(0) if block_bytes is None else F.col("size")
+    blocks = lambda n, size: F.greatest(F.ceil(n / block), F.ceil(size / (block_bytes or 1))).cast("int")
+    counts = [F.count(F.lit(1)).alias("n"), F.sum(size).alias("bytes")]
+    mixed = members.groupBy(*BUCKET).agg(*counts, F.min("root").alias("r0"), F.max("root").alias("r1")).where(F.col("r0") != F.col("r1"))
+    mixed = stage(mixed.select(*BUCKET, "n", "bytes"), "mixed")
+    large = mixed.where(blocks(F.col("n"), F.col("bytes")) > 1)
+    whole = {"major": F.lit(None).cast("string"), "p": F.lit(1), "q": F.lit(0)}
+    if large.isEmpty():
+        return mixed.select(*BUCKET, *[c.alias(name) for name, c in whole.items()])
+    classes = members.join(large.select(*BUCKET), BUCKET).groupBy(*BUCKET, "root").agg(*counts)
+    most = classes.groupBy(*BUCKET).agg(F.max(F.struct("n", "bytes", "root")).alias("most"))
+    split = {
+        "major": F.col("most.root"),
+        "p": blocks(F.col("n") - F.col("most.n"), F.col("bytes") - F.col("most.bytes")),
+        "q": blocks(F.col("most.n"), F.col("most.bytes")),
+    }
+    columns = [F.when(F.col("most").isNull(), whole[name]).otherwise(split[name]).alias(name) for name in whole]
+    return stage(mixed.join(most, BUCKET, "left").select(*BUCKET, *columns), "dealt")
+
+
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """Rows dealt so that any two of a bucket, but two of its largest class, meet in one group, sorted by it.
+
+    Blocks 0 to p - 1 hold the other classes, the next q the largest one.
+    """
+    apart = (F.col("q") > 0) & F.col("root").eqNullSafe(F.col("major"))
+    code = F.xxhash64("k")
+    own = F.when(apart, F.col("p") + F.pmod(code, F.greatest("q", F.lit(1)))).otherwise(F.pmod(code, "p")).cast("int")
+    last = F.when(apart, F.col("p") - 1).otherwise(F.col("p") + F.col("q") - 1)
+    dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    dealt = dealt.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).drop("other", "major", "p", "q")
     return dealt.repartition(*GROUP).sortWithinPartitions(*GROUP)
 
 
+@functools.lru_cache(maxsize=LEVELS)
+def _triples(level: int) -> np.ndarray:
+    """Places of the samples in each narrower bucket, by band: all but the band's own."""
+    order = np.random.default_rng(101 + level).permutation(BANDS * ROWS)
+    return np.stack([order[order // ROWS != band].reshape(NARROWER, TRIPLE) for band in range(BANDS)])
+
+
+def _narrower(rows: DataFrame, level: int) -> DataFrame:
+    """Members (with samples) in the narrower buckets of their bucket."""
+    names = [*BUCKET, "k", "id", "size", "root"]
+
+    def run(batches):
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            places = _triples(level)[batch.column("band").to_numpy()]
+            values = _marks(batch)[np.arange(n)[:, None, None], places].astype(np.uint64)
+            code = batch.column("bucket").to_numpy().astype(np.uint64)[:, None] * STEP + np.arange(NARROWER, dtype=np.uint64) * MIX_1
+            for i in range(TRIPLE):
+                code = (code ^ values[:, :, i]) * MIX_2
+                code ^= code >> np.uint64(32)
+            out = batch.select(names).take(pa.array(np.repeat(np.arange(n), NARROWER)))
+            yield out.set_column(1, "bucket", pa.array(code.reshape(-1).view(np.int64)))
+
+    kinds = dict(rows.dtypes)
+    return rows.select(*names, "samples").mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in names))
+
+
 def _near(table: pa.Table, start: int, end: int, marks: np.ndarray, roots: list, least: float):
     """(i, places of likely partners of another class, their agreements) for the rows of one group."""
     own, lo, hi = (table.column(c).to_numpy() for c in ("own", "lo", "hi"))
@@ -214,17 +283,28 @@ def _near(table: pa.Table, start: int, end: int, marks: np.ndarray, roots: list,
                 yield i, places[likely], equal[likely]
 
 
-def _marks(table: pa.Table) -> np.ndarray:
+def _marks(table: pa.Table | pa.RecordBatch) -> np.ndarray:
     return np.frombuffer(b"".join(table.column("samples").to_pylist()), np.uint32).reshape(table.num_rows, -1)
 
 
-def _undecided(members: DataFrame, sketches: DataFrame, block: int, least: float) -> DataFrame:
-    """Members (band, bucket, k, id, size, root) with a likely partner of another class in their bucket."""
-    mixed = members.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("r0"), F.max("root").alias("r1"))
-    mixed = mixed.where(F.col("r0") != F.col("r1")).select("band", "bucket", "n")
-    rows = members.join(mixed, ["band", "bucket"]).join(sketches.select("k", "samples"), "k")
-    names = ["band", "bucket", "k", "id", "size", "root"]
-    rows = _in_blocks(rows, F.ceil(F.col("n") / block).cast("int")).select(*GROUP, "own", "k", "id", "size", "root", "samples")
+def _undecided(members: DataFrame, sketches: DataFrame, block: int, least: float, narrow: int = NARROWER) -> DataFrame:
+    """Members (band, bucket, k, id, size, root) with a likely partner of another class in their bucket.
+
+    Buckets with over `narrow` blocks outside their largest class are replaced by narrower ones.
+    """
+    names = [*BUCKET, "k", "id", "size", "root"]
+    members, marks_of = members.select(*names), sketches.select("k", "samples")
+    dealt = _dealt(members, block)
+    for level in range(LEVELS):
+        wide = dealt.where(F.col("p") > narrow).select(*BUCKET)
+        if wide.isEmpty():
+            break
+        inside = _narrower(members.join(wide, BUCKET).join(marks_of, "k"), level)
+        rest = members.join(dealt.where(F.col("p") <= narrow).select(*BUCKET), BUCKET)
+        members = stage(rest.select(*names).union(inside), "narrower")
+        dealt = _dealt(members, block)
+    rows = members.join(dealt, BUCKET).join(marks_of, "k")
+    rows = _in_blocks(rows).select(*GROUP, "own", "k", "id", "size", "root", "samples")
 
     def run(batches):
         for table, bounds in sorted_groups(batches, GROUP):
@@ -241,12 +321,11 @@ def _undecided(members: DataFrame, sketches: DataFrame, block: int, least: float
 
 def _block_links(undecided: DataFrame, sketches: DataFrame, docs: DataFrame, idf, block: int, block_bytes: int, least: float, threshold: float) -> DataFrame:
     """Verified links (a, b) that join the classes of undecided members; each pair is tried in its first common band."""
-    sizes = undecided.groupBy("band", "bucket").agg(F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("size") / block_bytes)).cast("int").alias("blocks"))
     bands = undecided.groupBy("k").agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("band"))).alias("in_bands"))
     texts = docs.select(F.col("k").alias("t_k"), F.col("id").alias("t_id"), "text")
-    rows = undecided.join(sizes, ["band", "bucket"]).join(bands, "k").join(sketches.select("k", "samples"), "k")
+    rows = undecided.join(_dealt(undecided, block, block_bytes), BUCKET).join(bands, "k").join(sketches.select("k", "samples"), "k")
     rows = rows.join(texts, (F.col("k") == F.col("t_k")) & F.col("id").eqNullSafe(F.col("t_id"))).dropDuplicates(["band", "bucket", "k"])
-    rows = _in_blocks(rows, F.col("blocks")).select(*GROUP, "own", "k", "root", "in_bands", "samples", "text")
+    rows = _in_blocks(rows).select(*GROUP, "own", "k", "root", "in_bands", "samples", "text")
 
     def run(batches):
         for table, bounds in sorted_groups(batches, GROUP):
@@ -278,7 +357,7 @@ def _block_links(undecided: DataFrame, sketches: DataFrame, docs: DataFrame, idf
     return rows.mapInArrow(run, "a string, b string")
 
 
-def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, doc_id: str = "doc_id", text: str = "text", block: int = 1024, block_bytes: int = 1 << 24) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, doc_id: str = "doc_id", text: str = "text", block: int = 1024, block_bytes: int = 1 << 24, narrow: int = NARROWER) -> DataFrame:
     """(k, class_id, keeper) per distinct text: k is `text_key`, class_id the least doc_id of its class,
     keeper the key of that document's text."""
     spark = docs.sparkSession
@@ -296,7 +375,7 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, doc_id: st
     links = stage(_verified(_likely(first, sketches, least), rows, idf, threshold).select("a", "b"), "links")
     roots = components(links)
     rooted = lambda df: df.join(roots.select(F.col("node").alias("k"), F.col("root").alias("_r")), "k", "left").withColumn("root", F.coalesce("_r", "k")).drop("_r")
-    undecided = stage(_undecided(rooted(stars), sketches, block, least), "undecided")
+    undecided = stage(_undecided(rooted(stars), sketches, block, least, narrow), "undecided")
     if not undecided.isEmpty():
         more = stage(_block_links(undecided, sketches, rows, idf, block, block_bytes, least, threshold), "more")
         roots = components(links.union(more))

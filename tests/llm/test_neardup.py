@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 from samples import prose
 
@@ -77,12 +78,41 @@ def test_blocks_join_all_classes_of_a_bucket(spark):
     sketches = N._sketches(keyed, shared).cache()
     members = sketches.select("k", "id", "size", F.posexplode("bands").alias("band", "bucket"), F.col("k").alias("root"))
     undecided = N._undecided(members, sketches, 5, 0.5)
+    narrowed = N._undecided(members, sketches, 5, 0.5, narrow=1).cache()
     number = {r.k: r.id for r in sketches.collect()}
-    links = [(number[r.a], number[r.b]) for r in N._block_links(undecided, sketches, keyed, shared, 5, 3000, 0.5, 0.8).collect()]
+    pairs = lambda rows: [(number[r.a], number[r.b]) for r in N._block_links(rows, sketches, keyed, shared, 5, 3000, 0.5, 0.8).collect()]
+    links, narrow_links = pairs(undecided), pairs(narrowed)
     vectors = [N.weights(t, idf) for _, t in rows]
     exact = [(i, j) for i in range(24) for j in range(i) if N._jaccard(vectors[i], vectors[j]) >= 0.8]
-    assert all((max(x), min(x)) in exact for x in links)
-    assert classes_of(24, links) == classes_of(24, exact)
+    assert all((max(x), min(x)) in exact for x in links + narrow_links)
+    assert classes_of(24, links) == classes_of(24, narrow_links) == classes_of(24, exact)
+    wide = {(r.band, r.bucket) for r in undecided.collect()}
+    assert wide and not wide <= {(r.band, r.bucket) for r in narrowed.collect()}  # some buckets were banded again
+
+
+def test_rows_of_hot_buckets_grow_in_proportion(spark):
+    """A large class beside a few others is dealt once per block of the others; unlike members go to narrower buckets."""
+    for n in (200, 400):
+        rows = [(0, 5, f"k{i}", i, 10, "one") for i in range(n)] + [(0, 5, f"other{i}", n + i, 10, f"r{i}") for i in range(3)]
+        members = spark.createDataFrame(rows, "band int, bucket long, k string, id long, size long, root string")
+        dealt = N._in_blocks(members.join(N._dealt(members, 10), N.BUCKET)).collect()
+        assert len(dealt) == n + 3 * (1 + n // 10)
+        groups = {}
+        for r in dealt:
+            groups.setdefault((r.lo, r.hi), set()).add(r.k)
+        assert all(any({f"k{i}", f"other{j}"} <= g for g in groups.values()) for i in range(n) for j in range(3))
+        assert any({"other0", "other1", "other2"} <= g for g in groups.values())
+    rng = random.Random(4)
+    for n in (300, 600):
+        marks = [np.array([rng.randrange(1 << 32) for _ in range(64)], np.uint32) for _ in range(n)]
+        for m in marks:
+            m[:4] = 7
+        marks[n - 1] = marks[0].copy()
+        marks[n - 1][10:20] = 1
+        members = spark.createDataFrame([(0, 5, f"k{i}", i, 10, f"k{i}") for i in range(n)], "band int, bucket long, k string, id long, size long, root string")
+        sketches = spark.createDataFrame([(f"k{i}", m.tobytes()) for i, m in enumerate(marks)], "k string, samples binary")
+        found = N._undecided(members, sketches, 10, 0.5, narrow=5).collect()
+        assert {r.k for r in found} == {"k0", f"k{n - 1}"} and 5 not in {r.bucket for r in found}
 
 
 def test_one_document_of_each_class_stays(spark, edge_docs):
