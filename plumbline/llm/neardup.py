@@ -29,6 +29,7 @@ link to nothing else; repeated rows fall in one class, extra columns are ignored
 from __future__ import annotations
 
 import functools
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -86,7 +87,7 @@ def weights(text: str | None, idf: dict[str, float]) -> tuple[np.ndarray, np.nda
         return np.empty(0, np.uint64), np.empty(0)
     size = min(SHINGLE, n)
     codes = np.fromiter(map(HASHES.__getitem__, words), np.uint64, n)
-    worth = np.fromiter((idf.get(w, 2.0) for w in words), np.float64, n)
+    worth = np.fromiter(map(idf.get, words, itertools.repeat(2.0)), np.float64, n)
     count = n - size + 1
     total, mean = np.zeros(count, np.uint64), np.zeros(count)
     for i in range(size):
@@ -106,29 +107,33 @@ def _draws() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return gamma, np.log(rng.permutation(gamma)), seeds
 
 
-def samples(shingles: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """One 32-bit sample (of shingle and level) per seed."""
+def samples(shingles: np.ndarray, weight: np.ndarray, part: int = 512) -> np.ndarray:
+    """One 32-bit sample (of shingle and level) per seed; `part` shingles at a time stay in the processor's cache."""
     gamma, log_gamma, seeds = _draws()
     best = np.full(len(seeds), np.inf, np.float32)
     out = np.zeros(len(seeds), np.uint64)
     log_w = np.log(weight).astype(np.float32)
-    low = np.uint64(0xFFFF)
-    for at in range(0, len(shingles), 1024):
-        x = shingles[at : at + 1024, None] ^ seeds
+    lane = np.arange(len(seeds))
+    for at in range(0, len(shingles), part):
+        x = seeds[:, None] ^ shingles[at : at + part]
         x *= MIX_2
         x ^= x >> np.uint64(32)
         x *= MIX_1
         x ^= x >> np.uint64(29)
-        r = gamma[x & low]
-        beta = (x >> np.uint64(40)).astype(np.float32) * np.float32(2.0**-24)
-        level = np.floor(log_w[at : at + 1024, None] / r + beta)
-        rank = log_gamma[(x >> np.uint64(16)) & low] - r * (level - beta + 1)
-        pick = rank.argmin(0)
-        lane = np.arange(len(seeds))
-        value = rank[pick, lane]
+        draws = x.view("<u2").reshape(*x.shape, 4)  # the low 16 bits first
+        r = gamma.take(draws[..., 0])
+        beta = (x >> np.uint64(40)).astype(np.float32)
+        beta *= np.float32(2.0**-24)
+        level = log_w[at : at + part] / r
+        level += beta
+        np.floor(level, out=level)
+        rank = log_gamma.take(draws[..., 1])
+        rank -= r * (level - beta + np.float32(1))
+        pick = rank.argmin(1)
+        value = rank[lane, pick]
         better = value < best
         best[better] = value[better]
-        chosen = shingles[at + pick] + level[pick, lane].astype(np.int64).astype(np.uint64) * STEP
+        chosen = shingles[at + pick] + level[lane, pick].astype(np.int64).astype(np.uint64) * STEP
         out[better] = chosen[better]
     out ^= out >> np.uint64(32)
     return ((out * MIX_2) >> np.uint64(32)).astype(np.uint32)
@@ -375,7 +380,7 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, doc_id: st
     links = stage(_verified(_likely(first, sketches, least), rows, idf, threshold).select("a", "b"), "links")
     roots = components(links)
     rooted = lambda df: df.join(roots.select(F.col("node").alias("k"), F.col("root").alias("_r")), "k", "left").withColumn("root", F.coalesce("_r", "k")).drop("_r")
-    undecided = stage(_undecided(rooted(stars), sketches, block, least, narrow), "undecided")
+    undecided = stage(_undecided(stage(rooted(stars), "rooted"), sketches, block, least, narrow), "undecided")
     if not undecided.isEmpty():
         more = stage(_block_links(undecided, sketches, rows, idf, block, block_bytes, least, threshold), "more")
         roots = components(links.union(more))
