@@ -154,3 +154,21 @@ def test_tuned_model_is_the_grids_first_row(spark, vectors, monkeypatch):
 def test_curve_has_every_depth(results):
     rows = [r for r in results("h14_validation_curve") if r.model == "RandomForest"]
     assert {r.param_value for r in rows} == {"2", "4", "6", "8", "None"}
+
+
+def test_open_leaves_equal_a_walk_down_the_trees(vectors):
+    rows = D.fit_rows(vectors, H.class_counts(vectors))
+    forest = D.DepthForest(D.fit_forest(rows, n_trees=7, batch=3), vectors.sparkSession)
+    x = np.random.default_rng(1).random((200, 3))
+    x[:, 2] = x[:, 2] > 0.5
+    x[:50, 0] = np.resize(forest.threshold[forest.inner & (forest.feature == 0)], 50)  # on the cuts themselves
+    tables, shares = forest.tables([0, 1, 3, None])
+    for limit, (none, one) in zip((0, 1, 3, D.MAX_DEPTH), D.shares_of(x, tables, shares)):
+        leaf = forest.ends(limit)
+        want = np.zeros((len(x), 2))
+        for i, row in enumerate(x):
+            for at in forest.roots:
+                while not leaf[at]:
+                    at = (forest.left if row[forest.feature[at]] <= forest.threshold[at] else forest.right)[at]
+                want[i] += forest.shares[at]
+        assert np.allclose(want, np.stack([none, one], 1))
