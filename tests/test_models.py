@@ -103,3 +103,32 @@ def test_full_cycle(spark, table):
     assert all(r["expected_cost"] >= 0 for r in post)
     with pytest.raises(ValueError):
         Y.post_retrain_comparison(table, {}, [], [], "t", "Other")
+
+
+def test_joint_regressions_equal_single_fits(spark):
+    import numpy as np
+    from pyspark.ml.feature import VectorAssembler
+
+    u = lambda c: F.conv(F.substring(F.md5(F.concat(F.lit(c), F.col("id").cast("string"))), 1, 6), 16, 10).cast("double") / 16777216.0
+    df = spark.range(900).select(*[u(c).alias(c) for c in "abcd"], u("e").alias("e"), (F.col("id") % 3).cast("int").alias("fold"))
+    df = df.withColumn("y", (F.col("e") < 0.1 + 0.7 * F.col("a") - 0.2 * F.col("c")).cast("int"))
+    df = VectorAssembler(inputCols=list("abcd"), outputCol="features").transform(df).drop(*"abcde").cache()
+    sizes = H.fold_counts(df)
+    models = [([0, 2], 1, np.zeros(3)), ([3], 0, np.zeros(2)), ([0, 1, 2, 3], 2, np.full(5, 0.5))]
+    for extra in ({}, {"class_weight": "balanced", "C": 0.3}):
+        for (columns, k, _), w in zip(models, H.joint_logistic(df, models, sizes, **extra)):
+            rest = H.sliced(df, columns).where(F.col("fold") != k)
+            one = H.fit_model(rest, "LogisticRegression", **extra)
+            assert np.allclose(w, [one.intercept, *one.coefficients.toArray()], atol=1e-4)
+    names = [f"f{i}" for i in range(4)]
+    plain = H.forward_selection(df, names, keep=2, l1=False)
+    counted = []
+    chosen = []
+    for _ in range(2):
+        rates = {}
+        for i in (i for i in range(4) if i not in chosen):
+            held = H._held_rates(df, [([*chosen, i], k) for k in range(3)], sizes, "fold", 2, {})
+            rates[i] = round(float(np.mean(held)), 12)
+        chosen.append(max(rates, key=lambda i: (rates[i], -i)))
+        counted.append(rates)
+    assert {r.feature for r in plain.where("score = 1").collect()} == {names[i] for i in chosen}
