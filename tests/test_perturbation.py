@@ -32,3 +32,14 @@ def test_array_effects_equal_scored_copies(spark):
     assert want.keys() == got.keys() and len(got) == 122
     for k, v in want.items():
         assert (v is None) == (got[k] is None) and (v is None or got[k] == pytest.approx(v, abs=1e-12)), k
+
+
+def test_permutations_carry_digests_as_bytes(spark):
+    rows = spark.range(40).select(F.col("id").alias("row_id"), (F.col("id") * 1.0).alias("a"))
+    permuted = X.permuted_rows(rows, "row_id", ["a"], repeats=2, digits=1)
+    plan = permuted._jdf.queryExecution().optimizedPlan().toString()
+    assert "unhex" in plan
+    for r in range(2):
+        order = sorted(range(40), key=lambda i: hashlib.md5(f"{i}|42|{r}".encode()).hexdigest())
+        want = {i: float(order[(n + 1) % 40]) for n, i in enumerate(order)}
+        assert {x.row_id: x["__other"]["a"] for x in permuted.where(F.col("repeat_no") == r).collect()} == want
