@@ -26,11 +26,13 @@ from plumbline.functions import (
 from plumbline.operators.ordered import (
     BUCKET,
     bucket_sql,
+    buckets_for,
     collect_quantiles,
     range_cuts,
     running_totals,
     with_buckets,
 )
+from plumbline.session import default_buckets
 
 WINDOW = ("window_id", "scenario")
 # Reference and windows travel in one table; `is_ref` tells them apart, whatever the ids are.
@@ -71,6 +73,7 @@ def fit_reference(
     sample = reference.select(*numeric)
     if windows is not None:
         sample = sample.unionByName(windows.select(*numeric))
+    buckets = buckets or buckets_for(sample.sparkSession, sample.count())
     cuts = range_cuts(sample, numeric, buckets)
     probs = [k / bins for k in range(bins + 1)]
     found = collect_quantiles(reference, numeric, probs, cuts)
@@ -178,6 +181,10 @@ def numeric_drift_of_counts(counts: DataFrame, profile: ReferenceProfile, bins:
     )
     heads = window_heads.unionByName(ref_heads, allowMissingColumns=True).withColumn("head", F.lit(1))
     rows = counts.withColumns({"rn": ref_n, "head": F.lit(0)}).unionByName(heads, allowMissingColumns=True)
+    # Many buckets are more than the cluster's shuffle width would keep apart.
+    widest = max((len(c) + 1 for c in profile.cuts.values()), default=1)
+    if widest > default_buckets(counts.sparkSession):
+        rows = rows.repartition(widest, "feature", BUCKET)
 
     # Among equal values the reference row comes first, so its sum is complete
     # there, and the last reference row seen tells its count at this value.

@@ -13,12 +13,24 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from plumbline.functions import double, number
 from plumbline.session import broadcast_few, default_buckets, stage
 
 BUCKET = "bucket"
+ROWS_PER_BUCKET = 100_000
+MAX_BUCKETS = 2_000
+MAX_ACCURACY = 10_000  # of percentile_approx; each task sends a sketch of about that many values
+
+
+def buckets_for(spark: SparkSession, rows: int) -> int:
+    """Range buckets of about `ROWS_PER_BUCKET` rows, at least the default number; cuts of `MAX_BUCKETS` come back."""
+    return max(default_buckets(spark), min(MAX_BUCKETS, -(-rows // ROWS_PER_BUCKET)))
+
+
+def accuracy(buckets: int) -> int:
+    return min(10 * buckets, MAX_ACCURACY)
 
 
 def range_cuts(
@@ -28,7 +40,7 @@ def range_cuts(
     buckets = buckets or default_buckets(df.sparkSession)
     shares = [k / buckets for k in range(1, buckets)]
     row = df.agg(
-        *[F.percentile_approx(number(F.col(c)), shares, 10 * buckets).alias(c) for c in columns]
+        *[F.percentile_approx(number(F.col(c)), shares, accuracy(buckets)).alias(c) for c in columns]
     ).first()
     return {c: sorted(set(row[c] or [])) for c in columns}
 

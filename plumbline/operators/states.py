@@ -12,14 +12,15 @@ codes, amounts in cents or levels, about as many for measurements that never rep
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import nullcontext
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plumbline import constants as C
 from plumbline.functions import MISSING, bin_left_closed_sql, number
 from plumbline.operators import drift as D
-from plumbline.operators.ordered import BUCKET, quantiles_from_totals, running_totals, with_buckets
-from plumbline.session import default_buckets, stage
+from plumbline.operators.ordered import BUCKET, accuracy, buckets_for, quantiles_from_totals, running_totals, with_buckets
+from plumbline.session import broadcast_few, default_buckets, partitions_for, shuffle_width, stage
 
 SCHEMA = "feature string, kind string, value double, level string, n bigint, period date"
 KEYS = ("feature", "kind", "value", "level")
@@ -53,22 +54,25 @@ def period_states(
     return long.groupBy("period", *KEYS).agg(F.count(F.lit(1)).alias("n"))
 
 
-def write_states(states: DataFrame, path: str) -> None:
+def write_states(states: DataFrame, path: str, partitions: int | None = None) -> None:
     """Add the periods of `states` to the table at `path`, one folder each.
 
     Periods written before are replaced and others stay, so a period that is counted again
     (late rows, a failed job) is never counted twice. A rebalancing exchange keeps a period in
-    few files and splits a large one.
+    few files and splits a large one. `partitions` (`session.partitions_for` the counted rows)
+    keeps what one task counts bounded; without it the session's shuffle width is used.
     """
     names = [c.split()[0] for c in SCHEMA.split(", ")]
-    (
-        states.select(*names)
-        .hint("rebalance", "period")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("period")
-        .parquet(path)
-    )
+    spark = states.sparkSession
+    with shuffle_width(spark, partitions) if partitions else nullcontext():
+        (
+            states.select(*names)
+            .hint("rebalance", "period")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("period")
+            .parquet(path)
+        )
 
 
 def read_states(spark: SparkSession, path: str) -> DataFrame:
@@ -76,8 +80,15 @@ def read_states(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCHEMA).parquet(path)
 
 
-def _merged(states: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return states.groupBy(*keys, *KEYS).agg(F.sum("n").alias("n"))
+def _merged(states: DataFrame, calendar: DataFrame, partitions: int) -> DataFrame:
+    """Counts per side, window and value, of the periods that a staged calendar lists.
+
+    The calendar goes to the states: a join by period would send a whole period to one task.
+    States of a period are counted already, so they are dealt out before they are added up.
+    """
+    placed = states.join(broadcast_few(calendar), "period")
+    dealt = placed.repartition(partitions, *D.SIDE, *KEYS)
+    return dealt.groupBy(*D.SIDE, *KEYS).agg(F.sum("n").alias("n"))
 
 
 def fit_reference_states(
@@ -89,7 +100,7 @@ def fit_reference_states(
     """
     buckets = buckets or default_buckets(counts.sparkSession)
     shares = [k / buckets for k in range(1, buckets)]
-    found = counts.groupBy("feature").agg(F.percentile_approx("value", shares, 10 * buckets).alias("cuts")).collect()
+    found = counts.groupBy("feature").agg(F.percentile_approx("value", shares, accuracy(buckets)).alias("cuts")).collect()
     cuts = {r["feature"]: sorted(set(r["cuts"] or [])) for r in found}
     known = _with_bucket(counts.where("is_ref AND value IS NOT NULL"), cuts)
     ranked = running_totals(known.select("feature", BUCKET, "value", "n"), ["feature"], "value", ["n"])
@@ -145,17 +156,24 @@ def drift_audit_of_states(
             "period",
         )
     )
-    counts = stage(_merged(states.join(calendar.distinct(), "period"), D.SIDE), "window-states")
+    spark = states.sparkSession
+    listed = stage(calendar.distinct(), "calendar")
+    most = listed.groupBy("period").count().agg(F.max("count")).first()[0] or 0
+    partitions = partitions_for(spark, states.count() * most)
+    with shuffle_width(spark, partitions):
+        counts = stage(_merged(states, listed, partitions), "window-states")
     kinds = {r["kind"] for r in counts.select("kind").distinct().collect()}
     numeric = categorical = None
     if "numeric" in kinds:
         values = counts.where("kind = 'numeric'").select(
             *D.SIDE, "feature", "value", F.when(F.col("value").isNull(), 0).otherwise(F.col("n")).alias("n")
         )
-        profile = fit_reference_states(values, digits=digits)
-        if profile.edges:
-            placed = _with_bucket(values, profile.cuts).withColumn("bin", _bin(profile))
-            numeric = D.numeric_drift_of_counts(placed, profile)
+        rows = counts.count()
+        with shuffle_width(spark, partitions_for(spark, rows)):
+            profile = fit_reference_states(values, buckets=buckets_for(spark, rows), digits=digits)
+            if profile.edges:
+                placed = _with_bucket(values, profile.cuts).withColumn("bin", _bin(profile))
+                numeric = stage(D.numeric_drift_of_counts(placed, profile), "numeric-drift")
     if "categorical" in kinds:
         levels = counts.where("kind = 'categorical'")
         categorical = D.categorical_drift_of_counts(

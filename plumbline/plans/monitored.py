@@ -21,7 +21,7 @@ from plumbline.plans.views import (
     rnd,
     scored,
 )
-from plumbline.session import scratch_folder
+from plumbline.session import partitions_for, scratch_folder
 
 PROBS = [k / 10 for k in range(11)]
 
@@ -269,10 +269,11 @@ def monthly_states(t):
     """States of the lines per month, written in two runs as a scheduled job would."""
     lines = t("lineitem")
     path = scratch_folder(lines.sparkSession, "line-states")
+    partitions = partitions_for(lines.sparkSession, lines.count())
     later = F.col("l_shipdate") >= F.lit("1998-01-01").cast("date")
     for part in (~later, later):
         month = F.trunc("l_shipdate", "month")
-        S.write_states(S.period_states(lines.where(part), month, LINE_NUMERIC, LINE_CATEGORICAL), path)
+        S.write_states(S.period_states(lines.where(part), month, LINE_NUMERIC, LINE_CATEGORICAL), path, partitions)
     return S.read_states(lines.sparkSession, path)
 
 

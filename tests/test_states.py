@@ -1,12 +1,15 @@
 """Drift audits from mergeable states beside audits of raw rows."""
 
 import datetime
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.operators import drift as D
+from plumbline import session
+from plumbline.operators import drift as D, ordered
 from plumbline.operators import states as S
+from plumbline.session import stage
 
 NUMERIC, CATEGORICAL = ["a", "flat", "late"], ["c", "two"]
 ROWS = "a double, flat double, late string, c string, two string, day int"
@@ -107,3 +110,25 @@ def test_bad_states_raise(spark):
         S.period_states(rows, day_of(), ["a"], ["a"])
     with pytest.raises(Exception, match="no period"):
         S.period_states(rows, F.lit(None), ["a"]).collect()
+
+
+def test_what_a_task_holds_is_bounded(spark, monkeypatch):
+    rows = sample(spark)
+    windows = calendar(spark, [(1, 2, 3), (2, 3, 5)])
+    states = stage(S.period_states(rows, day_of(), NUMERIC, CATEGORICAL), "states")
+    listed = windows.select("window_id", "scenario", day_of().alias("period"))
+    first = states.select("period").distinct().where("period < '2024-01-03'")
+    key = lambda df: {k: (v[:2], [round(x, 9) for x in v[2:5]]) for k, v in table(df).items()}
+    expected = key(S.drift_audit_of_states(states, first, listed))
+    merged = {}
+    monkeypatch.setattr(S, "stage", lambda df, label: merged.update({label: df}) or stage(df, label))
+    monkeypatch.setattr(session, "ROWS_PER_PARTITION", 100)
+    monkeypatch.setattr(ordered, "ROWS_PER_BUCKET", 20)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    audit = S.drift_audit_of_states(states, first, listed)
+    assert key(audit) == expected and spark.conf.get("spark.sql.shuffle.partitions") == before
+    # Partitions follow the rows, and no period goes to one task.
+    plan = merged["window-states"]._jdf.queryExecution().optimizedPlan().toString()
+    assert max(int(n) for n in re.findall(r"RepartitionByExpression \[.*\], (\d+)", plan)) > 8
+    run = merged["window-states"]._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in run and "SortMergeJoin" not in run
