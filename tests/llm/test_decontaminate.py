@@ -75,3 +75,10 @@ def test_clean_documents_stay_with_their_columns(spark, edge_docs):
     kept = D.decontaminate(edge_docs, bench)
     assert kept.columns == edge_docs.columns
     assert kept.count() == edge_docs.count() - 1 and kept.where("doc_id = 4").count() == 0
+
+
+def test_words_are_those_of_the_pattern_without_extracting_each_match(spark):
+    texts = [None, "", " ", "...", "A", " a", "a ", "-a-", "a\x00b\x7fc", "\u00c9T\u00c9 \u65e5\u672c, X\u0130", "\U0001f600b\n\n\u00a0C", "x" * 5000, "A1 b2\t" * 3000]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string").select("i", D.item_words(F.col("text")).alias("w"))
+    assert {r.i: r.w for r in df.collect()} == {i: words(t) for i, t in enumerate(texts)}
+    assert "regexp_extract_all" not in df._jdf.queryExecution().optimizedPlan().toString()
