@@ -66,27 +66,14 @@ def frequent_words(docs: DataFrame, text: str = "text") -> dict[str, float]:
     return {r["word"]: float(1 + np.log(total / r["count"]) / np.log(1 / FREQUENT)) for r in rows}
 
 
-class Words(dict):
-    """Hash of a word, kept for a bounded number of words."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) > 400_000:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
-HASHES = Words()
-
-
 def weights(text: str | None, idf: dict[str, float]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes in order, and their weights."""
-    words = [w for w in (text or "").replace("\v", " ").replace("\f", " ").replace("\t", " ").replace("\r", " ").replace("\n", " ").split(" ") if w]
+    words = list(filter(None, (text or "").replace("\v", " ").replace("\f", " ").replace("\t", " ").replace("\r", " ").replace("\n", " ").split(" ")))
     n = len(words)
     if not n:
         return np.empty(0, np.uint64), np.empty(0)
     size = min(SHINGLE, n)
-    codes = np.fromiter(map(HASHES.__getitem__, words), np.uint64, n)
+    codes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
     worth = np.fromiter(map(idf.get, words, itertools.repeat(2.0)), np.float64, n)
     count = n - size + 1
     total, mean = np.zeros(count, np.uint64), np.zeros(count)
@@ -94,8 +81,11 @@ def weights(text: str | None, idf: dict[str, float]) -> tuple[np.ndarray, np.nda
         total = total * STEP + codes[i : i + count]
         mean += worth[i : i + count]
     total ^= total >> np.uint64(31)
-    shingles, first, tf = np.unique(total * MIX_1, return_index=True, return_counts=True)
-    return shingles, tf * mean[first] / size
+    total *= MIX_1
+    order = total.argsort()  # equal shingles have equal means, so any order of them will do
+    total = total[order]
+    start = np.flatnonzero(np.concatenate(([True], total[1:] != total[:-1])))
+    return total[start], np.diff(start, append=count) * mean[order[start]] / size
 
 
 @functools.lru_cache(maxsize=1)
@@ -107,33 +97,50 @@ def _draws() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return gamma, np.log(rng.permutation(gamma)), seeds
 
 
+@functools.lru_cache(maxsize=1)
+def _buffers(cells: int) -> tuple[np.ndarray, ...]:
+    """Arrays that `samples` fills again and again: new ones of this size would be mapped and cleared each time."""
+    return tuple(np.empty(cells, kind) for kind in (np.uint64, np.uint64, np.float32, np.float32, np.float32, np.float32))
+
+
 def samples(shingles: np.ndarray, weight: np.ndarray, part: int = 512) -> np.ndarray:
     """One 32-bit sample (of shingle and level) per seed; `part` shingles at a time stay in the processor's cache."""
     gamma, log_gamma, seeds = _draws()
-    best = np.full(len(seeds), np.inf, np.float32)
-    out = np.zeros(len(seeds), np.uint64)
+    lanes = len(seeds)
+    best = np.full(lanes, np.inf, np.float32)
+    out = np.zeros(lanes, np.uint64)
     log_w = np.log(weight).astype(np.float32)
-    lane = np.arange(len(seeds))
+    lane = np.arange(lanes)
+    low = np.uint64(0xFFFF)
     for at in range(0, len(shingles), part):
-        x = seeds[:, None] ^ shingles[at : at + part]
+        some = shingles[at : at + part]
+        x, bits, r, rank, level, beta = (b[: lanes * len(some)].reshape(lanes, -1) for b in _buffers(lanes * part))
+        places = bits.view(np.int64)
+        np.bitwise_xor(seeds[:, None], some, out=x)
         x *= MIX_2
-        x ^= x >> np.uint64(32)
+        x ^= np.right_shift(x, np.uint64(32), out=bits)
         x *= MIX_1
-        x ^= x >> np.uint64(29)
-        draws = x.view("<u2").reshape(*x.shape, 4)  # the low 16 bits first
-        r = gamma.take(draws[..., 0])
-        beta = (x >> np.uint64(40)).astype(np.float32)
+        x ^= np.right_shift(x, np.uint64(29), out=bits)
+        np.bitwise_and(x, low, out=bits)
+        gamma.take(places, out=r, mode="wrap")  # 16 bits are always in range, and this mode does not look
+        np.right_shift(x, np.uint64(16), out=bits)
+        bits &= low
+        log_gamma.take(places, out=rank, mode="wrap")
+        np.right_shift(x, np.uint64(40), out=bits)
+        beta[:] = places
         beta *= np.float32(2.0**-24)
-        level = log_w[at : at + part] / r
+        np.divide(log_w[at : at + part], r, out=level)
         level += beta
         np.floor(level, out=level)
-        rank = log_gamma.take(draws[..., 1])
-        rank -= r * (level - beta + np.float32(1))
+        np.subtract(level, beta, out=beta)
+        beta += np.float32(1)
+        beta *= r
+        rank -= beta
         pick = rank.argmin(1)
         value = rank[lane, pick]
         better = value < best
         best[better] = value[better]
-        chosen = shingles[at + pick] + level[lane, pick].astype(np.int64).astype(np.uint64) * STEP
+        chosen = some[pick] + level[lane, pick].astype(np.int64).astype(np.uint64) * STEP
         out[better] = chosen[better]
     out ^= out >> np.uint64(32)
     return ((out * MIX_2) >> np.uint64(32)).astype(np.uint32)
@@ -197,8 +204,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, idf, threshold: float) -> DataF
 
 
 def _jaccard(x, y) -> float:
-    _, i, j = np.intersect1d(x[0], y[0], assume_unique=True, return_indices=True)
-    shared = np.minimum(x[1][i], y[1][j]).sum()
+    shared = 0.0
+    if len(x[0]):
+        at = np.minimum(x[0].searchsorted(y[0]), len(x[0]) - 1)
+        both = x[0][at] == y[0]
+        shared = np.minimum(x[1][at[both]], y[1][both]).sum()
     whole = x[1].sum() + y[1].sum() - shared
     return float(shared / whole) if whole else 0.0
 

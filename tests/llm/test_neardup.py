@@ -1,4 +1,6 @@
 import random
+import tracemalloc
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -160,3 +162,32 @@ def test_measured_recall_at_planted_similarities(spark):
         own = [i for i in planted if planted[i] == edits]
         assert sum(classes[i + 1] == i for i in own) >= 0.99 * len(own)
     assert len(set(classes.values())) >= len(planted)
+
+
+def test_sketches_equal_a_plain_computation_and_reuse_their_arrays():
+    rng = np.random.default_rng(5)
+    pool = [f"w{i}" for i in range(12)]
+    idf = {"w0": 1.1, "w3": 1.7}
+    vectors = []
+    for n in (1, 4, 5, 700, 3000):
+        words = [pool[i] for i in rng.integers(0, len(pool) if n < 1000 else 4, n)]
+        size = min(5, n)
+        grams = [tuple(words[i : i + size]) for i in range(n - size + 1)]
+        shingles, weight = N.weights(" \t" + "\n".join(words), idf)
+        plain = {g: k * sum(idf.get(w, 2.0) for w in g) / size for g, k in Counter(grams).items()}
+        assert (np.diff(shingles.astype(object)) > 0).all() and np.allclose(sorted(weight), sorted(plain.values()))
+        vectors.append((shingles, weight))
+        assert (N.samples(shingles, weight) == N.samples(shingles, weight, part=7)).all()
+    for x in vectors + [N.weights(None, idf)]:
+        for y in vectors:
+            p, q = (dict(zip(v[0].tolist(), v[1])) for v in (x, y))
+            least, most = (sum(f(p.get(k, 0.0), q.get(k, 0.0)) for k in p | q) for f in (min, max))
+            assert abs(N._jaccard(x, y) - least / most) < 1e-12
+    shingles, weight = rng.integers(0, 1 << 63, 512, dtype=np.uint64), np.full(512, 2.0)
+    N.samples(shingles, weight)
+    tracemalloc.start()
+    try:
+        N.samples(shingles, weight)
+        assert tracemalloc.get_traced_memory()[1] < 64 * 512 * 8  # less than one new array of draws
+    finally:
+        tracemalloc.stop()
