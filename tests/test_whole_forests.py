@@ -115,7 +115,7 @@ def test_depths_equal_separate_fits(vectors):
 
 SMALL = {"n_trees": 2, "max_depth": None}
 FORESTS = {
-    "f04_forest_importance": 1, "f05_permutation_of_fitted_model": 1, "h02_random_forest": 1, "h08_comparison_matrix": 3,
+    "f04_forest_importance": 1, "f05_permutation_of_fitted_model": 1, "f06_stability_over_seeds": 5, "h02_random_forest": 1, "h08_comparison_matrix": 3,
     "h14_validation_curve": 1, "k14_post_retrain_comparison": 5, "k17_full_cycle_decisions": 1,
 }
 
